@@ -37,7 +37,9 @@ def missing_vars(template, params) -> Column:
                     lambda n: ~F.coalesce(F.map_contains_key(p, n), F.lit(False)))
 
 
-def _substitute(template: Column, params: Column) -> Column:
+def substitute(template, params) -> Column:
+    """Replace each `{name}` by its parameter in one pass (no unescape)."""
+    template, params = _col(template), _col(params)
     # Literal pieces between placeholders, and the names in between; one
     # pass, so values are never expanded again.
     pieces = F.split(template, PLACEHOLDER, -1)
@@ -66,7 +68,7 @@ def format_template(template, params) -> Column:
     """
     t = _col(template)
     p = _col(params)
-    return unescape(_substitute(t, p))
+    return unescape(substitute(t, p))
 
 
 def format_map(m, params) -> Column:

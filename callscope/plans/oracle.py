@@ -41,14 +41,19 @@ def sql_vars(t: str) -> str:
     return f"list_filter({ex}, lambda x, i: list_position({ex}, x) = i)"
 
 
-def sql_format(t: str, p: str) -> str:
-    """T2 + T3 on text `t` with MAP(VARCHAR, VARCHAR) `p`."""
+def sql_substitute(t: str, p: str) -> str:
+    """T2 on text `t` with MAP(VARCHAR, VARCHAR) `p`: one pass, no unescape."""
     parts = f"string_split_regex({t}, '{PLACEHOLDER}')"
     names = f"regexp_extract_all({t}, '{PLACEHOLDER}', 1)"
-    body = (f"array_to_string(list_transform(generate_series(1, len({parts})), lambda i: "
+    return (f"array_to_string(list_transform(generate_series(1, len({parts})), lambda i: "
             f"{parts}[i] || CASE WHEN i > len({names}) THEN '' "
             f"ELSE coalesce({p}[{names}[i]], 'null') END), '')")
-    return f"CASE WHEN {t} IS NULL THEN NULL ELSE regexp_replace({body}, '{ESCAPED}', '{{\\1}}', 'g') END"
+
+
+def sql_format(t: str, p: str) -> str:
+    """T2 + T3."""
+    return (f"CASE WHEN {t} IS NULL THEN NULL "
+            f"ELSE regexp_replace({sql_substitute(t, p)}, '{ESCAPED}', '{{\\1}}', 'g') END")
 
 
 FIXTURES: dict[str, tuple[list[str], str]] = {}
@@ -180,14 +185,17 @@ GROUP BY call_id, seq
 
 FIXTURES["templated"] = ([], r"""
 SELECT o.o_orderkey AS row_id,
-  'Dear {name}, order {order.id} is {status}. \{keep\} {name}' AS template,
+  CASE WHEN o.o_orderkey % 3 = 0
+       THEN 'Dear {name}, order {order.id} is {status}. \{keep\} {name} ({priority})'
+       ELSE concat('Dear {name}, order {order.id} is {status}. \{keep\} {name} [', o.o_orderpriority, ']')
+       END AS template,
   CASE WHEN o.o_orderkey % 7 = 0
-       THEN map(['name', 'order.id'],
+       THEN map(['name', 'order.id', 'priority'],
                 [CASE WHEN o.o_orderkey % 10 = 0 THEN '{status}' ELSE c.c_name END,
-                 CAST(o.o_orderkey AS VARCHAR)])
-       ELSE map(['name', 'order.id', 'status'],
+                 CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority])
+       ELSE map(['name', 'order.id', 'status', 'priority'],
                 [CASE WHEN o.o_orderkey % 10 = 0 THEN '{status}' ELSE c.c_name END,
-                 CAST(o.o_orderkey AS VARCHAR), o.o_orderstatus]) END AS params,
+                 CAST(o.o_orderkey AS VARCHAR), o.o_orderstatus, o.o_orderpriority]) END AS params,
   map(['k_{order.id}', 'state'], ['Dear {name}', '{status}']) AS map_template
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """)

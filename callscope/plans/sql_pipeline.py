@@ -1,0 +1,209 @@
+"""DuckDB SQL for the operator pipeline (oracle side).
+
+Each CTE restates one stage of the Spark operators in plain SQL over the
+fixture CTEs of `callscope.plans.oracle`. Nested outputs are compared as
+JSON text with nulls kept, as the Spark queries render them.
+"""
+
+from __future__ import annotations
+
+from callscope.plans.oracle import MSG_T, TOOL_T, sql_format, sql_redact, sql_uuid, sql_vars
+
+UUID_RE = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[1-5][0-9a-fA-F]{3}-[89abAB][0-9a-fA-F]{3}-[0-9a-fA-F]{12}$"
+DEFAULT_KEY = "'key-default'"
+
+
+def leaf_vars(m: str) -> str:
+    return f"list_concat(coalesce({sql_vars(m + '.role')}, []::VARCHAR[]), coalesce({sql_vars(m + '.content')}, []::VARCHAR[]))"
+
+
+def fmt_msg(m: str, p: str) -> str:
+    return f"{{'role': {sql_format(m + '.role', p)}, 'content': {sql_format(m + '.content', p)}}}"
+
+
+def splice(msgs: str, p: str, h: str) -> str:
+    return (f"flatten(list_transform({msgs}, lambda m: CASE WHEN m.role = 'chat_history' "
+            f"THEN flatten(list_transform({leaf_vars('m')}, lambda n: coalesce({h}[n], []::{MSG_T}[]))) "
+            f"ELSE [{fmt_msg('m', p)}] END))")
+
+
+def history_errors(msgs: str, h: str) -> str:
+    items = f"list_filter({msgs}, lambda m: m.role = 'chat_history')"
+    no_var = (f"list_transform(list_filter({items}, lambda m: len({leaf_vars('m')}) = 0), "
+              f"lambda m: 'chat_history item without a variable')")
+    missing = (f"list_transform(list_filter(flatten(list_transform({items}, lambda m: {leaf_vars('m')})), "
+               f"lambda n: {h}[n] IS NULL), lambda n: concat('no history for variable ', n))")
+    return f"list_concat(coalesce({no_var}, []::VARCHAR[]), coalesce({missing}, []::VARCHAR[]))"
+
+
+def missing_vars(t: str, p: str) -> str:
+    return f"list_filter({sql_vars(t)}, lambda n: NOT coalesce(map_contains({p}, n), false))"
+
+
+def msg_vars(msgs: str) -> str:
+    return f"flatten(list_transform({msgs}, lambda m: {leaf_vars('m')}))"
+
+
+def redact_params(p: str) -> str:
+    return (f"map_from_entries(list_transform(map_entries({p}), "
+            f"lambda e: {{'key': e.key, 'value': {sql_redact('e.value')}}}))")
+
+
+def redact_history(h: str) -> str:
+    inner = f"list_transform(e.value, lambda m: {{'role': {sql_redact('m.role')}, 'content': {sql_redact('m.content')}}})"
+    return f"map_from_entries(list_transform(map_entries({h}), lambda e: {{'key': e.key, 'value': {inner}}}))"
+
+
+CHAT_PIECE = ("CASE WHEN usage IS NULL THEN concat_ws('', CASE WHEN content <> '' THEN content END, "
+              "CASE WHEN tool_calls IS NULL AND function_call IS NOT NULL THEN CAST(to_json(function_call) AS VARCHAR) END) END")
+
+
+def tools_from(chunks: str) -> str:
+    """A2 over a chunk CTE: call_id -> tool_calls list ordered by index."""
+    return f"""
+SELECT call_id, list({{'index': idx, 'id': head.id, 'type': head.type, 'name': head.name,
+                      'arguments': args}}::{TOOL_T} ORDER BY idx) AS tool_calls
+FROM (
+  SELECT call_id, idx, coalesce(string_agg(arguments, '' ORDER BY seq, pos), '') AS args,
+         arg_min_null({{'id': id, 'type': type, 'name': name}}, seq * 1000000 + pos) AS head
+  FROM (
+    SELECT call_id, seq, coalesce(p['index'], 0) AS idx, p.id AS id, p.type AS type, p.name AS name,
+           p.arguments AS arguments, pos
+    FROM (SELECT call_id, seq, unnest(tool_calls) AS p, unnest(generate_series(1, len(tool_calls))) AS pos
+          FROM {chunks} WHERE usage IS NULL AND tool_calls IS NOT NULL))
+  GROUP BY call_id, idx)
+GROUP BY call_id
+"""
+
+
+PIPELINE: dict[str, tuple[list[str], str]] = {}
+
+PIPELINE["streamed"] = (["chunks"], f"""
+SELECT call_id,
+  coalesce(string_agg({CHAT_PIECE}, '' ORDER BY seq), '') AS s_chat_text,
+  coalesce(string_agg(text, '' ORDER BY seq), '') AS s_completion_text,
+  arg_min_null({{'role': role, 'content': content, 'function_call': function_call, 'tool_calls': tool_calls,
+                'finish_reason': finish_reason, 'usage': usage, 'logprobs': logprobs}}, seq) AS first_chunk,
+  arg_max_null(usage, seq) FILTER (WHERE usage IS NOT NULL) AS s_chat_usage,
+  arg_max_null(finish_reason, seq) FILTER (WHERE usage IS NULL AND finish_reason <> '') AS s_chat_finish,
+  arg_max_null({{'usage': usage, 'finish_reason': finish_reason, 'logprobs': logprobs}}, seq) AS s_last,
+  count(*) AS s_n_chunks
+FROM chunks GROUP BY call_id
+""")
+
+PIPELINE["stools"] = (["chunks"], tools_from("chunks"))
+
+PIPELINE["results"] = (["calls", "streamed", "stools"], f"""
+SELECT c.call_id,
+  CASE WHEN c.is_stream THEN CASE WHEN c.kind = 'chat' THEN coalesce(s.s_chat_text, '')
+                                  ELSE coalesce(s.s_completion_text, '') END
+       WHEN c.kind = 'chat' THEN coalesce(CAST(to_json(c.function_call) AS VARCHAR), c.content)
+       WHEN c.content <> '' THEN c.content END AS response,
+  CASE WHEN c.is_stream AND c.kind = 'chat' THEN t.tool_calls
+       WHEN c.is_stream THEN NULL
+       WHEN c.kind = 'chat' THEN c.tool_calls ELSE []::{TOOL_T}[] END AS tool_calls,
+  CASE WHEN c.is_stream THEN CASE WHEN c.kind = 'chat' THEN s.s_chat_usage ELSE s.s_last.usage END
+       WHEN c.kind = 'chat' OR c.content <> '' THEN c.usage END AS usage,
+  CASE WHEN c.is_stream THEN CASE WHEN c.kind = 'chat' THEN s.s_chat_finish ELSE s.s_last.finish_reason END
+       WHEN c.kind = 'chat' OR c.content <> '' THEN c.finish_reason END AS finish_reason,
+  CASE WHEN c.is_stream THEN CASE WHEN c.kind <> 'chat' THEN s.s_last.logprobs END
+       WHEN c.kind = 'chat' OR c.content <> '' THEN c.logprobs END AS logprobs,
+  CASE WHEN c.is_stream AND c.kind = 'chat' THEN to_json({{
+         'role': s.first_chunk.role,
+         'content': CASE WHEN coalesce(s.s_chat_text, '') <> '' AND s.first_chunk.content <> ''
+                         THEN coalesce(s.s_chat_text, '') ELSE s.first_chunk.content END,
+         'function_call': s.first_chunk.function_call,
+         'tool_calls': CASE WHEN t.tool_calls IS NOT NULL AND s.first_chunk.tool_calls IS NOT NULL
+                            THEN t.tool_calls ELSE s.first_chunk.tool_calls END,
+         'finish_reason': CASE WHEN s.s_chat_finish <> '' AND s.first_chunk.finish_reason <> ''
+                               THEN s.s_chat_finish ELSE s.first_chunk.finish_reason END,
+         'usage': coalesce(s.s_chat_usage, s.first_chunk.usage),
+         'is_stream': true}})::VARCHAR
+       WHEN NOT c.is_stream THEN to_json({{'content': c.content, 'function_call': c.function_call,
+         'tool_calls': c.tool_calls, 'finish_reason': c.finish_reason, 'usage': c.usage,
+         'logprobs': c.logprobs}})::VARCHAR END AS raw_response
+FROM calls c LEFT JOIN streamed s ON c.call_id = s.call_id LEFT JOIN stools t ON c.call_id = t.call_id
+WHERE c.error IS NULL
+""")
+
+_NON_HISTORY = "list_filter(messages, lambda m: coalesce(m.role <> 'chat_history', true))"
+_CHAT_MISSING = (f"list_filter(list_distinct({msg_vars(_NON_HISTORY)}), "
+                 "lambda n: NOT coalesce(map_contains(params, n), false))")
+
+PIPELINE["cfg_calls"] = (["calls"], f"""
+SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key,
+                  coalesce(chain_id, parent_event_id) AS chain_id,
+                  coalesce(feedback_key, {sql_uuid('call_id')}) AS feedback_key)
+FROM calls
+""")
+
+PIPELINE["resolved"] = (["cfg_calls"], f"""
+SELECT *,
+  CASE WHEN kind = 'chat' AND is_template THEN {splice('messages', 'params', 'history_params')}
+       WHEN kind = 'chat' THEN messages END AS resolved_messages,
+  CASE WHEN kind = 'chat' AND is_template THEN messages END AS template_messages,
+  CASE WHEN kind <> 'chat' AND is_template THEN {sql_format('prompt', 'params')}
+       WHEN kind <> 'chat' THEN coalesce(prompt, array_to_string(prompt_parts, '')) END AS resolved_prompt,
+  CASE WHEN kind <> 'chat' AND is_template THEN prompt END AS template_prompt,
+  CASE WHEN NOT is_template THEN []::VARCHAR[]
+       WHEN kind = 'chat' THEN list_concat(list_concat(
+            CASE WHEN params IS NULL THEN ['template requires params'] ELSE []::VARCHAR[] END,
+            coalesce(list_transform({_CHAT_MISSING}, lambda n: concat('missing variable ', n)), []::VARCHAR[])),
+            coalesce({history_errors('messages', 'history_params')}, []::VARCHAR[]))
+       ELSE list_concat(CASE WHEN params IS NULL THEN ['template requires params'] ELSE []::VARCHAR[] END,
+            coalesce(list_transform({missing_vars('prompt', 'params')}, lambda n: concat('missing variable ', n)),
+                     []::VARCHAR[])) END AS template_errors
+FROM cfg_calls
+""")
+
+PIPELINE["prepared"] = (["resolved"], """
+SELECT * FROM resolved
+WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> '' AND len(template_errors) = 0
+""")
+
+PIPELINE["raw_events"] = (["prepared", "results"], f"""
+SELECT p.kind AS event_kind, p.call_id, p.started_at, p.feedback_key, p.api_key, p.prompt_template_name,
+  p.prompt_template_name AS api_name,
+  CASE WHEN p.kind <> 'chat' THEN coalesce(p.template_prompt, p.resolved_prompt) END AS prompt_template_text,
+  CASE WHEN p.kind = 'chat' THEN coalesce(p.template_chat, p.template_messages, p.resolved_messages)
+       END AS prompt_template_chat,
+  coalesce(p.params, map([]::VARCHAR[], []::VARCHAR[])) AS params,
+  p.history_params,
+  CASE WHEN p.error IS NULL THEN r.response END AS response,
+  CASE WHEN p.kind = 'chat' AND p.error IS NULL THEN r.raw_response END AS raw_response,
+  CASE WHEN p.kind = 'chat' AND p.error IS NULL THEN r.tool_calls END AS tool_calls,
+  CAST(date_diff('millisecond', p.started_at, p.ended_at) AS BIGINT) AS response_time,
+  CASE WHEN p.error IS NOT NULL THEN [CAST(to_json(p.error) AS VARCHAR)] END AS response_errors,
+  CASE WHEN p.error IS NULL THEN {{'usage': r.usage, 'finish_reason': r.finish_reason, 'logprobs': r.logprobs}}
+       END AS response_metrics,
+  {{'model_provider': 'openai', 'model_type': p.kind, 'model': p.model, 'max_tokens': p.max_tokens}}
+       AS model_parameters,
+  p.chat_id, p.chain_id,
+  CASE WHEN p.kind <> 'chat' THEN p.context END AS context,
+  CASE WHEN p.kind = 'chat' THEN p.tools END AS tools
+FROM prepared p LEFT JOIN results r ON p.call_id = r.call_id
+""")
+
+PIPELINE["gated_events"] = (["raw_events"], f"""
+SELECT * FROM raw_events
+WHERE api_key IS NOT NULL AND api_key <> ''
+  AND (chain_id IS NULL OR regexp_matches(chain_id, '{UUID_RE}'))
+""")
+
+PIPELINE["call_events"] = (["gated_events"], f"""
+SELECT * REPLACE (
+  {redact_params('params')} AS params,
+  {redact_history('history_params')} AS history_params,
+  {sql_redact('response')} AS response,
+  list_transform(tool_calls, lambda t: {{'index': t['index'], 'id': t.id, 'type': t.type, 'name': t.name,
+                                         'arguments': {sql_redact('t.arguments')}}}) AS tool_calls)
+FROM gated_events
+""")
+
+FLAT_EVENT_COLUMNS = (
+    "event_kind, call_id, feedback_key, api_key, prompt_template_name, api_name, prompt_template_text, "
+    "to_json(prompt_template_chat) AS prompt_template_chat, to_json(params) AS params, "
+    "to_json(history_params) AS history_params, response, raw_response, to_json(tool_calls) AS tool_calls, "
+    "response_time, to_json(response_errors) AS response_errors, to_json(response_metrics) AS response_metrics, "
+    "to_json(model_parameters) AS model_parameters, chat_id, chain_id, to_json(context) AS context, tools"
+)

@@ -224,20 +224,26 @@ def tool_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text template per order, with parameters from the order and its
-    customer. Every tenth name is the text `{status}` (substitution must not
-    expand it again); every seventh order lacks `status`."""
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    customer. Every third template also asks for `{priority}`, the others
+    carry the priority as text; every tenth name is the text `{status}`
+    (substitution must not expand it again); every seventh order lacks
+    `status`."""
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     key = F.col("o_orderkey")
     name = F.when(key % 10 == 0, F.lit("{status}")).otherwise(F.col("c_name"))
     oid = key.cast("string")
-    params = F.when(key % 7 == 0, F.create_map(F.lit("name"), name, F.lit("order.id"), oid)) \
+    prio = F.col("o_orderpriority")
+    template = F.when(key % 3 == 0, F.concat(F.lit(ORDER_TEMPLATE), F.lit(" ({priority})"))) \
+        .otherwise(F.concat(F.lit(ORDER_TEMPLATE), F.lit(" ["), prio, F.lit("]")))
+    params = F.when(key % 7 == 0, F.create_map(F.lit("name"), name, F.lit("order.id"), oid,
+                                               F.lit("priority"), prio)) \
         .otherwise(F.create_map(F.lit("name"), name, F.lit("order.id"), oid,
-                                F.lit("status"), F.col("o_orderstatus")))
+                                F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), prio))
     return j.select(
         key.alias("row_id"),
-        F.lit(ORDER_TEMPLATE).alias("template"),
+        template.alias("template"),
         params.alias("params"),
         F.create_map(F.lit("k_{order.id}"), F.lit("Dear {name}"), F.lit("state"), F.lit("{status}"))
         .alias("map_template"),
