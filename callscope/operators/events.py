@@ -216,11 +216,31 @@ def call_events(calls: DataFrame, chunks: DataFrame, cfg: Config = Config(),
     return ev.select(*EVENT_COLUMNS)
 
 
+EVENT_TYPES = {
+    "event_kind": "string", "call_id": "string", "started_at": "timestamp", "feedback_key": "string",
+    "api_key": "string", "prompt_template_name": "string", "api_name": "string",
+    "prompt_template_text": "string", "prompt_template_chat": "array<struct<role:string,content:string>>",
+    "params": PARAMS_T, "history_params": HISTORY_T, "response": "string", "raw_response": "string",
+    "tool_calls": "array<struct<index:int,id:string,type:string,name:string,arguments:string>>",
+    "response_time": "bigint", "response_errors": "array<string>",
+    "response_metrics": "struct<usage:struct<prompt_tokens:bigint,completion_tokens:bigint,"
+                        "total_tokens:bigint>,finish_reason:string,logprobs:string>",
+    "model_parameters": "struct<model_provider:string,model_type:string,model:string,max_tokens:int>",
+    "chat_id": "string", "chain_id": "string", "context": PARAMS_T, "tools": "string",
+}
+
+
+def conform_events(df: DataFrame) -> DataFrame:
+    """Any producer's events in the one event schema (absent columns null)."""
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                       for c, t in EVENT_TYPES.items()])
+
+
 def events_all(*parts: DataFrame) -> DataFrame:
     """Chat, completion and assistant events as one table."""
-    out = parts[0]
+    out = conform_events(parts[0])
     for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+        out = out.unionByName(conform_events(p))
     return out
 
 

@@ -15,8 +15,8 @@ from callscope.operators.events import Config
 from callscope.operators.ordering import rank_within
 
 # Fixed value: wire names of feedback fields that differ from ours.
-FEEDBACK_WIRE_NAMES = {"feedback_key": "feedback_key", "better_response": "better_response",
-                       "is_deleted": "is_deleted", "rating": "rating", "api_key": "apiKey"}
+FEEDBACK_WIRE_NAMES = {"feedback_key": "feedback_key", "rating": "rating", "better_response": "better_response",
+                       "is_deleted": "is_deleted", "api_key": "apiKey"}
 
 
 def _truthy(c: Column) -> Column:

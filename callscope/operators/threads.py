@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.operators.events import Config
+from callscope.operators.events import Config, conform_events
 from callscope.operators.ordering import previous_within
 
 ERROR_STATUSES = ("failed", "cancelled", "incomplete")
@@ -171,3 +171,10 @@ def delete_tombstones(deletes: DataFrame, cfg: Config = Config()) -> DataFrame:
         F.lit(cfg.api_key).cast("string").alias("api_key"),
         F.lit(None).cast("timestamp").alias("ts"),
     )
+
+
+def assistant_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame, cursors: DataFrame,
+                     cfg: Config = Config(), max_per_run: int = MAX_PER_RUN) -> DataFrame:
+    """Message events and run error events in the event schema."""
+    return conform_events(message_events(runs, assistants, messages, cursors, cfg, max_per_run)) \
+        .unionByName(conform_events(run_error_events(runs, assistants, cfg)))

@@ -170,7 +170,8 @@ WHERE kind <> 'chat' OR seq < n OR seq >= n + 2 OR (seq = n AND (fc_call OR tool
 """ % {"TOOL": TOOL_T})
 
 FIXTURES["tool_chunks"] = ([], """
-SELECT call_id, seq, list(piece ORDER BY piece."index") AS tool_calls FROM (
+SELECT call_id, seq, list(piece ORDER BY piece."index") AS tool_calls,
+  CAST(NULL AS STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT)) AS usage FROM (
   SELECT concat('tc-', event_id // 3) AS call_id, CAST(0 AS BIGINT) AS seq,
          {'index': CAST(event_id %% 3 AS INTEGER), 'id': concat('call_', event_id), 'type': 'function',
           'name': event_type, 'arguments': substring(props, 1, 4)}::%(TOOL)s AS piece

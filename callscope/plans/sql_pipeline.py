@@ -207,3 +207,131 @@ FLAT_EVENT_COLUMNS = (
     "response_time, to_json(response_errors) AS response_errors, to_json(response_metrics) AS response_metrics, "
     "to_json(model_parameters) AS model_parameters, chat_id, chain_id, to_json(context) AS context, tools"
 )
+
+# ------------------------------------------------------------ thread runs
+
+ASSISTANT_TEMPLATE = ("[{'role': 'assistant', 'content': a.instructions}, "
+                      "{'role': 'chat_history', 'content': '{chat_history}'}]")
+
+PIPELINE["runs_gated"] = (["runs"], """
+SELECT *, CASE WHEN status IN ('failed', 'cancelled', 'incomplete') THEN 'error'
+               WHEN status = 'completed' THEN 'messages' ELSE 'ignore' END AS route
+FROM runs WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> ''
+""")
+
+PIPELINE["msg_runs"] = (["runs_gated"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY run_id DESC) AS rn
+  FROM runs_gated WHERE route = 'messages') WHERE rn = 1
+""")
+
+PIPELINE["after_cursor"] = (["messages", "cursors"], """
+SELECT m.*, row_number() OVER (PARTITION BY m.thread_id ORDER BY m.pos, m.msg_id) AS n_in_run
+FROM messages m LEFT JOIN cursors c ON m.thread_id = c.thread_id
+WHERE m.pos > coalesce(c.last_pos, -1)
+""")
+
+PIPELINE["sent"] = (["after_cursor", "msg_runs"], """
+SELECT a.thread_id, a.msg_id, a.pos, a.role, a.content, a.n_in_run,
+       r.run_id, r.status, r.assistant_id, r.prompt_template_name, r.api_key, r.model
+FROM after_cursor a JOIN msg_runs r ON a.thread_id = r.thread_id
+WHERE a.n_in_run <= 100 AND coalesce(a.content[1].type = 'text', false)
+""")
+
+PIPELINE["asst_msg_events"] = (["sent", "assistants"], f"""
+SELECT 'assistant' AS event_kind, s.msg_id AS call_id, s.msg_id AS feedback_key,
+  coalesce(s.api_key, {DEFAULT_KEY}) AS api_key,
+  coalesce(a.name, s.assistant_id) AS prompt_template_name,
+  coalesce(s.prompt_template_name, a.name, s.assistant_id) AS api_name,
+  CAST(NULL AS VARCHAR) AS prompt_template_text,
+  {ASSISTANT_TEMPLATE} AS prompt_template_chat,
+  map([]::VARCHAR[], []::VARCHAR[]) AS params,
+  map(['chat_history'], [[{{'role': s.role, 'content': s.content[1].value}}]]) AS history_params,
+  s.content[1].value AS response,
+  CAST(1 AS BIGINT) AS response_time,
+  CAST(NULL AS VARCHAR[]) AS response_errors,
+  {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(s.model, a.model),
+    'max_tokens': CAST(NULL AS INTEGER)}} AS model_parameters,
+  CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
+  CAST(NULL AS {TOOL_T}[]) AS tool_calls,
+  CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
+                      finish_reason VARCHAR, logprobs VARCHAR)) AS response_metrics,
+  CAST(NULL AS VARCHAR) AS chain_id, CAST(NULL AS MAP(VARCHAR, VARCHAR)) AS context,
+  CAST(NULL AS VARCHAR) AS tools,
+  s.msg_id AS chat_id
+FROM sent s LEFT JOIN assistants a ON s.assistant_id = a.assistant_id
+""")
+
+PIPELINE["asst_err_events"] = (["runs_gated", "assistants"], f"""
+SELECT 'assistant' AS event_kind, r.run_id AS call_id, CAST(NULL AS VARCHAR) AS feedback_key,
+  coalesce(r.api_key, {DEFAULT_KEY}) AS api_key,
+  coalesce(a.name, r.assistant_id) AS prompt_template_name,
+  coalesce(r.prompt_template_name, a.name, r.assistant_id) AS api_name,
+  CAST(NULL AS VARCHAR) AS prompt_template_text,
+  {ASSISTANT_TEMPLATE} AS prompt_template_chat,
+  map([]::VARCHAR[], []::VARCHAR[]) AS params,
+  CAST(NULL AS MAP(VARCHAR, {MSG_T}[])) AS history_params,
+  CAST(NULL AS VARCHAR) AS response,
+  CAST(1 AS BIGINT) AS response_time,
+  [CAST(to_json(r.last_error) AS VARCHAR)] AS response_errors,
+  {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(r.model, a.model),
+    'max_tokens': CAST(NULL AS INTEGER)}} AS model_parameters,
+  CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
+  CAST(NULL AS {TOOL_T}[]) AS tool_calls,
+  CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
+                      finish_reason VARCHAR, logprobs VARCHAR)) AS response_metrics,
+  CAST(NULL AS VARCHAR) AS chain_id, CAST(NULL AS MAP(VARCHAR, VARCHAR)) AS context,
+  CAST(NULL AS VARCHAR) AS tools,
+  r.thread_id AS chat_id
+FROM runs_gated r LEFT JOIN assistants a ON r.assistant_id = a.assistant_id
+WHERE r.route = 'error'
+""")
+
+PIPELINE["assistant_events"] = (["asst_msg_events", "asst_err_events"], """
+SELECT * FROM asst_msg_events UNION ALL BY NAME SELECT * FROM asst_err_events
+""")
+
+PIPELINE["all_events"] = (["call_events", "assistant_events"], """
+SELECT * FROM call_events UNION ALL BY NAME SELECT * FROM assistant_events
+""")
+
+# ---------------------------------------------------------------- feedback
+
+PIPELINE["tombstones"] = (["deletes"], f"""
+SELECT msg_id AS feedback_key, CAST(NULL AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS better_response,
+       true AS is_deleted, {DEFAULT_KEY} AS api_key, CAST(NULL AS TIMESTAMP) AS ts
+FROM deletes
+""")
+
+PIPELINE["fb_gated"] = (["feedback"], f"""
+SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key) FROM feedback
+WHERE feedback_key IS NOT NULL AND feedback_key <> '' AND coalesce(api_key, {DEFAULT_KEY}) <> ''
+""")
+
+PIPELINE["fb_all"] = (["fb_gated", "tombstones"], """
+SELECT * FROM fb_gated UNION ALL BY NAME SELECT * FROM tombstones
+""")
+
+PIPELINE["fb_by_key"] = (["fb_all"], """
+SELECT feedback_key,
+  arg_max_null({'rating': rating, 'better_response': better_response}, ts)
+    FILTER (WHERE rating IS NOT NULL OR better_response IS NOT NULL) AS fb,
+  bool_or(coalesce(is_deleted, false)) AS is_deleted
+FROM fb_all GROUP BY feedback_key
+""")
+
+PIPELINE["events_fb"] = (["all_events", "fb_by_key"], """
+SELECT e.*, f.fb.rating AS rating, f.fb.better_response AS better_response,
+       coalesce(f.is_deleted, false) AS is_deleted
+FROM all_events e LEFT JOIN fb_by_key f ON e.feedback_key = f.feedback_key
+""")
+
+PIPELINE["chains_gated"] = (["chain_updates"], f"""
+SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key) FROM chain_updates
+WHERE id IS NOT NULL AND id <> '' AND coalesce(api_key, {DEFAULT_KEY}) <> ''
+""")
+
+PIPELINE["chain_results"] = (["chains_gated"], """
+SELECT id, arg_max_null(result, (ts, update_id)) AS result, count(*) AS n_updates
+FROM chains_gated GROUP BY id
+""")

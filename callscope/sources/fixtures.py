@@ -219,7 +219,8 @@ def tool_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.substring("props", 5, 1 << 30).alias("arguments")).alias("piece")),
         )).alias("p"))
     return pieces.groupBy("call_id", F.col("p.seq").alias("seq")).agg(
-        F.array_sort(F.collect_list("p.piece")).alias("tool_calls"))
+        F.array_sort(F.collect_list("p.piece")).alias("tool_calls"),
+        F.lit(None).cast(schemas.USAGE).alias("usage"))
 
 
 def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
