@@ -146,19 +146,18 @@ def static_completion(calls: DataFrame) -> DataFrame:
     )
 
 
-def raw_stream_response(a: DataFrame) -> Column:
+def raw_stream_response(final_text: Column, final_usage: Column, final_finish: Column) -> Column:
     """The first chunk, with content, tool calls and finish reason
     replaced by the final values only where the first chunk already has a
     truthy one; usage added; marked as a stream."""
     f = F.col("first_chunk")
-    final_text = F.col("s_text")
     truthy = lambda c: c.isNotNull() & (c != "")
     content = F.when(truthy(final_text) & truthy(f["content"]), final_text).otherwise(f["content"])
     tools = F.when(F.col("s_tools").isNotNull() & f["tool_calls"].isNotNull(), F.col("s_tools")) \
         .otherwise(f["tool_calls"])
-    finish = F.when(truthy(F.col("s_finish")) & truthy(f["finish_reason"]), F.col("s_finish")) \
+    finish = F.when(truthy(final_finish) & truthy(f["finish_reason"]), final_finish) \
         .otherwise(f["finish_reason"])
-    usage = F.coalesce(F.col("s_usage"), f["usage"])
+    usage = F.coalesce(final_usage, f["usage"])
     return F.to_json(F.struct(f["role"].alias("role"), content.alias("content"),
                               f["function_call"].alias("function_call"), tools.alias("tool_calls"),
                               finish.alias("finish_reason"), usage.alias("usage"),
@@ -182,36 +181,44 @@ def streamed_results(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame
     )
 
 
-def resolve_results(calls: DataFrame, chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """One result per call that did not fail, streamed or static.
-
-    Output: call_id, response, tool_calls, usage, finish_reason, logprobs,
-    raw_response (JSON text). Both sides of the join are grouped by
-    `call_id`, so the join reuses the aggregation's partitioning.
-    """
-    c = calls.where(F.col("error").isNull())
-    j = c.join(streamed_results(chunks, block), "call_id", "left")
+def result_columns(j: DataFrame) -> list[Column]:
+    """A11 projection over calls joined to `streamed_results` (columns
+    `s_*`, `first_chunk`): response, tool_calls, usage, finish_reason,
+    logprobs, raw_response, streamed or static, chat or completion."""
     is_chat = F.col("kind") == "chat"
     stream = F.col("is_stream")
     s_text = F.when(is_chat, F.coalesce(F.col("s_chat_text"), F.lit(""))) \
         .otherwise(F.coalesce(F.col("s_completion_text"), F.lit("")))
-    j = j.withColumn("s_text", s_text) \
-        .withColumn("s_usage", F.when(is_chat, F.col("s_chat_usage")).otherwise(F.col("s_last.usage"))) \
-        .withColumn("s_finish", F.when(is_chat, F.col("s_chat_finish")).otherwise(F.col("s_last.finish_reason")))
+    s_usage = F.when(is_chat, F.col("s_chat_usage")).otherwise(F.col("s_last.usage"))
+    s_finish = F.when(is_chat, F.col("s_chat_finish")).otherwise(F.col("s_last.finish_reason"))
     ok = F.col("content").isNotNull() & (F.col("content") != "")
     empty_tools = F.array().cast("array<struct<index:int,id:string,type:string,name:string,arguments:string>>")
     static_raw = F.to_json(F.struct("content", "function_call", "tool_calls", "finish_reason", "usage", "logprobs"),
                            KEEP_NULLS)
-    return j.select(
-        "call_id",
-        F.when(stream, F.col("s_text"))
+    return [
+        F.when(stream, s_text)
         .when(is_chat, F.coalesce(F.to_json(F.col("function_call")), F.col("content")))
-        .when(ok, F.col("content")).alias("response"),
+        .when(ok, F.col("content")).alias("r_response"),
         F.when(stream & is_chat, F.col("s_tools")).when(stream, F.lit(None))
-        .when(is_chat, F.col("tool_calls")).otherwise(empty_tools).alias("tool_calls"),
-        F.when(stream, F.col("s_usage")).when(is_chat | ok, F.col("usage")).alias("usage"),
-        F.when(stream, F.col("s_finish")).when(is_chat | ok, F.col("finish_reason")).alias("finish_reason"),
+        .when(is_chat, F.col("tool_calls")).otherwise(empty_tools).alias("r_tool_calls"),
+        F.when(stream, s_usage).when(is_chat | ok, F.col("usage")).alias("r_usage"),
+        F.when(stream, s_finish).when(is_chat | ok, F.col("finish_reason")).alias("r_finish"),
         F.when(stream, F.when(~is_chat, F.col("s_last.logprobs")))
-        .when(is_chat | ok, F.col("logprobs")).alias("logprobs"),
-        F.when(stream & is_chat, raw_stream_response(j)).when(~stream, static_raw).alias("raw_response"),
-    )
+        .when(is_chat | ok, F.col("logprobs")).alias("r_logprobs"),
+        F.when(stream & is_chat, raw_stream_response(s_text, s_usage, s_finish))
+        .when(~stream, static_raw).alias("raw_response"),
+    ]
+
+
+def resolve_results(calls: DataFrame, chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """One result per call that did not fail, streamed or static.
+
+    Output: call_id, response, tool_calls, usage, finish_reason, logprobs,
+    raw_response (JSON text). The streamed side is grouped by `call_id`,
+    so the join reuses that partitioning.
+    """
+    c = calls.where(F.col("error").isNull())
+    j = c.join(streamed_results(chunks, block), "call_id", "left")
+    return j.select("call_id", *result_columns(j)).withColumnsRenamed({
+        "r_response": "response", "r_tool_calls": "tool_calls", "r_usage": "usage",
+        "r_finish": "finish_reason", "r_logprobs": "logprobs"})

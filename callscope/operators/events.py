@@ -17,7 +17,7 @@ from callscope import schemas
 from callscope.functions import templates as tp
 from callscope.functions.ids import is_uuid, stable_uuid
 from callscope.functions.redact import redact_text, redact_value
-from callscope.operators.assemble import DEFAULT_BLOCK, resolve_results
+from callscope.operators.assemble import DEFAULT_BLOCK, result_columns, streamed_results
 
 PARAMS_T = "map<string,string>"
 HISTORY_T = "map<string,array<struct<role:string,content:string>>>"
@@ -175,7 +175,7 @@ def _events_from(j: DataFrame) -> DataFrame:
                                    F.col("resolved_messages"))).alias("prompt_template_chat"),
         F.coalesce(F.col("params"), F.create_map().cast(PARAMS_T)).alias("params"),
         F.col("history_params").cast(HISTORY_T).alias("history_params"),
-        F.when(~failed, F.col("response")).alias("response"),
+        F.when(~failed, F.col("r_response")).alias("response"),
         F.when(is_chat & ~failed, F.col("raw_response")).alias("raw_response"),
         F.when(is_chat & ~failed, F.col("r_tool_calls")).alias("tool_calls"),
         response_time().alias("response_time"),
@@ -201,14 +201,12 @@ def call_events(calls: DataFrame, chunks: DataFrame, cfg: Config = Config(),
                 block: int = DEFAULT_BLOCK, gate: bool = True) -> DataFrame:
     """E1, E2, E10 with E4-E9 and R3-R5: one event per chat or completion call.
 
-    The call log is joined once to the assembled chunk results on
-    `call_id`; redaction runs after the gates.
+    The gated, resolved call log is joined once to the assembled chunk
+    aggregates on `call_id` (a single branch over the call log); redaction
+    runs after the gates.
     """
-    prepared = prepared_calls(calls, cfg)
-    results = resolve_results(calls, chunks, block).select(
-        "call_id", "response", F.col("tool_calls").alias("r_tool_calls"), F.col("usage").alias("r_usage"),
-        F.col("finish_reason").alias("r_finish"), F.col("logprobs").alias("r_logprobs"), "raw_response")
-    ev = _events_from(prepared.join(results, "call_id", "left"))
+    j = prepared_calls(calls, cfg).join(streamed_results(chunks, block), "call_id", "left")
+    ev = _events_from(j.select("*", *result_columns(j)))
     if gate:
         ev = gate_chain_uuid(gate_api_key(ev))
     if cfg.redact_pii:

@@ -1,0 +1,16 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when `df` has fewer partitions than the
+    cluster has cores (one big file, one row group), ahead of CPU-bound work
+    such as the redaction regexes. Inputs of many files are left alone, so
+    at scale this adds no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

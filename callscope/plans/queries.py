@@ -69,7 +69,8 @@ SELECT doc_id, {osql.sql_redact('text')} AS text_redacted FROM documents"""))
 def q_redact_text(spark, sf):
     """R1 over whole documents."""
     from callscope.sources.tables import read_table
-    d = read_table(spark, sf, "documents", "doc_id", "text")
+    from callscope.operators.partitioning import spread
+    d = spread(read_table(spark, sf, "documents", "doc_id", "text"))
     return d.select("doc_id", redact_text("text").alias("text_redacted"))
 
 
@@ -686,3 +687,70 @@ def q_sink_feedback(spark, sf):
 def q_chain_upsert(spark, sf):
     """K3: each chain's result, last write wins."""
     return fb.chain_upsert(fb.chain_gate(fx.chain_updates(spark, sf), CFG))
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+from callscope.sources import logs as lg  # noqa: E402
+from callscope.sources import sinks as sk  # noqa: E402
+from callscope.session import scratch_path  # noqa: E402
+
+
+@register("src_calls", sql(["calls"], """
+SELECT call_id, kind, is_stream, is_template, api_key, prompt_template_name, feedback_key, chat_id, chain_id,
+  parent_event_id, model, max_tokens, epoch_ms(started_at) AS started_ms, epoch_ms(ended_at) AS ended_ms, tools,
+  CAST(to_json(context) AS VARCHAR) AS context, CAST(to_json(messages) AS VARCHAR) AS messages,
+  CAST(to_json(params) AS VARCHAR) AS params, CAST(to_json(history_params) AS VARCHAR) AS history_params,
+  CAST(to_json(template_chat) AS VARCHAR) AS template_chat, prompt,
+  CAST(to_json(prompt_parts) AS VARCHAR) AS prompt_parts, CAST(to_json(error) AS VARCHAR) AS error, content,
+  CAST(to_json(function_call) AS VARCHAR) AS function_call, CAST(to_json(tool_calls) AS VARCHAR) AS tool_calls,
+  finish_reason, CAST(to_json(usage) AS VARCHAR) AS usage, logprobs
+FROM calls"""))
+def q_src_calls(spark, sf):
+    """The call log read back from JSON lines with its schema."""
+    c = lg.calls_log(spark, sf)
+    return c.select(
+        "call_id", "kind", "is_stream", "is_template", "api_key", "prompt_template_name", "feedback_key",
+        "chat_id", "chain_id", "parent_event_id", "model", "max_tokens",
+        F.unix_millis("started_at").alias("started_ms"), F.unix_millis("ended_at").alias("ended_ms"), "tools",
+        *[js(c_).alias(c_) for c_ in ("context", "messages", "params", "history_params", "template_chat")],
+        "prompt", js("prompt_parts").alias("prompt_parts"), js("error").alias("error"), "content",
+        js("function_call").alias("function_call"), js("tool_calls").alias("tool_calls"), "finish_reason",
+        js("usage").alias("usage"), "logprobs")
+
+
+@register("src_chunks", sql(["chunks"], """
+SELECT call_id, seq, epoch_ms(ts) AS ts_ms, role, content, text,
+  CAST(to_json(function_call) AS VARCHAR) AS function_call, CAST(to_json(tool_calls) AS VARCHAR) AS tool_calls,
+  finish_reason, CAST(to_json(usage) AS VARCHAR) AS usage, logprobs
+FROM chunks"""))
+def q_src_chunks(spark, sf):
+    """The chunk log read back from parquet with its schema."""
+    c = lg.chunks_log(spark, sf)
+    return c.select("call_id", "seq", F.unix_millis("ts").alias("ts_ms"), "role", "content", "text",
+                    js("function_call").alias("function_call"), js("tool_calls").alias("tool_calls"),
+                    "finish_reason", js("usage").alias("usage"), "logprobs")
+
+
+@register("src_threads", sql(["messages", "runs", "assistants"], """
+SELECT m.thread_id, m.msg_id, m.pos, m.role, CAST(to_json(m.content) AS VARCHAR) AS content,
+       r.run_id, r.status, a.name AS assistant_name
+FROM messages m LEFT JOIN runs r ON m.thread_id = r.thread_id
+LEFT JOIN assistants a ON r.assistant_id = a.assistant_id"""))
+def q_src_threads(spark, sf):
+    """S3: runs, assistants and messages read back with their schemas."""
+    runs, asst, msgs = lg.thread_logs(spark, sf)
+    j = msgs.join(runs.select("thread_id", "run_id", "status", "assistant_id"), "thread_id", "left") \
+        .join(asst.select("assistant_id", F.col("name").alias("assistant_name")), "assistant_id", "left")
+    return j.select("thread_id", "msg_id", "pos", "role", js("content").alias("content"), "run_id", "status",
+                    "assistant_name")
+
+
+@register("sink_events")
+def q_sink_events(spark, sf):
+    """K1: every event written as a JSON body (partitioned by day) to the
+    shared folder, read back."""
+    from callscope.plans.flagship import all_events
+    path = scratch_path(spark, "sinks", "events")
+    sk.write_event_bodies(all_events(spark, sf, CFG), path)
+    return sk.read_event_bodies(spark, path)
