@@ -754,3 +754,46 @@ def q_sink_events(spark, sf):
     path = scratch_path(spark, "sinks", "events")
     sk.write_event_bodies(all_events(spark, sf, CFG), path)
     return sk.read_event_bodies(spark, path)
+
+
+# ---------------------------------------------------------------- streaming
+
+from callscope.streaming import jobs as sj  # noqa: E402
+
+_EV_UUID = ("concat_ws('-', substring(md5(CAST(event_id AS VARCHAR)), 1, 8), substring(md5(CAST(event_id AS VARCHAR)), 9, 4), "
+            "substring(md5(CAST(event_id AS VARCHAR)), 13, 4), substring(md5(CAST(event_id AS VARCHAR)), 17, 4), "
+            "substring(md5(CAST(event_id AS VARCHAR)), 21, 12))")
+
+register("stream_gate", sql([], f"""
+SELECT call_id, api_key, prompt_template_name, chain_id, {osql.sql_redact('response')} AS response, response_time
+FROM (SELECT concat('ev-', event_id) AS call_id,
+        coalesce(CASE WHEN event_id % 11 = 0 THEN NULL ELSE concat('key-', event_id % 3) END, {sp.DEFAULT_KEY}) AS api_key,
+        CASE WHEN event_id % 5 = 0 THEN NULL ELSE concat('tmpl-', event_type) END AS prompt_template_name,
+        {_EV_UUID} AS chain_id,
+        concat('Event ', event_type, ' by user', user_id, '@example.com: ', props) AS response,
+        CAST(round(value * 1000) AS BIGINT) AS response_time
+      FROM events)
+WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> '' AND api_key IS NOT NULL AND api_key <> ''
+  AND (chain_id IS NULL OR regexp_matches(chain_id, '{sp.UUID_RE}'))"""))(sj.stream_gate)
+
+_STREAM_TEXT = "SELECT concat('call-', conv_id, '-', turn) AS call_id, text{extra} FROM conversations WHERE role = 'assistant'"
+register("stream_asm", sql([], _STREAM_TEXT.format(extra=", true AS complete")))(sj.stream_asm)
+# P2 emits a session once the watermark (max event time - 10 minutes) has
+# passed its end (last chunk + 1 minute gap); later sessions stay open.
+register("stream_asm_session", sql([], """
+SELECT call_id, text FROM (
+  SELECT concat('call-', conv_id, '-', turn) AS call_id, text,
+         (1704067200 + conv_id * 3600 + turn * 60) * 1000
+           + CAST(greatest(ceil(length(text) / 16), 1) AS BIGINT) * 10 AS last_ms
+  FROM conversations WHERE role = 'assistant')
+WHERE last_ms + 60000 <= (SELECT max((1704067200 + conv_id * 3600 + turn * 60) * 1000
+                                     + CAST(greatest(ceil(length(text) / 16), 1) AS BIGINT) * 10)
+                          FROM conversations WHERE role = 'assistant') - 600000"""))(sj.stream_asm_session)
+register("stream_cursor", sql([], """
+SELECT CAST(conv_id AS VARCHAR) AS thread_id, concat(conv_id, '-', turn) AS msg_id, turn AS pos
+FROM conversations WHERE (conv_id + turn) % 7 <> 0"""))(sj.stream_cursor)
+register("stream_feedback_join", sql([], """
+SELECT concat('ev-', event_id) AS call_id, concat('fb-', event_id) AS feedback_key,
+       CAST(event_id % 5 AS DOUBLE) / 4.0 AS rating FROM events"""))(sj.stream_feedback_join)
+register("stream_dedup", sql([], "SELECT DISTINCT concat('fb-', event_id // 2) AS feedback_key FROM events"))(
+    sj.stream_dedup)
