@@ -105,39 +105,43 @@ def chains(events: DataFrame, updates: DataFrame) -> DataFrame:
     return per_chain.join(res, "chain_id", "left")
 
 
-def _exact_quantile(hist: DataFrame, key: str, value: str, q: float, out: str) -> DataFrame:
-    """Nearest-rank quantile from a (key, value, count) histogram: the
-    smallest value whose cumulative count reaches ceil(q * n)."""
+def template_rollup(events: DataFrame, feedback: DataFrame | None = None,
+                    quantiles: tuple[tuple[float, str], ...] = ((0.5, "p50_ms"), (0.95, "p95_ms"))) -> DataFrame:
+    """Per template name: calls, errors, tokens, latency (total and
+    exact nearest-rank quantiles) and ratings, in one pass over the events.
+
+    Events are first reduced to a (template, latency) histogram carrying
+    every partial sum (map-side combined; its size is bounded by the
+    distinct latencies of a template, never by its number of calls). The
+    quantiles are a running count over that histogram, and the totals are
+    sums of its rows.
+    """
     from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    h = hist.withColumns({"_cum": F.sum("_c").over(w), "_n": F.sum("_c").over(Window.partitionBy(key))})
-    return h.where(F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q))).groupBy(key).agg(F.min(value).alias(out))
-
-
-def template_rollup(events: DataFrame, feedback: DataFrame | None = None) -> DataFrame:
-    """Per template name: calls, errors, tokens, latency (mean, exact
-    p50/p95) and ratings.
 
-    Quantiles come from a (template, latency) histogram: one map-side
-    combined aggregation whose size is bounded by the distinct latencies of
-    a template, never by its number of calls.
-    """
     e = event_feedback(events, feedback) if feedback is not None else events.withColumn(
         "rating", F.lit(None).cast("double"))
-    key = "prompt_template_name"
-    base = e.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_calls"),
-        F.count(F.col("response_errors")).alias("n_errors"),
-        F.sum("response_metrics.usage.prompt_tokens").alias("prompt_tokens"),
-        F.sum("response_metrics.usage.completion_tokens").alias("completion_tokens"),
-        F.sum("response_time").alias("total_time_ms"),
-        F.count("rating").alias("n_rated"),
-        F.sum("rating").alias("rating_sum"),
+    key, rt = "prompt_template_name", "response_time"
+    hist = e.groupBy(key, rt).agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.count(F.col("response_errors")).alias("_err"),
+        F.sum("response_metrics.usage.prompt_tokens").alias("_pt"),
+        F.sum("response_metrics.usage.completion_tokens").alias("_ct"),
+        F.count("rating").alias("_nr"),
+        F.sum("rating").alias("_rs"),
+    )
+    running = Window.partitionBy(key).orderBy(rt).rowsBetween(Window.unboundedPreceding, 0)
+    h = hist.withColumns({"_cum": F.sum("_c").over(running), "_n": F.sum("_c").over(Window.partitionBy(key))})
+    return h.groupBy(key).agg(
+        F.sum("_c").alias("n_calls"),
+        F.sum("_err").alias("n_errors"),
+        F.sum("_pt").alias("prompt_tokens"),
+        F.sum("_ct").alias("completion_tokens"),
+        F.sum(F.col(rt) * F.col("_c")).alias("total_time_ms"),
+        F.sum("_nr").alias("n_rated"),
+        F.sum("_rs").alias("rating_sum"),
+        *[F.min(F.when(F.col("_cum") >= F.ceil(F.col("_n") * F.lit(q)), F.col(rt))).alias(name)
+          for q, name in quantiles],
     )
-    hist = e.groupBy(key, "response_time").agg(F.count(F.lit(1)).alias("_c"))
-    p50 = _exact_quantile(hist, key, "response_time", 0.5, "p50_ms")
-    p95 = _exact_quantile(hist, key, "response_time", 0.95, "p95_ms")
-    return base.join(p50, key, "left").join(p95, key, "left")
 
 
 def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
