@@ -17,7 +17,7 @@ from callscope import schemas
 from callscope.functions import templates as tp
 from callscope.functions.ids import is_uuid, stable_uuid
 from callscope.functions.redact import redact_text, redact_value
-from callscope.operators.assemble import DEFAULT_BLOCK, result_columns, streamed_results
+from callscope.operators.assemble import DEFAULT_BLOCK, KEEP_NULLS, result_columns, streamed_results
 
 PARAMS_T = "map<string,string>"
 HISTORY_T = "map<string,array<struct<role:string,content:string>>>"
@@ -242,17 +242,24 @@ def events_all(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def _json_string(c: Column) -> Column:
+    """A string as a JSON string literal (quotes and escapes)."""
+    arr = F.to_json(F.array(c))  # ["..."]
+    return F.substr(arr, F.lit(2), F.length(arr) - 2)
+
+
 def event_body(events: DataFrame) -> Column:
     """K1 body: one JSON object per event, wire names in camel case as the
-    event contract has them; `params` merges scalar and history params."""
-    enc = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
-    frag = F.map_concat(
-        F.transform_values(F.coalesce(F.col("params"), F.create_map().cast(PARAMS_T)),
-                           lambda k, v: F.coalesce(enc(v), F.lit("null"))),
-        F.transform_values(F.coalesce(F.col("history_params"), F.create_map().cast(HISTORY_T)),
-                           lambda k, v: F.coalesce(F.to_json(v), F.lit("null"))))
-    params_json = F.concat(F.lit("{"), F.array_join(F.transform(
-        F.map_entries(frag), lambda e: F.concat(enc(e["key"]), F.lit(":"), e["value"])), ","), F.lit("}"))
+    event contract has them; `params` merges scalar and history params;
+    null fields are written as JSON null."""
+    entries = F.concat(
+        F.transform(F.map_entries(F.coalesce(F.col("params"), F.create_map().cast(PARAMS_T))),
+                    lambda e: F.concat(_json_string(e["key"]), F.lit(":"),
+                                       F.coalesce(_json_string(e["value"]), F.lit("null")))),
+        F.transform(F.map_entries(F.coalesce(F.col("history_params"), F.create_map().cast(HISTORY_T))),
+                    lambda e: F.concat(_json_string(e["key"]), F.lit(":"),
+                                       F.coalesce(F.to_json(e["value"], KEEP_NULLS), F.lit("null")))))
+    params_json = F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
     body = F.struct(
         F.col("feedback_key").alias("feedbackKey"), F.col("api_key").alias("apiKey"),
         F.col("prompt_template_name").alias("promptTemplateName"), F.col("api_name").alias("apiName"),
@@ -265,10 +272,10 @@ def event_body(events: DataFrame) -> Column:
         F.col("model_parameters").alias("modelParameters"), F.col("chat_id").alias("chatId"),
         F.col("chain_id").alias("chainId"), F.col("context").alias("context"),
     )
-    js = F.to_json(body)
+    js = F.to_json(body, KEEP_NULLS)
     # splice the pre-rendered objects in place of their placeholders
     js = F.replace(js, F.lit('"params":"__PARAMS__"'), F.concat(F.lit('"params":'), params_json))
     raw = F.when(F.col("raw_response").isNotNull(), F.concat(F.lit(',"rawResponse":'), F.col("raw_response")))
     tools = F.when(F.col("tools").isNotNull(), F.concat(F.lit(',"tools":'), F.col("tools")))
-    return F.concat(F.regexp_replace(js, r"\}$", ""),
+    return F.concat(F.substr(js, F.lit(1), F.length(js) - 1),
                     F.coalesce(raw, F.lit("")), F.coalesce(tools, F.lit("")), F.lit("}"))

@@ -19,7 +19,7 @@ from callscope.operators import events as ev
 from callscope.operators import feedback as fb
 from callscope.operators import threads as th
 from callscope.plans import oracle as osql
-from callscope.plans import sql_pipeline as sp
+from callscope.plans import sql_stages as sp
 from callscope.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,7 +42,7 @@ def js(c) -> Column:
     return F.to_json(c, {"ignoreNullFields": "false"})
 
 
-_ALL = {**osql.FIXTURES, **sp.PIPELINE}
+_ALL = {**osql.FIXTURES, **sp.STAGES}
 
 
 def sql(names: list[str], body: str) -> str:
@@ -746,7 +746,7 @@ def q_src_threads(spark, sf):
                     "assistant_name")
 
 
-@register("sink_events")
+@register("sink_events", sql(["event_bodies"], "SELECT call_id, body FROM event_bodies"))
 def q_sink_events(spark, sf):
     """K1: every event written as a JSON body (partitioned by day) to the
     shared folder, read back."""

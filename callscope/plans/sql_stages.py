@@ -76,9 +76,9 @@ GROUP BY call_id
 """
 
 
-PIPELINE: dict[str, tuple[list[str], str]] = {}
+STAGES: dict[str, tuple[list[str], str]] = {}
 
-PIPELINE["streamed"] = (["chunks"], f"""
+STAGES["streamed"] = (["chunks"], f"""
 SELECT call_id,
   coalesce(string_agg({CHAT_PIECE}, '' ORDER BY seq), '') AS s_chat_text,
   coalesce(string_agg(text, '' ORDER BY seq), '') AS s_completion_text,
@@ -91,9 +91,9 @@ SELECT call_id,
 FROM chunks GROUP BY call_id
 """)
 
-PIPELINE["stools"] = (["chunks"], tools_from("chunks"))
+STAGES["stools"] = (["chunks"], tools_from("chunks"))
 
-PIPELINE["results"] = (["calls", "streamed", "stools"], f"""
+STAGES["results"] = (["calls", "streamed", "stools"], f"""
 SELECT c.call_id,
   CASE WHEN c.is_stream THEN CASE WHEN c.kind = 'chat' THEN coalesce(s.s_chat_text, '')
                                   ELSE coalesce(s.s_completion_text, '') END
@@ -130,14 +130,14 @@ _NON_HISTORY = "list_filter(messages, lambda m: coalesce(m.role <> 'chat_history
 _CHAT_MISSING = (f"list_filter(list_distinct({msg_vars(_NON_HISTORY)}), "
                  "lambda n: NOT coalesce(map_contains(params, n), false))")
 
-PIPELINE["cfg_calls"] = (["calls"], f"""
+STAGES["cfg_calls"] = (["calls"], f"""
 SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key,
                   coalesce(chain_id, parent_event_id) AS chain_id,
                   coalesce(feedback_key, {sql_uuid('call_id')}) AS feedback_key)
 FROM calls
 """)
 
-PIPELINE["resolved"] = (["cfg_calls"], f"""
+STAGES["resolved"] = (["cfg_calls"], f"""
 SELECT *,
   CASE WHEN kind = 'chat' AND is_template THEN {splice('messages', 'params', 'history_params')}
        WHEN kind = 'chat' THEN messages END AS resolved_messages,
@@ -156,12 +156,12 @@ SELECT *,
 FROM cfg_calls
 """)
 
-PIPELINE["prepared"] = (["resolved"], """
+STAGES["prepared"] = (["resolved"], """
 SELECT * FROM resolved
 WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> '' AND len(template_errors) = 0
 """)
 
-PIPELINE["raw_events"] = (["prepared", "results"], f"""
+STAGES["raw_events"] = (["prepared", "results"], f"""
 SELECT p.kind AS event_kind, p.call_id, p.started_at, p.feedback_key, p.api_key, p.prompt_template_name,
   p.prompt_template_name AS api_name,
   CASE WHEN p.kind <> 'chat' THEN coalesce(p.template_prompt, p.resolved_prompt) END AS prompt_template_text,
@@ -184,13 +184,13 @@ SELECT p.kind AS event_kind, p.call_id, p.started_at, p.feedback_key, p.api_key,
 FROM prepared p LEFT JOIN results r ON p.call_id = r.call_id
 """)
 
-PIPELINE["gated_events"] = (["raw_events"], f"""
+STAGES["gated_events"] = (["raw_events"], f"""
 SELECT * FROM raw_events
 WHERE api_key IS NOT NULL AND api_key <> ''
   AND (chain_id IS NULL OR regexp_matches(chain_id, '{UUID_RE}'))
 """)
 
-PIPELINE["call_events"] = (["gated_events"], f"""
+STAGES["call_events"] = (["gated_events"], f"""
 SELECT * REPLACE (
   {redact_params('params')} AS params,
   {redact_history('history_params')} AS history_params,
@@ -213,32 +213,32 @@ FLAT_EVENT_COLUMNS = (
 ASSISTANT_TEMPLATE = ("[{'role': 'assistant', 'content': a.instructions}, "
                       "{'role': 'chat_history', 'content': '{chat_history}'}]")
 
-PIPELINE["runs_gated"] = (["runs"], """
+STAGES["runs_gated"] = (["runs"], """
 SELECT *, CASE WHEN status IN ('failed', 'cancelled', 'incomplete') THEN 'error'
                WHEN status = 'completed' THEN 'messages' ELSE 'ignore' END AS route
 FROM runs WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> ''
 """)
 
-PIPELINE["msg_runs"] = (["runs_gated"], """
+STAGES["msg_runs"] = (["runs_gated"], """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY run_id DESC) AS rn
   FROM runs_gated WHERE route = 'messages') WHERE rn = 1
 """)
 
-PIPELINE["after_cursor"] = (["messages", "cursors"], """
+STAGES["after_cursor"] = (["messages", "cursors"], """
 SELECT m.*, row_number() OVER (PARTITION BY m.thread_id ORDER BY m.pos, m.msg_id) AS n_in_run
 FROM messages m LEFT JOIN cursors c ON m.thread_id = c.thread_id
 WHERE m.pos > coalesce(c.last_pos, -1)
 """)
 
-PIPELINE["sent"] = (["after_cursor", "msg_runs"], """
+STAGES["sent"] = (["after_cursor", "msg_runs"], """
 SELECT a.thread_id, a.msg_id, a.pos, a.role, a.content, a.n_in_run,
        r.run_id, r.status, r.assistant_id, r.prompt_template_name, r.api_key, r.model
 FROM after_cursor a JOIN msg_runs r ON a.thread_id = r.thread_id
 WHERE a.n_in_run <= 100 AND coalesce(a.content[1].type = 'text', false)
 """)
 
-PIPELINE["asst_msg_events"] = (["sent", "assistants"], f"""
+STAGES["asst_msg_events"] = (["sent", "assistants"], f"""
 SELECT 'assistant' AS event_kind, s.msg_id AS call_id, s.msg_id AS feedback_key,
   coalesce(s.api_key, {DEFAULT_KEY}) AS api_key,
   coalesce(a.name, s.assistant_id) AS prompt_template_name,
@@ -262,7 +262,7 @@ SELECT 'assistant' AS event_kind, s.msg_id AS call_id, s.msg_id AS feedback_key,
 FROM sent s LEFT JOIN assistants a ON s.assistant_id = a.assistant_id
 """)
 
-PIPELINE["asst_err_events"] = (["runs_gated", "assistants"], f"""
+STAGES["asst_err_events"] = (["runs_gated", "assistants"], f"""
 SELECT 'assistant' AS event_kind, r.run_id AS call_id, CAST(NULL AS VARCHAR) AS feedback_key,
   coalesce(r.api_key, {DEFAULT_KEY}) AS api_key,
   coalesce(a.name, r.assistant_id) AS prompt_template_name,
@@ -287,32 +287,32 @@ FROM runs_gated r LEFT JOIN assistants a ON r.assistant_id = a.assistant_id
 WHERE r.route = 'error'
 """)
 
-PIPELINE["assistant_events"] = (["asst_msg_events", "asst_err_events"], """
+STAGES["assistant_events"] = (["asst_msg_events", "asst_err_events"], """
 SELECT * FROM asst_msg_events UNION ALL BY NAME SELECT * FROM asst_err_events
 """)
 
-PIPELINE["all_events"] = (["call_events", "assistant_events"], """
+STAGES["all_events"] = (["call_events", "assistant_events"], """
 SELECT * FROM call_events UNION ALL BY NAME SELECT * FROM assistant_events
 """)
 
 # ---------------------------------------------------------------- feedback
 
-PIPELINE["tombstones"] = (["deletes"], f"""
+STAGES["tombstones"] = (["deletes"], f"""
 SELECT msg_id AS feedback_key, CAST(NULL AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS better_response,
        true AS is_deleted, {DEFAULT_KEY} AS api_key, CAST(NULL AS TIMESTAMP) AS ts
 FROM deletes
 """)
 
-PIPELINE["fb_gated"] = (["feedback"], f"""
+STAGES["fb_gated"] = (["feedback"], f"""
 SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key) FROM feedback
 WHERE feedback_key IS NOT NULL AND feedback_key <> '' AND coalesce(api_key, {DEFAULT_KEY}) <> ''
 """)
 
-PIPELINE["fb_all"] = (["fb_gated", "tombstones"], """
+STAGES["fb_all"] = (["fb_gated", "tombstones"], """
 SELECT * FROM fb_gated UNION ALL BY NAME SELECT * FROM tombstones
 """)
 
-PIPELINE["fb_by_key"] = (["fb_all"], """
+STAGES["fb_by_key"] = (["fb_all"], """
 SELECT feedback_key,
   arg_max_null({'rating': rating, 'better_response': better_response}, ts)
     FILTER (WHERE rating IS NOT NULL OR better_response IS NOT NULL) AS fb,
@@ -320,18 +320,46 @@ SELECT feedback_key,
 FROM fb_all GROUP BY feedback_key
 """)
 
-PIPELINE["events_fb"] = (["all_events", "fb_by_key"], """
+STAGES["events_fb"] = (["all_events", "fb_by_key"], """
 SELECT e.*, f.fb.rating AS rating, f.fb.better_response AS better_response,
        coalesce(f.is_deleted, false) AS is_deleted
 FROM all_events e LEFT JOIN fb_by_key f ON e.feedback_key = f.feedback_key
 """)
 
-PIPELINE["chains_gated"] = (["chain_updates"], f"""
+STAGES["chains_gated"] = (["chain_updates"], f"""
 SELECT * REPLACE (coalesce(api_key, {DEFAULT_KEY}) AS api_key) FROM chain_updates
 WHERE id IS NOT NULL AND id <> '' AND coalesce(api_key, {DEFAULT_KEY}) <> ''
 """)
 
-PIPELINE["chain_results"] = (["chains_gated"], """
+STAGES["chain_results"] = (["chains_gated"], """
 SELECT id, arg_max_null(result, (ts, update_id)) AS result, count(*) AS n_updates
 FROM chains_gated GROUP BY id
 """)
+
+
+def _js(x: str) -> str:
+    return f"CAST(to_json({x}) AS VARCHAR)"
+
+
+_PARAMS_JSON = (
+    "'{' || array_to_string(list_concat("
+    "list_transform(map_entries(coalesce(params, map([]::VARCHAR[], []::VARCHAR[]))), "
+    f"lambda e: {_js('e.key')} || ':' || coalesce({_js('e.value')}, 'null')), "
+    f"list_transform(map_entries(coalesce(history_params, map([]::VARCHAR[], []::{MSG_T}[][]))), "
+    f"lambda e: {_js('e.key')} || ':' || coalesce({_js('e.value')}, 'null'))), ',') || '}}'"
+)
+
+STAGES["event_bodies"] = (["all_events"], f"""
+SELECT call_id,
+  substring(b, 1, length(b) - 1) || coalesce(',"rawResponse":' || raw_response, '')
+    || coalesce(',"tools":' || tools, '') || '}}' AS body
+FROM (SELECT call_id, raw_response, tools,
+        replace({_js("{'feedbackKey': feedback_key, 'apiKey': api_key, 'promptTemplateName': prompt_template_name, "
+                     "'apiName': api_name, 'promptTemplateText': prompt_template_text, "
+                     "'promptTemplateChat': prompt_template_chat, 'params': '__PARAMS__', 'response': response, "
+                     "'toolCalls': tool_calls, 'responseTime': response_time, 'responseErrors': response_errors, "
+                     "'responseMetrics': response_metrics, 'modelParameters': model_parameters, "
+                     "'chatId': chat_id, 'chainId': chain_id, 'context': context}")},
+                '"params":"__PARAMS__"', '"params":' || {_PARAMS_JSON}) AS b
+      FROM all_events)
+""")
