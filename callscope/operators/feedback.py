@@ -8,7 +8,7 @@ map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.operators.events import Config
@@ -153,6 +153,7 @@ def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
     f = failures.where((F.col("status") >= 400) & (F.col("status") < 500))
     limited = F.col("status").isin(429, 499)
     always = f.where(~limited)
-    first = f.where(limited).groupBy("status", F.date_trunc("second", "ts").alias("sec")).agg(
-        F.min_by(F.struct(*f.columns), F.struct("ts", "event_id")).alias("r")).select("r.*")
+    # first failure per (status, second): top-1 per group, limited map-side
+    w = Window.partitionBy("status", F.date_trunc("second", "ts")).orderBy("ts", "event_id")
+    first = f.where(limited).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
     return always.unionByName(first)

@@ -100,7 +100,9 @@ def run_messages(runs: DataFrame, messages: DataFrame, cursors: DataFrame,
     recorded run sends, with the run's columns."""
     r = run_route(run_gate(runs)).where(F.col("route") == "messages")
     # several completed runs of one thread in a batch: the last one reads
-    r = r.groupBy("thread_id").agg(F.max_by(F.struct(*r.columns), "run_id").alias("_r")).select("_r.*")
+    # (top-1 per thread: a map-side WindowGroupLimit keeps one row per task)
+    last = Window.partitionBy("thread_id").orderBy(F.col("run_id").desc())
+    r = r.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= 1).drop("_n")
     m = messages_after_cursor(messages.join(r.select("thread_id"), "thread_id", "left_semi"), cursors, max_per_run)
     return m.where(message_supported()).join(r, "thread_id")
 
