@@ -118,7 +118,14 @@ def resolve_templates(calls: DataFrame) -> DataFrame:
     })
 
 
-def drop_template_errors(resolved: DataFrame) -> DataFrame:
+def drop_template_errors(resolved: DataFrame, strict: bool = False) -> DataFrame:
+    """Keep the calls whose template resolved. With `strict`, a bad
+    template fails the job (`raise_error`), as the reference throws."""
+    if strict:
+        bad = F.size("template_errors") > 0
+        fail = F.raise_error(F.concat(F.lit("template error in call "), F.col("call_id"), F.lit(": "),
+                                      F.array_join("template_errors", "; ")))
+        return resolved.where(F.when(bad, fail).isNull())
     return resolved.where(F.size("template_errors") == 0)
 
 
@@ -191,10 +198,11 @@ def _events_from(j: DataFrame) -> DataFrame:
     )
 
 
-def prepared_calls(calls: DataFrame, cfg: Config) -> DataFrame:
-    """E4, E5, E8, then T10/T11 with template failures removed."""
+def prepared_calls(calls: DataFrame, cfg: Config, strict: bool = False) -> DataFrame:
+    """E4, E5, E8, then T10/T11 with template failures removed (or, with
+    `strict`, failing the job)."""
     c = gate_named(apply_config(calls, cfg), cfg)
-    return drop_template_errors(resolve_templates(with_feedback_key(c)))
+    return drop_template_errors(resolve_templates(with_feedback_key(c)), strict)
 
 
 def call_events(calls: DataFrame, chunks: DataFrame, cfg: Config = Config(),

@@ -42,14 +42,18 @@ def run_assistant_join(runs: DataFrame, assistants: DataFrame) -> DataFrame:
 
 
 def messages_after_cursor(messages: DataFrame, cursors: DataFrame,
-                          max_per_run: int = MAX_PER_RUN) -> DataFrame:
+                          max_per_run: int = MAX_PER_RUN, unsupported_first: bool = False) -> DataFrame:
     """Per thread, the messages after the cursor, oldest first, at most
-    `max_per_run`. Unsupported messages count toward the limit.
+    `max_per_run`. Unsupported messages count toward the limit, as in the
+    reference (a page full of them blocks the thread); `unsupported_first`
+    drops them before the limit instead.
 
     `row_number() <= k` is planned with a map-side WindowGroupLimit, so at
     most k rows per thread and task reach the shuffle."""
     c = cursors.select("thread_id", F.col("last_pos").alias("cursor_pos"))
     after = messages.join(c, "thread_id", "left").where(F.col("pos") > F.coalesce(F.col("cursor_pos"), F.lit(-1)))
+    if unsupported_first:
+        after = after.where(message_supported())
     w = Window.partitionBy("thread_id").orderBy("pos", "msg_id")
     return after.withColumn("n_in_run", F.row_number().over(w)).where(F.col("n_in_run") <= max_per_run)
 

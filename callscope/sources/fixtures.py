@@ -17,6 +17,7 @@ import functools
 
 from callscope import schemas
 from callscope.functions.ids import stable_uuid
+from callscope.operators.partitioning import spread
 from callscope.sources.tables import read_table
 
 # Fixed values of the recipes.
@@ -250,7 +251,8 @@ def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
     carry the priority as text; every tenth name is the text `{status}`
     (substitution must not expand it again); every seventh order lacks
     `status`."""
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                               "o_orderpriority"))
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     key = F.col("o_orderkey")

@@ -43,3 +43,14 @@ def test_failed_runs_give_error_events(spark):
     statuses = {r.status for r in th.run_gate(runs).join(
         spark.createDataFrame([(e.call_id,) for e in ev], "run_id string"), "run_id").collect()}
     assert statuses <= {"failed", "cancelled", "incomplete"}
+
+
+def test_unsupported_first_option(spark):
+    msgs = fx.messages(spark, SF)
+    cursors = fx.cursors(msgs)
+    got = th.messages_after_cursor(msgs, cursors, max_per_run=2, unsupported_first=True).collect()
+    assert all(r.content[0].type == "text" for r in got)
+    per = {}
+    for r in got:
+        per.setdefault(r.thread_id, []).append(r.pos)
+    assert all(len(v) <= 2 for v in per.values())
