@@ -157,3 +157,23 @@ def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
     w = Window.partitionBy("status", F.date_trunc("second", "ts")).orderBy("ts", "event_id")
     first = f.where(limited).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
     return always.unionByName(first)
+
+
+def chain_state(updates: DataFrame) -> DataFrame:
+    """K3 state per chain id: the winning update (result, ts, update_id)
+    and the count, mergeable across batches."""
+    return updates.groupBy("id").agg(
+        F.max_by(F.struct("result", "ts", "update_id"), F.struct("ts", "update_id")).alias("w"),
+        F.count(F.lit(1)).alias("n_updates")).select(
+        "id", F.col("w.result").alias("result"), F.col("w.ts").alias("ts"),
+        F.col("w.update_id").alias("update_id"), "n_updates")
+
+
+def merge_chain_state(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Last write wins across both states, counts added."""
+    both = old.unionByName(new)
+    return both.groupBy("id").agg(
+        F.max_by(F.struct("result", "ts", "update_id"), F.struct("ts", "update_id")).alias("w"),
+        F.sum("n_updates").alias("n_updates")).select(
+        "id", F.col("w.result").alias("result"), F.col("w.ts").alias("ts"),
+        F.col("w.update_id").alias("update_id"), "n_updates")

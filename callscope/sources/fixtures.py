@@ -362,7 +362,11 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_memo
 def chain_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chain result updates from events: 40 chains, result = props."""
-    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "props")
+    return chain_updates_from(read_table(spark, sf_dir, "events", "event_id", "ts", "props"))
+
+
+def chain_updates_from(ev: DataFrame) -> DataFrame:
+    """The chain-update recipe on any events frame (a table or a stream)."""
     e = F.col("event_id")
     return ev.select(
         e.alias("update_id"),

@@ -300,3 +300,43 @@ STREAM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": stream_dedup,
     "stream_gate": stream_gate,
 }
+
+
+# ---------------------------------------------------------------- K3 on a stream
+
+def _latest_version(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """The newest complete version of a versioned table (optionally the
+    newest written by a batch before `before`)."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path
+    root = hpath(table)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                   if st.isDirectory() and fs.exists(hpath(st.getPath(), "_SUCCESS")))
+    if before is not None:
+        names = [n for n in names if n < f"v{before:012d}"]
+    return spark.read.parquet(f"{table}/{names[-1]}") if names else None
+
+
+def stream_chain_upsert(updates: DataFrame, table: str, checkpoint: str):
+    """K3 on a stream: each micro-batch's updates are reduced per chain and
+    merged with the stored table (last write wins by (ts, update_id)); the
+    merged table is written as a new version named by the batch id, so a
+    re-run batch rewrites the same version. Returns the started query."""
+    from callscope.operators.feedback import chain_gate, chain_state, merge_chain_state
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = chain_state(chain_gate(batch))
+        old = _latest_version(spark, table, before=batch_id)
+        merged = new if old is None else merge_chain_state(old.drop("_batch"), new)
+        merged.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{table}/v{batch_id:012d}")
+
+    return (updates.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_chain_table(spark: SparkSession, table: str) -> DataFrame:
+    t = _latest_version(spark, table)
+    return t.drop("_batch") if t is not None else None

@@ -17,3 +17,29 @@ def test_stream_asm_equals_texts(spark):
     got = {r.call_id: (r.text, r.complete) for r in sj.stream_asm(spark, SF).collect()}
     conv = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'assistant'").collect()
     assert got == {f"call-{r.conv_id}-{r.turn}": (r.text, True) for r in conv}
+
+
+def test_stream_chain_upsert_equals_batch(spark):
+    from callscope.operators import feedback as fb
+    from callscope.session import scratch_path
+    from callscope.sources import fixtures as fx
+    base = scratch_path(spark, "tests", "chains")
+    ups = fx.chain_updates_from(sj.read_stream(spark, SF, "events", sj.EVENTS))
+    sj.stream_chain_upsert(ups, f"{base}/table", f"{base}/ckpt").awaitTermination()
+    got = {(r.id, r.result, r.n_updates) for r in sj.read_chain_table(spark, f"{base}/table").collect()}
+    want = {(r.id, r.result, r.n_updates) for r in fb.chain_upsert(fb.chain_gate(fx.chain_updates(spark, SF)))
+            .collect()}
+    assert got == want
+
+
+def test_stream_event_sink_equals_batch_bodies(spark):
+    from callscope.operators.events import conform_events
+    from callscope.session import scratch_path
+    from callscope.sources import sinks as sk
+    base = scratch_path(spark, "tests", "bodies")
+    events = conform_events(sj.gate_and_redact(sj.event_calls(sj.read_stream(spark, SF, "events", sj.EVENTS))))
+    sk.stream_event_bodies(events, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    got = {tuple(r) for r in sk.read_event_bodies(spark, f"{base}/out").collect()}
+    batch = conform_events(sj.gate_and_redact(sj.event_calls(spark.read.parquet(f"{SF}/events.parquet"))))
+    want = {tuple(r) for r in sk.event_bodies(batch).select("call_id", "body").collect()}
+    assert got == want and got
