@@ -789,9 +789,10 @@ SELECT call_id, text FROM (
 WHERE last_ms + 60000 <= (SELECT max((1704067200 + conv_id * 3600 + turn * 60) * 1000
                                      + CAST(greatest(ceil(length(text) / 16), 1) AS BIGINT) * 10)
                           FROM conversations WHERE role = 'assistant') - 600000"""))(sj.stream_asm_session)
-register("stream_cursor", sql([], """
-SELECT CAST(conv_id AS VARCHAR) AS thread_id, concat(conv_id, '-', turn) AS msg_id, turn AS pos
-FROM conversations WHERE (conv_id + turn) % 7 <> 0"""))(sj.stream_cursor)
+register("stream_cursor", sql(["cursors"], """
+SELECT CAST(c.conv_id AS VARCHAR) AS thread_id, concat(c.conv_id, '-', c.turn) AS msg_id, c.turn AS pos
+FROM conversations c LEFT JOIN cursors k ON CAST(c.conv_id AS VARCHAR) = k.thread_id
+WHERE (c.conv_id + c.turn) % 7 <> 0 AND c.turn > coalesce(k.last_pos, -1)"""))(sj.stream_cursor)
 register("stream_feedback_join", sql([], """
 SELECT concat('ev-', event_id) AS call_id, concat('fb-', event_id) AS feedback_key,
        CAST(event_id % 5 AS DOUBLE) / 4.0 AS rating FROM events"""))(sj.stream_feedback_join)

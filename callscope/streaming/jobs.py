@@ -82,6 +82,18 @@ def run_available_updates(df: DataFrame, name: str, keys: list[str]) -> DataFram
     return latest.select(*keys, "_r.*")
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb(spark: SparkSession) -> None:
+    """transformWithState needs the RocksDB state store; set it for new
+    queries when the session has another one (existing checkpoints keep
+    the provider they were started with)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+
+
 # ---------------------------------------------------------------- stream inputs
 
 def event_calls(events: DataFrame) -> DataFrame:
@@ -241,13 +253,17 @@ def stream_asm_session(spark: SparkSession, sf_dir: str, gap: str = "1 minute",
 # ---------------------------------------------------------------- P3
 
 class CursorProcessor(StatefulProcessor):
-    """One cursor per thread (ValueState); messages after it are sent
-    in thread order, unsupported ones skipped, and the cursor moves to the
-    last supported message sent."""
+    """One cursor per thread (ValueState), started from the stored
+    cursors; messages after it are sent in thread order, unsupported ones
+    skipped, and the cursor moves to the last supported message sent."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cursor = handle.getValueState("cursor", "pos bigint, msg_id string")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        self.cursor.update((int(row["last_pos"]), str(row["last_msg_id"])))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         last = -1
         if self.cursor.exists():
@@ -264,9 +280,13 @@ class CursorProcessor(StatefulProcessor):
 
 
 def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 from the stored cursors (a batch table) as initial state."""
+    from callscope.sources import fixtures as fx
+    ensure_rocksdb(spark)
     msgs = message_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
+    stored = fx.cursors(fx.messages(spark, sf_dir)).groupBy("thread_id")
     out = msgs.groupBy("thread_id").transformWithStateInPandas(
-        CursorProcessor(), "thread_id string, msg_id string, pos bigint", "append", "none")
+        CursorProcessor(), "thread_id string, msg_id string, pos bigint", "append", "none", initialState=stored)
     return run_available(out, "stream_cursor")
 
 
