@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callscope import schemas
 from callscope.functions import templates as tp
 from callscope.functions.ids import is_uuid, stable_uuid
 from callscope.functions.redact import redact_text, redact_value

@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callscope import schemas
 from callscope.session import scratch_path
 from callscope.sources import fixtures as fx
-from callscope.sources.tables import read_log
+from callscope.sources.tables import read_calls, read_chunks, read_threads
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -25,21 +24,16 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, sf_dir: str, fmt:
 
 def calls_log(spark: SparkSession, sf_dir: str, fmt: str = "json") -> DataFrame:
     """The call log, stored as JSON lines and read with its schema."""
-    path = materialize(spark, fx.calls(spark, sf_dir), "calls", sf_dir, fmt)
-    return read_log(spark, path, schemas.CALLS, fmt)
+    return read_calls(spark, materialize(spark, fx.calls(spark, sf_dir), "calls", sf_dir, fmt), fmt)
 
 
 def chunks_log(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> DataFrame:
     """The chunk log; order comes from `seq`, never from file order."""
-    path = materialize(spark, fx.chunks(fx.calls(spark, sf_dir)), "chunks", sf_dir, fmt)
-    return read_log(spark, path, schemas.CHUNKS, fmt)
+    return read_chunks(spark, materialize(spark, fx.chunks(fx.calls(spark, sf_dir)), "chunks", sf_dir, fmt), fmt)
 
 
 def thread_logs(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame, DataFrame]:
     """S3: runs, assistants and messages."""
-    runs = read_log(spark, materialize(spark, fx.runs(spark, sf_dir), "runs", sf_dir, fmt), schemas.RUNS, fmt)
-    asst = read_log(spark, materialize(spark, fx.assistants(spark, sf_dir), "assistants", sf_dir, fmt),
-                    schemas.ASSISTANTS, fmt)
-    msgs = read_log(spark, materialize(spark, fx.messages(spark, sf_dir), "messages", sf_dir, fmt),
-                    schemas.MESSAGES, fmt)
-    return runs, asst, msgs
+    return read_threads(spark, materialize(spark, fx.runs(spark, sf_dir), "runs", sf_dir, fmt),
+                        materialize(spark, fx.assistants(spark, sf_dir), "assistants", sf_dir, fmt),
+                        materialize(spark, fx.messages(spark, sf_dir), "messages", sf_dir, fmt), fmt)

@@ -44,13 +44,6 @@ def read_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructTy
             .load(sf_dir))
 
 
-def read_table_or_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructType,
-                         streaming: bool) -> DataFrame:
-    if streaming:
-        return read_stream(spark, sf_dir, table, schema)
-    return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-
-
 def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Drain the stream into parquet with a checkpoint; return the output."""
     spark = df.sparkSession

@@ -39,3 +39,23 @@ def test_feedback_keys_are_stable(spark):
     a = {r.call_id: r.feedback_key for r in ev.with_feedback_key(calls).collect()}
     b = {r.call_id: r.feedback_key for r in ev.with_feedback_key(calls.repartition(5)).collect()}
     assert a == b
+
+
+def test_session_summary_and_live_view(spark):
+    from callscope.operators import feedback as fb
+    from callscope.plans.flagship import all_events, all_feedback
+    e = all_events(spark, SF)
+    rows = e.select("chat_id", "call_id", "started_at", "response_metrics.usage.total_tokens").collect()
+    want = {}
+    for r in rows:
+        if r.chat_id is None:
+            continue
+        n, tok, calls = want.get(r.chat_id, (0, 0, []))
+        want[r.chat_id] = (n + 1, tok + (r.total_tokens or 0), calls + [((r.started_at is not None, r.started_at), r.call_id)])
+    got = {r.chat_id: r for r in fb.session_summary(e).collect()}
+    assert set(got) == set(want)
+    for k, (n, tok, _) in want.items():
+        assert got[k].n_events == n and (got[k].total_tokens or 0) == tok
+    with_fb = fb.event_feedback(e, all_feedback(spark, SF))
+    live = fb.live_events(with_fb)
+    assert live.count() == with_fb.where("NOT is_deleted").count()

@@ -1,6 +1,5 @@
 """The reference's redaction goldens, as a table."""
 
-import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

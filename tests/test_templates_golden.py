@@ -1,6 +1,5 @@
 """The reference's template goldens, as tables."""
 
-from pyspark.sql import functions as F
 
 from callscope.functions import templates as tp
 
