@@ -27,6 +27,22 @@ ORACLE: dict[str, str] = {}
 CFG = ev.Config()
 
 
+def shared(fn):
+    """Build a shared intermediate DataFrame once per (session, scale):
+    queries that start from it then only add their own projection, and
+    its plan is analysed once."""
+    cache: dict = {}
+
+    def wrapper(spark, sf):
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in cache:
+            cache[key] = fn(spark, sf)
+        return cache[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -85,6 +101,7 @@ def q_redact_nested(spark, sf):
                     .alias("history_params"))
 
 
+@shared
 def _events(spark, sf) -> DataFrame:
     calls = fx.calls(spark, sf)
     return ev.call_events(calls, fx.chunks(calls), CFG)
@@ -251,6 +268,7 @@ def q_resolve_prompt(spark, sf):
 
 # ---------------------------------------------------------------- assembly
 
+@shared
 def _calls_chunks(spark, sf):
     calls = fx.calls(spark, sf)
     return calls, fx.chunks(calls)
@@ -315,6 +333,7 @@ def q_stamp_feedback_key(spark, sf):
     return chunks.select("call_id", "seq").join(keys, "call_id")
 
 
+@shared
 def _results(spark, sf) -> tuple[DataFrame, DataFrame]:
     calls, chunks = _calls_chunks(spark, sf)
     return calls, asm.resolve_results(calls, chunks)
@@ -399,11 +418,13 @@ def q_event_completion(spark, sf):
     return flat_events(e.where((F.col("event_kind") == "completion") & F.col("response_errors").isNull()))
 
 
+@shared
 def _thread_tables(spark, sf):
     msgs = fx.messages(spark, sf)
     return fx.runs(spark, sf), fx.assistants(spark, sf), msgs, fx.cursors(msgs)
 
 
+@shared
 def _assistant_events(spark, sf) -> DataFrame:
     runs, assistants, msgs, cursors = _thread_tables(spark, sf)
     return th.assistant_events(runs, assistants, msgs, cursors, CFG)
@@ -432,6 +453,7 @@ def q_gate_named(spark, sf):
     return c.select("call_id", "prompt_template_name")
 
 
+@shared
 def _raw_events(spark, sf) -> DataFrame:
     calls, chunks = _calls_chunks(spark, sf)
     return ev.call_events(calls, chunks, ev.Config(redact_pii=False), gate=False)
@@ -586,12 +608,14 @@ def q_chain_gate(spark, sf):
     return fb.chain_gate(fx.chain_updates(spark, sf), CFG).select("update_id", "id", "api_key")
 
 
+@shared
 def _all_feedback(spark, sf) -> DataFrame:
     msgs = fx.messages(spark, sf)
     return fb.feedback_gate(fx.feedback(spark, sf), CFG).unionByName(
         th.delete_tombstones(fx.deletes(msgs), CFG))
 
 
+@shared
 def _events_fb(spark, sf) -> DataFrame:
     e = ev.events_all(_events(spark, sf), _assistant_events(spark, sf))
     return fb.event_feedback(e, _all_feedback(spark, sf))
