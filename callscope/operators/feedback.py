@@ -30,6 +30,12 @@ def feedback_gate(feedback: DataFrame, cfg: Config = Config()) -> DataFrame:
     return f.where(_truthy(F.col("feedback_key")) & _truthy(F.col("api_key")))
 
 
+def rating_in_range() -> Column:
+    """Ratings are documented as 0..1 but not enforced: flag, never drop
+    (null when there is no rating)."""
+    return F.col("rating").between(0.0, 1.0)
+
+
 def chain_gate(updates: DataFrame, cfg: Config = Config()) -> DataFrame:
     """B2: chain updates without id or API key are dropped."""
     u = updates.withColumn("api_key", F.coalesce(F.col("api_key"), F.lit(cfg.api_key).cast("string")))

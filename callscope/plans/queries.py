@@ -595,11 +595,14 @@ def q_delete_tombstones(spark, sf):
 # ---------------------------------------------------------------- feedback
 
 @register("feedback_gate", sql(["fb_gated"], """
-SELECT feedback_key, rating, better_response, is_deleted, api_key FROM fb_gated"""))
+SELECT feedback_key, rating, better_response, is_deleted, api_key, rating BETWEEN 0.0 AND 1.0 AS rating_in_range
+FROM fb_gated"""))
 def q_feedback_gate(spark, sf):
-    """B1: feedback with both a feedback key and an API key."""
+    """B1: feedback with both a feedback key and an API key; ratings outside
+    0..1 are flagged, not dropped."""
     f = fb.feedback_gate(fx.feedback(spark, sf), CFG)
-    return f.select("feedback_key", "rating", "better_response", "is_deleted", "api_key")
+    return f.select("feedback_key", "rating", "better_response", "is_deleted", "api_key",
+                    fb.rating_in_range().alias("rating_in_range"))
 
 
 @register("chain_gate", sql(["chains_gated"], "SELECT update_id, id, api_key FROM chains_gated"))
