@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+import sys
+
+from pyspark import cloudpickle
+
 from callscope.functions.ids import hex_as_uuid
 from callscope.functions.redact import redact_text
 from callscope.operators.events import Config, gate_api_key, gate_chain_uuid
@@ -27,6 +31,10 @@ from callscope.session import scratch_path
 BASE_EPOCH = 1704067200
 PIECE_CHARS = 16
 
+# The state handlers below run in Python workers: ship them by value, so the
+# workers need pandas and PySpark only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CONVERSATIONS = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                               T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
 EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
