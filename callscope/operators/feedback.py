@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from callscope.operators.events import Config
 from callscope.operators.ordering import rank_within
 
+# Statuses whose failure log is limited to one per second,
+# and the range of statuses that are logged at all.
+RATE_LIMITED_STATUSES = (429, 499)
+LOGGED_STATUS_RANGE = (400, 499)
+
 # Fixed value: wire names of feedback fields that differ from ours.
 FEEDBACK_WIRE_NAMES = {"feedback_key": "feedback_key", "rating": "rating", "better_response": "better_response",
                        "is_deleted": "is_deleted", "api_key": "apiKey"}
@@ -156,8 +161,9 @@ def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
     first one in it); other 4xx always."""
     if debug:
         return failures
-    f = failures.where((F.col("status") >= 400) & (F.col("status") < 500))
-    limited = F.col("status").isin(429, 499)
+    lo, hi = LOGGED_STATUS_RANGE
+    f = failures.where(F.col("status").between(lo, hi))
+    limited = F.col("status").isin(*RATE_LIMITED_STATUSES)
     always = f.where(~limited)
     # first failure per (status, second): top-1 per group, limited map-side
     w = Window.partitionBy("status", F.date_trunc("second", "ts")).orderBy("ts", "event_id")

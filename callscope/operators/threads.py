@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from callscope.operators.events import Config, conform_events
 from callscope.operators.ordering import previous_within
 
-ERROR_STATUSES = ("failed", "cancelled", "incomplete")
-MAX_PER_RUN = 100  # fixed value: page size of one run's message read
-ASSISTANT_RESPONSE_TIME = 1  # fixed value: assistant events carry 1 ms
+# Fixed values of the reference's run handling.
+ERROR_STATUSES = ("failed", "cancelled", "incomplete")  # run statuses that give an error event
+MAX_PER_RUN = 100  # page size of one run's message read
+ASSISTANT_RESPONSE_TIME = 1  # assistant events carry 1 ms
+ASSISTANT_TEMPLATE = (("assistant", None), ("chat_history", "{chat_history}"))  # None: the instructions
 
 
 def run_route(runs: DataFrame) -> DataFrame:
@@ -66,9 +68,10 @@ def message_supported() -> Column:
 def _assistant_event(route_error: bool, cfg: Config) -> list[Column]:
     """E3 columns shared by message and error events (after J1)."""
     name = F.coalesce(F.col("a_name"), F.col("assistant_id"))
-    template = F.array(
-        F.struct(F.lit("assistant").alias("role"), F.col("a_instructions").alias("content")),
-        F.struct(F.lit("chat_history").alias("role"), F.lit("{chat_history}").alias("content")))
+    template = F.array(*[
+        F.struct(F.lit(role).alias("role"),
+                 (F.col("a_instructions") if content is None else F.lit(content)).alias("content"))
+        for role, content in ASSISTANT_TEMPLATE])
     return [
         F.lit("assistant").alias("event_kind"),
         F.coalesce(F.col("api_key"), F.lit(cfg.api_key).cast("string")).alias("api_key"),
