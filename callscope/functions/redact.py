@@ -27,6 +27,9 @@ RULES: list[tuple[str, str, str]] = [
 ]
 
 
+# Fixed value: the greetings rule 9 anchors a name on (as in its pattern).
+GREETINGS = ("Hi", "Hello", "Hey", "Dear")
+
 # Characters a rule cannot match without. Tokens put in by earlier rules
 # hold none of them, so testing the original text is exact: a rule whose
 # characters are absent is skipped without scanning the text with it.
@@ -47,8 +50,9 @@ def redact_text(text) -> Column:
     """Replace personal data in a string column by class tokens.
 
     The rules run in their fixed order; groups of rules that need `://`,
-    `@`, or a digit / colon are skipped for texts without them (a cheap
-    character test instead of a regex scan).
+    `@`, a digit / colon, or a greeting word are skipped for texts without
+    them (a cheap substring test instead of a regex scan). Tokens never
+    bring these in, so testing the original text is exact.
     """
     t = F.col(text) if isinstance(text, str) else text
     names = [n for n, _, _ in RULES]
@@ -56,7 +60,10 @@ def redact_text(text) -> Column:
     out = F.when(F.instr(t, "://") > 0, _chain(t, _NEEDS_URL)).otherwise(t)
     out = F.when(F.instr(t, "@") > 0, _chain(out, _NEEDS_AT)).otherwise(out)
     out = F.when(t.rlike("[0-9]") | (F.instr(t, ":") > 0), _chain(out, _NEEDS_DIGIT_OR_COLON)).otherwise(out)
-    return _chain(out, ("PERSON_NAME",))
+    greeting = F.lit(False)
+    for word in GREETINGS:
+        greeting = greeting | (F.instr(t, word + " ") > 0)
+    return F.when(greeting, _chain(out, ("PERSON_NAME",))).otherwise(out)
 
 
 def redacted_type(dt: T.DataType) -> T.DataType:

@@ -777,9 +777,8 @@ def q_src_threads(spark, sf):
 def q_sink_events(spark, sf):
     """K1: every event written as a JSON body (partitioned by day) to the
     shared folder, read back."""
-    from callscope.plans.flagship import all_events
     path = scratch_path(spark, "sinks", "events")
-    sk.write_event_bodies(all_events(spark, sf, CFG), path)
+    sk.write_event_bodies(ev.events_all(_events(spark, sf), _assistant_events(spark, sf)), path)
     return sk.read_event_bodies(spark, path)
 
 
