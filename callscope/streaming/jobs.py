@@ -266,15 +266,22 @@ class CursorProcessor(StatefulProcessor):
         self.cursor.update((int(row["last_pos"]), str(row["last_msg_id"])))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # One Arrow batch at a time: a thread's rows in a micro-batch are
+        # never held together. Everything after the cursor as it stood at
+        # the start of the batch is sent; the cursor then moves to the last.
         last = -1
         if self.cursor.exists():
             last = int(self.cursor.get()[0])
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["pos", "msg_id"])
-        sent = pdf[(pdf["pos"] > last) & pdf["supported"]]
-        if len(sent):
-            top = sent.iloc[-1]
-            self.cursor.update((int(top["pos"]), str(top["msg_id"])))
-        yield sent[["thread_id", "msg_id", "pos"]]
+        top: tuple[int, str] | None = None
+        for pdf in rows:
+            sent = pdf[(pdf["pos"] > last) & pdf["supported"]]
+            if len(sent):
+                best = sent.sort_values(["pos", "msg_id"]).iloc[-1]
+                cand = (int(best["pos"]), str(best["msg_id"]))
+                top = cand if top is None or cand > top else top
+                yield sent[["thread_id", "msg_id", "pos"]]
+        if top is not None:
+            self.cursor.update(top)
 
     def close(self) -> None:
         pass
