@@ -50,7 +50,8 @@ def assemble_stream(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
 
     Columns: call_id, chat_text (A1/A3/A5), completion_text (A8), usage and
     finish_reason as a chat stream sees them (A4), last_metrics as a
-    completion stream sees them (A8), first_chunk (A7), n_chunks.
+    completion stream sees them (A8), first_chunk (A7), n_chunks and
+    tool_calls (A2), all from one pass over the chunk log.
     """
     seq = F.col("seq")
     no_usage = F.col("usage").isNull()
@@ -69,6 +70,7 @@ def assemble_stream(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
         F.max_by(last, seq).alias("last_metrics"),
         F.max(seq).alias("last_seq"),
         F.count(F.lit(1)).alias("n"),
+        _tool_block().alias("tool_part"),
     )
     blk = F.col("_blk")
     return lvl1.groupBy("call_id").agg(
@@ -79,45 +81,56 @@ def assemble_stream(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
         F.max_by("finish_reason", "finish_seq").alias("finish_reason"),
         F.max_by("last_metrics", "last_seq").alias("last_metrics"),
         F.sum("n").alias("n_chunks"),
+        _merge_tool_blocks().alias("tool_calls"),
     )
 
 
-def tool_pieces(chunks: DataFrame) -> DataFrame:
-    """Tool-call pieces of the chunks without usage, one row each, with
-    their order (seq, position in the chunk); a piece without an index
-    belongs to tool 0."""
-    exploded = chunks.where(F.col("usage").isNull() & F.col("tool_calls").isNotNull()).select(
-        "call_id", "seq", F.posexplode("tool_calls").alias("pos", "p"))
-    return exploded.select(
-        "call_id", "seq", "pos",
-        F.coalesce(F.col("p.index"), F.lit(0)).alias("idx"),
-        F.col("p.id").alias("id"), F.col("p.type").alias("type"),
-        F.col("p.name").alias("name"), F.col("p.arguments").alias("arguments"))
+TOOL_T = "array<struct<index:int,id:string,type:string,name:string,arguments:string>>"
 
 
-def assemble_tools(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """A2: tool calls per call, ordered by index.
+def _tool_block() -> Column:
+    """Aggregate (per call and block): the block's tool-call chunks in seq
+    order; chunks with usage carry none (A5)."""
+    has = F.col("usage").isNull() & F.col("tool_calls").isNotNull()
+    return F.array_sort(F.collect_list(F.when(has, F.struct(F.col("seq").alias("seq"),
+                                                            F.col("tool_calls").alias("tc")))))
 
-    The first piece of an index gives id, type and name; the arguments of all
-    its pieces are joined in order (a missing piece counts as "").
-    """
-    pieces = tool_pieces(chunks)
-    order = F.struct("seq", "pos")
-    head = F.struct("id", "type", "name")
-    lvl1 = pieces.groupBy("call_id", "idx", F.floor(F.col("seq") / block).alias("_blk")).agg(
-        _ordered_join(order, F.col("arguments")).alias("args_part"),
-        F.min_by(head, order).alias("head"),
-        F.min(order).alias("head_order"),
-    )
-    per_tool = lvl1.groupBy("call_id", "idx").agg(
-        _ordered_join(F.col("_blk"), F.col("args_part")).alias("arguments"),
-        F.min_by("head", "head_order").alias("head"),
-    )
-    tool = F.struct(F.col("idx").alias("index"), F.col("head.id").alias("id"),
-                    F.col("head.type").alias("type"), F.col("head.name").alias("name"),
-                    F.col("arguments").alias("arguments"))
-    # one row per tool of a call: bounded by the tools of one response
-    return per_tool.groupBy("call_id").agg(F.array_sort(F.collect_list(tool)).alias("tool_calls"))
+
+def _merge_tool_blocks() -> Column:
+    """Aggregate (per call): block parts in block order, then the tools.
+
+    A2: pieces in (seq, position) order; a piece without an index is tool 0;
+    per index the first piece gives id, type and name and the arguments of
+    all pieces are joined in order (a missing piece counts as ""). Tools are
+    ordered by index; a call without tool pieces gets null."""
+    chunks = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_blk", "tool_part"))),
+                                   lambda x: x["tool_part"]))
+    return tools_from_chunks(chunks)
+
+
+def tools_from_chunks(chunks: Column) -> Column:
+    pieces = F.flatten(F.transform(chunks, lambda c: F.transform(
+        c["tc"], lambda p: F.struct(F.coalesce(p["index"], F.lit(0)).alias("idx"), p["id"].alias("id"),
+                                    p["type"].alias("type"), p["name"].alias("name"),
+                                    p["arguments"].alias("arguments")))))
+    idxs = F.array_sort(F.array_distinct(F.transform(pieces, lambda p: p["idx"])))
+    tools = F.transform(idxs, lambda k: F.struct(
+        k.alias("index"),
+        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["id"].alias("id"),
+        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["type"].alias("type"),
+        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["name"].alias("name"),
+        F.array_join(F.transform(F.filter(pieces, lambda p: p["idx"] == k), lambda p: p["arguments"]), "")
+        .alias("arguments")))
+    return F.when(F.size(pieces) > 0, tools).cast(TOOL_T)
+
+
+def assemble_tools(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """A2 alone: tool calls per call, ordered by index (same two levels as
+    `assemble_stream`)."""
+    lvl1 = chunks.groupBy("call_id", F.floor(F.col("seq") / block).alias("_blk")).agg(
+        _tool_block().alias("tool_part"))
+    out = lvl1.groupBy("call_id").agg(_merge_tool_blocks().alias("tool_calls"))
+    return out.where(F.col("tool_calls").isNotNull())
 
 
 def static_chat(calls: DataFrame) -> DataFrame:
@@ -167,8 +180,7 @@ def raw_stream_response(final_text: Column, final_usage: Column, final_finish: C
 def streamed_results(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """A1-A4, A7, A8 per streamed call, columns prefixed `s_`."""
     a = assemble_stream(chunks, block)
-    t = assemble_tools(chunks, block)
-    return a.join(t, "call_id", "left").select(
+    return a.select(
         "call_id",
         F.col("chat_text").alias("s_chat_text"),
         F.col("completion_text").alias("s_completion_text"),
