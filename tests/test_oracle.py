@@ -27,6 +27,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                "FlatMapGroupsInPandas", "MapInPandas"):
+        assert bad not in plan, bad
     if name not in E.oracle_sql():
         assert len(rows) > 0
         return
