@@ -42,9 +42,22 @@ def rank_within(df: DataFrame, key: str, order: list[str], out: str = "rank",
 
 
 def previous_within(df: DataFrame, key: str, order: list[str], value: str, out: str) -> DataFrame:
-    """`lag(value)` over (key, order) as an equi-join on (key, rank - 1):
-    the join key is unique per row, so no key is bigger than one row."""
+    """`lag(value)` over (key, order) without a window by key.
+
+    Each ranked row is sent twice: as itself at (key, rank) and as the
+    predecessor of (key, rank + 1). Grouping by that unique pair puts at
+    most two rows in a group, and the ranking is computed once."""
     ranked = rank_within(df, key, order, "_r")
-    prev = ranked.select(F.col(key).alias("_k"), (F.col("_r") + 1).alias("_r1"), F.col(value).alias(out))
-    j = ranked.join(prev, (F.col(key) == F.col("_k")) & (F.col("_r") == F.col("_r1")), "left")
-    return j.drop("_k", "_r1", "_r")
+    cols = [c for c in ranked.columns if c != "_r"]
+    row_type = ranked.select(F.struct(*cols).alias("row")).schema["row"].dataType
+    copies = ranked.select(
+        key, F.explode(F.array(
+            F.struct(F.col("_r").alias("r"), F.lit(0).alias("k"), F.struct(*cols).alias("row"),
+                     F.lit(None).cast(ranked.schema[value].dataType).alias("v")),
+            F.struct((F.col("_r") + 1).alias("r"), F.lit(1).alias("k"),
+                     F.lit(None).cast(row_type).alias("row"),
+                     F.col(value).alias("v")))).alias("c"))
+    g = copies.groupBy(key, F.col("c.r").alias("_r")).agg(F.collect_list("c").alias("_c"))
+    me = F.get(F.filter("_c", lambda x: x["k"] == 0), 0)
+    prev = F.get(F.filter("_c", lambda x: x["k"] == 1), 0)
+    return g.where(me.isNotNull()).select(*[me["row"][c].alias(c) for c in cols], prev["v"].alias(out))
