@@ -149,3 +149,41 @@ def history_errors(messages, history) -> Column:
 def resolve_prompt_text(prompt, prompt_parts) -> Column:
     """T11 (untemplated part): a text prompt, else its parts joined with ''."""
     return F.coalesce(_col(prompt), F.array_join(_col(prompt_parts), ""))
+
+
+def nested_vars(c: Column, dt) -> Column:
+    """T5 for any nested value: variables of every string leaf, depth first
+    in schema order, deduplicated inside each leaf only; struct field names
+    and map keys are not scanned; null, numbers and booleans give none."""
+    from pyspark.sql import types as T
+    empty = F.array().cast("array<string>")
+    if isinstance(dt, T.StringType):
+        return F.coalesce(template_vars(c), empty)
+    if isinstance(dt, T.ArrayType):
+        return F.coalesce(F.flatten(F.transform(c, lambda x: nested_vars(x, dt.elementType))), empty)
+    if isinstance(dt, T.MapType):
+        return F.coalesce(F.flatten(F.transform(F.map_values(c), lambda x: nested_vars(x, dt.valueType))), empty)
+    if isinstance(dt, T.StructType):
+        parts = [nested_vars(c[f.name], f.dataType) for f in dt.fields]
+        return F.concat(*parts) if parts else empty
+    return empty
+
+
+def format_nested(c: Column, dt, params) -> Column:
+    """T6/T7 for any nested value: every string leaf formatted, map keys
+    too; struct field names are fixed by the schema; other leaves pass
+    through unchanged (as the reference means to)."""
+    from pyspark.sql import types as T
+    p = _col(params)
+    if isinstance(dt, T.StringType):
+        return format_template(c, p)
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: format_nested(x, dt.elementType, p))
+    if isinstance(dt, T.MapType):
+        keyed = F.transform_keys(c, lambda k, v: format_template(k, p)) \
+            if isinstance(dt.keyType, T.StringType) else c
+        return F.transform_values(keyed, lambda k, v: format_nested(v, dt.valueType, p))
+    if isinstance(dt, T.StructType):
+        inner = F.struct(*[format_nested(c[f.name], f.dataType, p).alias(f.name) for f in dt.fields])
+        return F.when(c.isNull(), F.lit(None).cast(dt)).otherwise(inner)
+    return c
