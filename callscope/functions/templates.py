@@ -147,8 +147,9 @@ def history_errors(messages, history) -> Column:
 
 
 def resolve_prompt_text(prompt, prompt_parts) -> Column:
-    """T11 (untemplated part): a text prompt, else its parts joined with ''."""
-    return F.coalesce(_col(prompt), F.array_join(_col(prompt_parts), ""))
+    """T11 (untemplated part): a text prompt, else its parts joined with ''.
+    Token-number parts are cast to text first; null stays null."""
+    return F.coalesce(_col(prompt), F.array_join(_col(prompt_parts).cast("array<string>"), ""))
 
 
 def nested_vars(c: Column, dt) -> Column:
