@@ -225,13 +225,20 @@ def _assemble_state(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState)
     state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
 
 
+def assemble_with_state(chunks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """P1 on any chunk stream (call_id, seq, ts, content, is_end): keyed
+    state per call; full text at the end chunk, partial text
+    (complete=false) once the watermark passes a call that stopped early."""
+    return (chunks.withWatermark("ts", delay).groupBy("call_id")
+            .applyInPandasWithState(_assemble_state, P1_OUT, P1_STATE, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+
+
 def stream_asm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per call, keyed state gathers the streamed pieces; the text is
     emitted when the stream ends, or partially when it stops early."""
     chunks = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
-    out = (chunks.withWatermark("ts", "10 minutes").groupBy("call_id")
-           .applyInPandasWithState(_assemble_state, P1_OUT, P1_STATE, "append", GroupStateTimeout.EventTimeTimeout))
-    return run_available(out, "stream_asm")
+    return run_available(assemble_with_state(chunks), "stream_asm")
 
 
 # ---------------------------------------------------------------- P2

@@ -43,3 +43,21 @@ def test_stream_event_sink_equals_batch_bodies(spark):
     batch = conform_events(sj.gate_and_redact(sj.event_calls(spark.read.parquet(f"{SF}/events.parquet"))))
     want = {tuple(r) for r in sk.event_bodies(batch).select("call_id", "body").collect()}
     assert got == want and got
+
+
+def test_stream_asm_emits_partial_on_timeout(spark):
+    import datetime as dt
+
+    from callscope.session import scratch_path
+    base = scratch_path(spark, "tests", "partial")
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    schema = "call_id string, seq bigint, ts timestamp, content string, is_end boolean"
+    first = [("a", 0, t0, "Hel", False), ("a", 1, t0 + dt.timedelta(seconds=1), "lo", False),
+             ("b", 0, t0, "done", False), ("b", 1, t0 + dt.timedelta(seconds=1), None, True)]
+    later = [("c", 0, t0 + dt.timedelta(hours=2), "x", False), ("c", 1, t0 + dt.timedelta(hours=2), None, True)]
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{base}/in/p1")
+    spark.createDataFrame(later, schema).coalesce(1).write.parquet(f"{base}/in/p2")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
+    got = {(r.call_id, r.text, r.complete) for r in sj.run_available(sj.assemble_with_state(stream), "partial").collect()}
+    assert got == {("a", "Hello", False), ("b", "done", True), ("c", "x", True)}
