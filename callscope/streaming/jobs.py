@@ -52,10 +52,14 @@ def read_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructTy
             .load(sf_dir))
 
 
-def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drain the stream into parquet with a checkpoint; return the output."""
+def run_available(df: DataFrame, name: str, mode: str = "append", base: str | None = None) -> DataFrame:
+    """Drain the stream into parquet with a checkpoint; return the output.
+
+    `base` is the job's stable folder (output + checkpoint): a restarted
+    job resumes from its checkpoint exactly once. Without it a fresh folder
+    under the shared checkpoint dir is used (one-off runs, checks)."""
     spark = df.sparkSession
-    base = scratch_path(spark, "streams", name)
+    base = base or scratch_path(spark, "streams", name)
     q = (df.writeStream.format("parquet").outputMode(mode)
          .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/out")
          .trigger(availableNow=True).start())
@@ -63,12 +67,12 @@ def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def run_available_updates(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def run_available_updates(df: DataFrame, name: str, keys: list[str], base: str | None = None) -> DataFrame:
     """Update-mode stream: each micro-batch's changed rows are appended with
     their batch id; reading keeps the latest row per key (a re-run batch
     writes the same rows again, so duplicates are harmless)."""
     spark = df.sparkSession
-    base = scratch_path(spark, "streams", name)
+    base = base or scratch_path(spark, "streams", name)
     out = f"{base}/out"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -61,3 +61,14 @@ def test_stream_asm_emits_partial_on_timeout(spark):
               .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
     got = {(r.call_id, r.text, r.complete) for r in sj.run_available(sj.assemble_with_state(stream), "partial").collect()}
     assert got == {("a", "Hello", False), ("b", "done", True), ("c", "x", True)}
+
+
+def test_restart_resumes_from_checkpoint(spark):
+    from callscope.session import scratch_path
+    base = scratch_path(spark, "tests", "resume")
+    first = sj.run_available(sj.gate_and_redact(sj.event_calls(sj.read_stream(spark, SF, "events", sj.EVENTS))),
+                             "resume", base=base).count()
+    # the same job again: nothing new to read, nothing written twice
+    again = sj.run_available(sj.gate_and_redact(sj.event_calls(sj.read_stream(spark, SF, "events", sj.EVENTS))),
+                             "resume", base=base).count()
+    assert first == again > 0
