@@ -33,7 +33,7 @@ def ordered_text(df: DataFrame, keys: list[str], order: str, text: str, out: str
     return lvl1.groupBy(*keys).agg(_ordered_join(F.col("_blk"), F.col("_part")).alias(out))
 
 
-def chat_piece(c: DataFrame | None = None) -> Column:
+def chat_piece() -> Column:
     """A1 + A3 + A5: the text a chat chunk adds to the response.
 
     Non-empty `content`, then the deprecated `function_call` as JSON when the
@@ -109,6 +109,8 @@ def _merge_tool_blocks() -> Column:
 
 
 def tools_from_chunks(chunks: Column) -> Column:
+    """The tools of one call from its tool chunks (array of (seq, tc)) in
+    seq order; the work is bounded by the tool pieces of one response."""
     pieces = F.flatten(F.transform(chunks, lambda c: F.transform(
         c["tc"], lambda p: F.struct(F.coalesce(p["index"], F.lit(0)).alias("idx"), p["id"].alias("id"),
                                     p["type"].alias("type"), p["name"].alias("name"),
