@@ -19,6 +19,8 @@ from callscope.functions.redact import redact_text, redact_value
 from callscope.operators.assemble import DEFAULT_BLOCK, KEEP_NULLS, result_columns, streamed_results
 
 PARAMS_T = "map<string,string>"
+# Fixed value of the event contract: the provider every event names.
+MODEL_PROVIDER = "openai"
 HISTORY_T = "map<string,array<struct<role:string,content:string>>>"
 
 
@@ -188,7 +190,7 @@ def _events_from(j: DataFrame) -> DataFrame:
         F.when(failed, F.array(F.to_json(F.col("error")))).alias("response_errors"),
         F.when(~failed, F.struct(F.col("r_usage").alias("usage"), F.col("r_finish").alias("finish_reason"),
                                  F.col("r_logprobs").alias("logprobs"))).alias("response_metrics"),
-        F.struct(F.lit("openai").alias("model_provider"), F.col("kind").alias("model_type"),
+        F.struct(F.lit(MODEL_PROVIDER).alias("model_provider"), F.col("kind").alias("model_type"),
                  F.col("model").alias("model"), F.col("max_tokens").alias("max_tokens"))
         .alias("model_parameters"),
         "chat_id", "chain_id",

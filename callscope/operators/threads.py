@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.operators.events import Config, conform_events
+from callscope.operators.events import MODEL_PROVIDER, Config, conform_events
 from callscope.operators.ordering import previous_within
 
 # Fixed values of the reference's run handling.
@@ -80,7 +80,7 @@ def _assistant_event(route_error: bool, cfg: Config) -> list[Column]:
         F.lit(None).cast("string").alias("prompt_template_text"),
         template.alias("prompt_template_chat"),
         F.lit(ASSISTANT_RESPONSE_TIME).cast("bigint").alias("response_time"),
-        F.struct(F.lit("openai").alias("model_provider"), F.lit("assistants").alias("model_type"),
+        F.struct(F.lit(MODEL_PROVIDER).alias("model_provider"), F.lit("assistants").alias("model_type"),
                  F.coalesce(F.col("model"), F.col("a_model")).alias("model"),
                  F.lit(None).cast("int").alias("max_tokens")).alias("model_parameters"),
     ]
