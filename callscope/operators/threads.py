@@ -137,15 +137,23 @@ def message_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame,
 def cursor_advance(runs: DataFrame, messages: DataFrame, cursors: DataFrame,
                    max_per_run: int = MAX_PER_RUN) -> DataFrame:
     """M5: the cursor moves to the last supported message sent; threads
-    without a new message keep theirs. `max_by` combines map-side."""
+    without a new message keep theirs."""
     sent = run_messages(runs, messages, cursors, max_per_run)
-    moved = sent.groupBy("thread_id").agg(F.max_by("msg_id", "pos").alias("new_id"), F.max("pos").alias("new_pos"))
+    moved = _last_per_thread(sent.select("thread_id", F.col("msg_id").alias("new_id"), F.col("pos").alias("new_pos")),
+                             "new_pos", "new_id")
     j = cursors.join(moved, "thread_id", "full")
     return j.select("thread_id",
                     F.coalesce(F.col("new_id"), F.col("last_msg_id")).alias("last_msg_id"),
                     F.coalesce(F.col("new_pos"), F.col("last_pos")).alias("last_pos"))
 
 
+def _last_per_thread(df: DataFrame, pos: str, msg_id: str) -> DataFrame:
+    """The row with the highest position per thread: top-1 per group, so a
+    map-side WindowGroupLimit keeps one row per thread and task."""
+    w = Window.partitionBy("thread_id").orderBy(F.col(pos).desc(), F.col(msg_id).desc())
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
+
+
 def prev_message(messages: DataFrame) -> DataFrame:
     """M6: the message just before each one in its thread (null for the
     first), computed without sending a thread to one task."""
@@ -163,7 +171,8 @@ def cursor_rewind(cursors: DataFrame, messages: DataFrame, deletes: DataFrame) -
         deletes.select("thread_id", "msg_id"), ["thread_id", "msg_id"], "left_anti")
     before = live.join(hit.select("thread_id", F.col("last_pos").alias("cpos")), "thread_id") \
         .where(F.col("pos") < F.col("cpos"))
-    best = before.groupBy("thread_id").agg(F.max_by("msg_id", "pos").alias("prev_id"), F.max("pos").alias("prev_pos"))
+    best = _last_per_thread(before.select("thread_id", F.col("msg_id").alias("prev_id"),
+                                          F.col("pos").alias("prev_pos")), "prev_pos", "prev_id")
     moved = hit.select("thread_id").join(best, "thread_id", "left").select(
         "thread_id", F.coalesce(F.col("prev_id"), F.lit("")).alias("last_msg_id"),
         F.coalesce(F.col("prev_pos"), F.lit(-1).cast("bigint")).alias("last_pos"))
