@@ -71,11 +71,24 @@ def format_template(template, params) -> Column:
     return unescape(substitute(t, p))
 
 
+def merge_entries(entries: Column) -> Column:
+    """Entries (key, value) to a map where a repeated key keeps its first
+    position and takes its last value, as building an object does; never
+    fails on duplicate keys."""
+    firsts = F.filter(entries, lambda e, i: F.array_position(
+        F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1)
+    return F.map_from_entries(F.transform(firsts, lambda e: F.struct(
+        e["key"].alias("key"),
+        F.element_at(F.filter(entries, lambda x: x["key"] == e["key"]), -1)["value"].alias("value"))))
+
+
 def format_map(m, params) -> Column:
-    """Format map keys as well as values."""
+    """Format map keys as well as values (keys that become equal keep
+    the first position and the last value)."""
     p = _col(params)
-    keyed = F.transform_keys(_col(m), lambda k, v: format_template(k, p))
-    return F.transform_values(keyed, lambda k, v: format_template(v, p))
+    entries = F.transform(F.map_entries(_col(m)), lambda e: F.struct(
+        format_template(e["key"], p).alias("key"), format_template(e["value"], p).alias("value")))
+    return merge_entries(entries)
 
 
 def message_vars(messages) -> Column:
@@ -181,9 +194,11 @@ def format_nested(c: Column, dt, params) -> Column:
     if isinstance(dt, T.ArrayType):
         return F.transform(c, lambda x: format_nested(x, dt.elementType, p))
     if isinstance(dt, T.MapType):
-        keyed = F.transform_keys(c, lambda k, v: format_template(k, p)) \
-            if isinstance(dt.keyType, T.StringType) else c
-        return F.transform_values(keyed, lambda k, v: format_nested(v, dt.valueType, p))
+        if not isinstance(dt.keyType, T.StringType):
+            return F.transform_values(c, lambda k, v: format_nested(v, dt.valueType, p))
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            format_template(e["key"], p).alias("key"), format_nested(e["value"], dt.valueType, p).alias("value")))
+        return merge_entries(entries)
     if isinstance(dt, T.StructType):
         inner = F.struct(*[format_nested(c[f.name], f.dataType, p).alias(f.name) for f in dt.fields])
         return F.when(c.isNull(), F.lit(None).cast(dt)).otherwise(inner)

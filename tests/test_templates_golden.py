@@ -120,3 +120,9 @@ def test_prompt_parts_text_and_tokens(spark):
                                "p string, parts array<string>, toks array<int>")
     r = df.select(tp.resolve_prompt_text("p", "parts").alias("a"), tp.resolve_prompt_text("p", "toks").alias("b")).collect()
     assert [(x.a, x.b) for x in r] == [("abcd", "12"), ("p", "p"), (None, None)]
+
+
+def test_map_keys_that_collide_after_formatting(spark):
+    df = spark.sql("SELECT map('{a}', '1', 'x', '2', '{b}', '3') AS m, map('a', 'k', 'b', 'k') AS p")
+    got = df.select(tp.format_map("m", "p").alias("f")).first().f
+    assert list(got.items()) == [("k", "3"), ("x", "2")]
