@@ -22,16 +22,23 @@ from pyspark.sql import functions as F
 
 
 def rank_within(df: DataFrame, key: str, order: list[str], out: str = "rank",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, cut: bool = False) -> DataFrame:
     """Add `out` = 1-based position of each row within `key` by `order`.
 
     `order` must end with a column that is unique within the key, so that
-    a recomputed task gives every row the same position.
+    a recomputed task gives every row the same position. The sorted input
+    feeds two branches (piece counts and rows); with `cut`, it is written
+    once to the shared checkpoint folder (`checkpoint()`), and both
+    branches read it instead of computing it twice.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
     tagged = ranged.withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
+    if cut:
+        from callscope.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        tagged = tagged.checkpoint(eager=True)
     pieces = tagged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     # rows of a piece table: distinct keys + partitions; per key at most one row per partition
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -30,3 +30,10 @@ def test_previous_within_equals_lag(spark):
     want = {r.id: r.p for r in df.select("id", F.lag("id").over(w).alias("p")).collect()}
     got = {r.id: r.prev for r in previous_within(df, "k", ["t", "id"], "id", "prev").collect()}
     assert got == want
+
+
+def test_rank_within_cut_gives_the_same_ranks(spark):
+    df = _data(spark)
+    a = {r.id: r.rank for r in rank_within(df, "k", ["t", "id"], "rank").collect()}
+    b = {r.id: r.rank for r in rank_within(df, "k", ["t", "id"], "rank", cut=True).collect()}
+    assert a == b
