@@ -61,9 +61,9 @@ def chain_upsert(updates: DataFrame) -> DataFrame:
 
 def feedback_by_key(feedback: DataFrame) -> DataFrame:
     """One row per feedback key: the latest rating and better response
-    (by ts, nulls last), and whether any feedback marked it deleted."""
-    order = F.struct(F.coalesce(F.col("ts"), F.lit(None).cast("timestamp")), F.col("rating"),
-                     F.col("better_response"))
+    (by ts; a row without ts counts as oldest; ties broken by the values),
+    and whether any feedback marked it deleted."""
+    order = F.struct(F.col("ts"), F.col("rating"), F.col("better_response"))
     return feedback.groupBy("feedback_key").agg(
         F.max_by(F.struct("rating", "better_response"),
                  F.when(F.col("rating").isNotNull() | F.col("better_response").isNotNull(), order))
