@@ -106,9 +106,12 @@ def run_messages(runs: DataFrame, messages: DataFrame, cursors: DataFrame,
     """M1 'messages' route + J2 + M3: supported messages each completed,
     recorded run sends, with the run's columns."""
     r = run_route(run_gate(runs)).where(F.col("route") == "messages")
-    # several completed runs of one thread in a batch: the last one reads
-    # (top-1 per thread: a map-side WindowGroupLimit keeps one row per task)
-    last = Window.partitionBy("thread_id").orderBy(F.col("run_id").desc())
+    # several completed runs of one thread in a batch: the last to complete
+    # reads (by `completed_at` when the log has it, run id as tiebreak;
+    # top-1 per thread: a map-side WindowGroupLimit keeps one row per task)
+    order = ([F.col("completed_at").desc_nulls_last()] if "completed_at" in r.columns else []) \
+        + [F.col("run_id").desc()]
+    last = Window.partitionBy("thread_id").orderBy(*order)
     r = r.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= 1).drop("_n")
     m = messages_after_cursor(messages.join(r.select("thread_id"), "thread_id", "left_semi"), cursors, max_per_run)
     return m.where(message_supported()).join(r, "thread_id")

@@ -81,6 +81,7 @@ RUNS = T.StructType([
     T.StructField("api_key", T.StringType()),
     T.StructField("model", T.StringType()),
     T.StructField("last_error", ERROR),
+    T.StructField("completed_at", T.TimestampType()),
 ])
 
 ASSISTANTS = T.StructType([

@@ -54,3 +54,19 @@ def test_unsupported_first_option(spark):
     for r in got:
         per.setdefault(r.thread_id, []).append(r.pos)
     assert all(len(v) <= 2 for v in per.values())
+
+
+def test_last_completed_run_reads(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    runs = spark.createDataFrame(
+        [("run-9", "T", "completed", "a", "tmpl", "k", None, None, t),
+         ("run-10", "T", "completed", "a", "tmpl", "k", "late-model", None, t + dt.timedelta(minutes=5))],
+        "run_id string, thread_id string, status string, assistant_id string, prompt_template_name string, "
+        "api_key string, model string, last_error struct<status:int,message:string>, completed_at timestamp")
+    msgs = spark.createDataFrame([("T", "T-0", 0, "user", [("text", "hi")])],
+                                 "thread_id string, msg_id string, pos bigint, role string, "
+                                 "content array<struct<type:string,value:string>>")
+    cursors = spark.createDataFrame([], "thread_id string, last_msg_id string, last_pos bigint")
+    got = th.run_messages(runs, msgs, cursors).select("run_id").collect()
+    assert [r.run_id for r in got] == ["run-10"]
