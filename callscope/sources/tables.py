@@ -30,6 +30,14 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "p
     return spark.read.format(fmt).schema(schema).load(path)
 
 
+def stream_log(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+               max_files_per_trigger: int = 100) -> DataFrame:
+    """S1-S3 on a stream: the same logs as new files arrive, with the same
+    fixed schema; `max_files_per_trigger` bounds each micro-batch."""
+    return (spark.readStream.format(fmt).schema(schema)
+            .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+
+
 def read_calls(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Chat and completion calls with their static results."""
     return read_log(spark, path, schemas.CALLS, fmt)

@@ -72,3 +72,16 @@ def test_restart_resumes_from_checkpoint(spark):
     again = sj.run_available(sj.gate_and_redact(sj.event_calls(sj.read_stream(spark, SF, "events", sj.EVENTS))),
                              "resume", base=base).count()
     assert first == again > 0
+
+
+def test_log_stream_reads_what_the_batch_reader_reads(spark):
+    from callscope import schemas
+    from callscope.session import scratch_path
+    from callscope.sources import fixtures as fx
+    from callscope.sources.tables import read_chunks, stream_log
+    base = scratch_path(spark, "tests", "logstream")
+    fx.chunks(fx.calls(spark, SF)).write.json(f"{base}/chunks")
+    stream = stream_log(spark, f"{base}/chunks", schemas.CHUNKS, "json", max_files_per_trigger=2)
+    got = sj.run_available(stream.select("call_id", "seq", "content"), "logstream").collect()
+    want = read_chunks(spark, f"{base}/chunks", "json").select("call_id", "seq", "content").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
