@@ -59,3 +59,14 @@ def test_session_summary_and_live_view(spark):
     with_fb = fb.event_feedback(e, all_feedback(spark, SF))
     live = fb.live_events(with_fb)
     assert live.count() == with_fb.where("NOT is_deleted").count()
+
+
+def test_quarantine_holds_exactly_the_failed_templates(spark):
+    calls = fx.calls(spark, SF)
+    resolved = ev.resolve_templates(calls)
+    q = {r.call_id: r.errors for r in ev.quarantine(resolved).collect()}
+    bad = {r.call_id for r in resolved.where(F.size("template_errors") > 0).collect()}
+    assert set(q) == bad and bad
+    assert all(e and ("missing variable" in e or "history" in e) for e in q.values())
+    kept = {r.call_id for r in ev.drop_template_errors(resolved).collect()}
+    assert kept.isdisjoint(bad) and len(kept) + len(bad) == calls.count()
