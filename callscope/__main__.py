@@ -4,6 +4,8 @@
     python -m callscope threads --runs PATH --assistants PATH --messages PATH --cursors PATH
                                 --out PATH --cursors-out PATH
     python -m callscope rollup  --events PATH --feedback PATH --out PATH
+    python -m callscope deletes --cursors PATH --messages PATH --deletes PATH
+                                --cursors-out PATH --feedback-out PATH
 
 Logs are read with the schemas of `callscope.schemas`; outputs are written
 to the given (shared) folders. Run with `spark-submit -m`-style launchers or
@@ -50,6 +52,9 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--events", required=True, help="parquet event table (event schema)")
     r.add_argument("--feedback", required=True)
     r.add_argument("--out", required=True)
+    d = sub.add_parser("deletes", help="deleted messages: rewound cursors (M7) and tombstone feedback (M8)")
+    for name in ("cursors", "messages", "deletes", "cursors-out", "feedback-out"):
+        d.add_argument(f"--{name}", required=True)
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"callscope-{a.job}").getOrCreate()
@@ -68,6 +73,13 @@ def main(argv: list[str] | None = None) -> None:
         # events first, then cursors: a rerun after a failure sends the same keys again
         sinks.write_event_bodies(th.assistant_events(runs, asst, msgs, cursors, cfg), a.out)
         th.cursor_advance(runs, msgs, cursors).write.mode("overwrite").parquet(a.cursors_out)
+    elif a.job == "deletes":
+        cursors = read_log(spark, a.cursors, schemas.CURSORS, a.format)
+        msgs = read_log(spark, a.messages, schemas.MESSAGES, a.format)
+        deletes = read_log(spark, a.deletes, schemas.DELETES, a.format)
+        # tombstones first, then cursors: a rerun sends the same keys again
+        sinks.write_feedback_bodies(fb.feedback_gate(th.delete_tombstones(deletes, cfg), cfg), a.feedback_out)
+        th.cursor_rewind(cursors, msgs, deletes).write.mode("overwrite").parquet(a.cursors_out)
     elif a.job == "rollup":
         events = spark.read.parquet(a.events)
         feedback = fb.feedback_gate(read_log(spark, a.feedback, schemas.FEEDBACK, a.format), cfg)

@@ -108,6 +108,12 @@ CURSORS = T.StructType([
     T.StructField("last_pos", T.LongType()),
 ])
 
+DELETES = T.StructType([
+    T.StructField("thread_id", T.StringType()),
+    T.StructField("msg_id", T.StringType()),
+    T.StructField("pos", T.LongType()),
+])
+
 FEEDBACK = T.StructType([
     T.StructField("feedback_key", T.StringType()),
     T.StructField("rating", T.DoubleType()),

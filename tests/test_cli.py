@@ -30,3 +30,18 @@ def test_jobs_on_written_logs(spark):
     n_events = spark.read.text(f"{d}/out_events").count() + spark.read.text(f"{d}/out_asst").count()
     assert n_events == events.count()
     assert spark.read.parquet(f"{d}/out_rollup").count() == events.select("prompt_template_name").distinct().count()
+
+
+def test_deletes_job(spark):
+    d = scratch_path(spark, "tests", "cli-deletes")
+    msgs = fx.messages(spark, SF)
+    msgs.write.parquet(f"{d}/msgs")
+    fx.cursors(msgs).write.parquet(f"{d}/cursors")
+    dels = fx.deletes(msgs)
+    dels.write.parquet(f"{d}/deletes")
+    main(["--api-key", "key-default", "deletes", "--cursors", f"{d}/cursors", "--messages", f"{d}/msgs",
+          "--deletes", f"{d}/deletes", "--cursors-out", f"{d}/out_cursors", "--feedback-out", f"{d}/out_fb"])
+    assert spark.read.text(f"{d}/out_fb").count() == dels.count()
+    from callscope.operators import threads as th
+    want = {tuple(r) for r in th.cursor_rewind(fx.cursors(msgs), msgs, dels).collect()}
+    assert {tuple(r) for r in spark.read.parquet(f"{d}/out_cursors").collect()} == want
