@@ -46,3 +46,5 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["prompt_template_name", "n_calls", "n_errors"]
+    # the driver checks a stable schema: a second call gives the same one
+    assert E.entry(spark).schema == df.schema
