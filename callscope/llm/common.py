@@ -50,3 +50,37 @@ def arrow_map(fn: Callable[[Iterator], Iterator], setup: Callable[[], object] |
             if batch.num_rows:
                 yield from fn(state, batch)
     return run
+
+
+def range_cuts(df: DataFrame, key: str, n: int) -> list[int]:
+    """At most n - 1 ascending values that cut the integer column `key` into
+    ranges of about equal size (approximate: only balance depends on them)."""
+    if n < 2:
+        return []
+    steps = F.array(*[F.lit(i / n) for i in range(1, n)]) if n <= 1000 else F.transform(
+        F.sequence(F.lit(1), F.lit(n - 1)), lambda i: i / F.lit(n))
+    row = df.agg(F.percentile_approx(key, steps, max(10_000, 20 * n)).alias("c")).first()
+    return sorted(set(row["c"] or []))
+
+
+def merge_blobs(parts: DataFrame, merge: Callable[[list], bytes], groups: int = 16) -> list[bytes]:
+    """Merge one-per-task summaries (columns g, blob; g < groups) in tasks by
+    g, and return the at most `groups` merged ones for a last merge."""
+    import pyarrow as pa
+    schema = pa.schema([("blob", pa.binary())])
+
+    def run(batches):
+        blobs, kept = [], None
+        for batch in batches:
+            for blob in batch.column(1).to_pylist():
+                blobs.append(blob)
+                if len(blobs) >= 32:
+                    kept = merge([kept, *blobs] if kept is not None else blobs)
+                    blobs = []
+        if blobs:
+            kept = merge([kept, *blobs] if kept is not None else blobs)
+        if kept is not None:
+            yield pa.RecordBatch.from_pydict({"blob": [kept]}, schema=schema)
+
+    merged = parts.repartition(groups, "g").mapInArrow(run, "blob binary")
+    return [bytes(r["blob"]) for r in merged.collect()]

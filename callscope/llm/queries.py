@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callscope.llm.common import read_table, scratch_path
+from callscope.llm.common import crc_mod4, read_table, scratch_path
+from callscope.llm.fingerprints import fingerprints
+from callscope.llm.langid import identify, train_model
 from callscope.llm.packing import pack, token_pieces
 from callscope.llm.token_counts import token_counts
 from callscope.llm.token_files import read_token_files, write_token_files
@@ -47,3 +49,18 @@ def op7(spark, sf_dir):
     """Write all documents' ids as flat files, then read them back."""
     folder = scratch_path(spark, "llm", "token-files")
     return read_token_files(spark, folder, write_token_files(documents(spark, sf_dir), folder))
+
+
+@register("op4_fingerprints")
+def op4(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints(documents(spark, sf_dir))
+
+
+@register("op9_language_id")
+def op9(spark, sf_dir):
+    """Language of every document."""
+    docs = documents(spark, sf_dir)
+    found = identify(docs.select("doc_id", "text"), train_model(docs))
+    return found.select("doc_id", F.coalesce(crc_mod4(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
