@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from callscope.llm.common import crc_mod4, read_table, scratch_path
 from callscope.llm.fingerprints import fingerprints
+from callscope.llm.jaccard_join import jaccard_components
 from callscope.llm.langid import identify, train_model
 from callscope.llm.packing import pack, token_pieces
+from callscope.llm.pii import pseudonymise
 from callscope.llm.token_counts import token_counts
 from callscope.llm.token_files import read_token_files, write_token_files
 
@@ -27,6 +29,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: The key of the registered queries' pseudonyms; a deployment passes its own.
+PII_KEY = "callscope-query-key"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
@@ -64,3 +70,17 @@ def op9(spark, sf_dir):
     found = identify(docs.select("doc_id", "text"), train_model(docs))
     return found.select("doc_id", F.coalesce(crc_mod4(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"),
                         "lang_pred", "score")
+
+
+@register("op3_pii_pseudonyms")
+def op3(spark, sf_dir):
+    """Every document with its personal data pseudonymised."""
+    out = pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.size("pii_values").alias("n_values"),
+                      F.array_sort(F.array_distinct(F.transform("pii_values", lambda v: v["kind"]))).alias("kinds"))
+
+
+@register("op10_ngram_jaccard_join")
+def op10(spark, sf_dir):
+    """Components of documents whose sets of four-word shingles are 85 % alike."""
+    return jaccard_components(documents(spark, sf_dir), 4, 0.85)
