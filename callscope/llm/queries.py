@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callscope.llm.common import crc_mod4, read_table, scratch_path
+from callscope.llm.embed_dedup import near_duplicates
 from callscope.llm.fingerprints import fingerprints
 from callscope.llm.jaccard_join import jaccard_components
 from callscope.llm.langid import identify, train_model
 from callscope.llm.packing import pack, token_pieces
 from callscope.llm.pii import pseudonymise
+from callscope.llm.spm import encoding_digest
 from callscope.llm.token_counts import token_counts
 from callscope.llm.token_files import read_token_files, write_token_files
 
@@ -84,3 +86,15 @@ def op3(spark, sf_dir):
 def op10(spark, sf_dir):
     """Components of documents whose sets of four-word shingles are 85 % alike."""
     return jaccard_components(documents(spark, sf_dir), 4, 0.85)
+
+
+@register("op6_embedding_near_dedup")
+def op6(spark, sf_dir):
+    """Links and components of vectors of cosine 0.98 or more within a label."""
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@register("op8_sentencepiece")
+def op8(spark, sf_dir):
+    """Every document encoded to pieces and decoded again."""
+    return encoding_digest(documents(spark, sf_dir))
