@@ -17,6 +17,7 @@ from callscope.llm.pii import pseudonymise
 from callscope.llm.spm import encoding_digest
 from callscope.llm.token_counts import token_counts
 from callscope.llm.token_files import read_token_files, write_token_files
+from callscope.llm.toxicity import score, train_scorer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +99,13 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     """Every document encoded to pieces and decoded again."""
     return encoding_digest(documents(spark, sf_dir))
+
+
+@register("op5_toxicity")
+def op5(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    scorer = train_scorer(docs, read_table(spark, sf_dir, "labels"))
+    out = score(docs.select("doc_id", "text"), scorer)
+    return out.select("doc_id", F.coalesce(crc_mod4(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
