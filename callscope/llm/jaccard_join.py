@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.llm.blocks import deal_blocks, forest, units
@@ -99,7 +99,7 @@ def band_keys(shingles: np.ndarray, permille: int) -> np.ndarray:
         _, _, k, m = band(i, permille)
         if k == 0:
             continue  # no difference allowed: only equal sets
-        h = mix(shingles + U(0x9E3779B97F4A7C15) * U(i + 1))
+        h = mix(shingles + U(0x9E3779B97F4A7C15 * (i + 1) % (1 << 64)))
         part = ((h >> U(32)) * U(m)) >> U(32)
         bit = mix((h & U(0xFFFF)) + (part << U(16)))
         order = np.argsort(part, kind="stable")
@@ -126,7 +126,7 @@ def _features(docs: DataFrame, n: int, permille: int) -> DataFrame:
                         ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches):
-        shingler, seen = Shingler(n), set()
+        shingler, seen = worker_shingler(n), set()
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -134,7 +134,7 @@ def _features(docs: DataFrame, n: int, permille: int) -> DataFrame:
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
-                sid = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+                sid = set_id(s)
                 if sid in seen:
                     rows.append((len(s), sid, None, None))
                 else:
@@ -214,25 +214,17 @@ def _exactly(permille: int):
     return body
 
 
-def jaccard_components(docs: DataFrame, n: int = 4, threshold: float = 0.85, doc_id: str = "doc_id",
-                       text: str = "text") -> DataFrame:
-    """doc_id, n_shingles (size of its set of word n-grams), component_id
-    (smallest doc_id that links lead to, its own included), one row per input
-    row. Sets link when intersection / union >= `threshold` (in thousandths).
+def set_id(shingles: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
 
-    Null text and text without words have the empty set, which links with
-    nothing. Rows of equal texts are linked. A null doc_id never is a
-    component_id unless all rows of a component have none; for empty sets
-    component_id is the own doc_id. Other columns are not read; an empty
-    table gives no rows.
-    """
-    permille = round(threshold * 1000)
-    cols = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, DataFrame]:
+    """For rows (doc_id, text): their (doc_id, n_shingles, sid), and (sid,
+    root, component_id) of every set, where linked sets have one root."""
     rows = materialize(_features(cols, n, permille), "jaccard-features")
     first = rows.groupBy("sid").agg(F.min("doc_id").alias("first")).filter("sid is not null")
 
     # sets by key; groups with the same members become one
-    from pyspark.sql import Window
     own = Window.partitionBy("key")
     keyed = rows.select(F.explode("keys").alias("key"), "sid")
     met = (keyed.withColumns({"lo": F.min("sid").over(own), "hi": F.max("sid").over(own),
@@ -250,10 +242,10 @@ def jaccard_components(docs: DataFrame, n: int = 4, threshold: float = 0.85, doc
     schema = pa.schema([("sid", pa.int64()), ("component", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def sets(batches):
-        shingler = Shingler(n)
+        shingler = worker_shingler(n)
         for batch in batches:
             s = [shingler(t) for t in batch.column(2).to_pylist()]
-            ids = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in s]
+            ids = [set_id(x) for x in s]
             ok = pa.array([i == want for i, want in zip(ids, batch.column(0).to_pylist())])  # repeated doc_ids differ
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in s], pa.int64()),
                                               pa.array([x.tobytes() for x in s], pa.binary())], schema=schema).filter(ok)
@@ -266,7 +258,56 @@ def jaccard_components(docs: DataFrame, n: int = 4, threshold: float = 0.85, doc
     found = connected_components(links).withColumnsRenamed({"id": "sid", "component": "root"})
     per_set = first.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = per_set.groupBy("root").agg(F.min("first").alias("component_id"))
-    home = per_set.join(smallest, "root").select("sid", "component_id")
-    return rows.select("doc_id", "n_shingles", "sid").join(home, "sid", "left").select(
+    home = per_set.join(smallest, "root").select("sid", "root", "component_id")
+    return rows.select("doc_id", "n_shingles", "sid"), home
+
+
+def jaccard_components(docs: DataFrame, n: int = 4, threshold: float = 0.85, doc_id: str = "doc_id",
+                       text: str = "text") -> DataFrame:
+    """doc_id, n_shingles (size of its set of word n-grams), component_id
+    (smallest doc_id that links lead to, its own included), one row per input
+    row. Sets link when intersection / union >= `threshold` (in thousandths).
+
+    Null text and text without words have the empty set, which links with
+    nothing. Rows of equal texts are linked. A null doc_id never is a
+    component_id unless all rows of a component have none; for empty sets
+    component_id is the own doc_id. Other columns are not read; an empty
+    table gives no rows.
+    """
+    permille = round(threshold * 1000)
+    cols = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, home = set_components(cols, n, permille)
+    return rows.join(home, "sid", "left").select(
         "doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, without those whose set is linked
+    with that of a row before: of each component the row of the smallest
+    doc_id stays (nulls last, then the smallest hash of its text). Rows
+    whose set is empty all stay."""
+    _, home = set_components(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), n,
+                             round(threshold * 1000))
+
+    @F.pandas_udf("long")
+    def sid(texts):
+        shingler = worker_shingler(n)
+        return texts.map(lambda t: set_id(shingler(t))).astype("Int64")
+
+    ranked = docs.withColumn("_sid", sid(F.col(text))).join(
+        home.select(F.col("sid").alias("_sid"), F.col("root").alias("_root")), "_sid", "left")
+    # every empty set is a group of its own
+    alone = F.when(F.col("_sid").isNull(), F.monotonically_increasing_id())
+    best = Window.partitionBy("_root", "_alone").orderBy(F.asc_nulls_last(doc_id), F.xxhash64(text))
+    return (ranked.withColumn("_alone", alone).withColumn("_n", F.row_number().over(best)).filter("_n = 1")
+            .select(*docs.columns))
+
+
+_WORKER: dict = {}
+
+
+def worker_shingler(n: int) -> Shingler:
+    """This Python worker's shingler of n words; its cache lives as long as the worker."""
+    return _WORKER.setdefault(n, Shingler(n))
