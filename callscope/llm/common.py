@@ -57,10 +57,8 @@ def range_cuts(df: DataFrame, key: str, n: int) -> list[int]:
     ranges of about equal size (approximate: only balance depends on them)."""
     if n < 2:
         return []
-    steps = F.array(*[F.lit(i / n) for i in range(1, n)]) if n <= 1000 else F.transform(
-        F.sequence(F.lit(1), F.lit(n - 1)), lambda i: i / F.lit(n))
-    row = df.agg(F.percentile_approx(key, steps, max(10_000, 20 * n)).alias("c")).first()
-    return sorted(set(row["c"] or []))
+    cuts = df.stat.approxQuantile(key, [i / n for i in range(1, n)], 1 / (4 * n))
+    return sorted({int(c) for c in cuts})
 
 
 def merge_blobs(parts: DataFrame, merge: Callable[[list], bytes], groups: int = 16) -> list[bytes]:
