@@ -1,6 +1,6 @@
 """Batch jobs over your own logs.
 
-    python -m callscope events  --calls PATH --chunks PATH --out PATH [--format json|parquet]
+    python -m callscope events  --calls PATH --chunks PATH --out PATH --quarantine-out PATH
     python -m callscope threads --runs PATH --assistants PATH --messages PATH --cursors PATH
                                 --out PATH --cursors-out PATH
     python -m callscope rollup  --events PATH --feedback PATH --out PATH
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--calls", required=True)
     e.add_argument("--chunks", required=True)
     e.add_argument("--out", required=True)
+    e.add_argument("--quarantine-out", required=True, help="calls whose template cannot be resolved, with the reasons")
     e.add_argument("--strict", action="store_true", help="fail on a template error instead of quarantining")
     t = sub.add_parser("threads", help="one run step: assistant events (K1) and new cursors")
     for name in ("runs", "assistants", "messages", "cursors", "out", "cursors-out"):
@@ -64,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
         chunks = read_chunks(spark, a.chunks, a.format)
         if a.strict:
             ev.prepared_calls(calls, cfg, strict=True).write.format("noop").mode("overwrite").save()
+        ev.quarantined_calls(calls, cfg).write.mode("overwrite").json(a.quarantine_out)
         sinks.write_event_bodies(ev.call_events(calls, chunks, cfg), a.out)
     elif a.job == "threads":
         runs = read_log(spark, a.runs, schemas.RUNS, a.format)

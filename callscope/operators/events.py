@@ -191,14 +191,21 @@ def _events_from(j: DataFrame) -> DataFrame:
         F.when(~failed, F.struct(F.col("r_usage").alias("usage"), F.col("r_finish").alias("finish_reason"),
                                  F.col("r_logprobs").alias("logprobs"))).alias("response_metrics"),
         F.struct(F.lit(MODEL_PROVIDER).alias("model_provider"), F.col("kind").alias("model_type"),
-                 F.col("model").alias("model"), F.col("max_tokens").alias("max_tokens"))
-        .alias("model_parameters"),
+                 F.col("model").alias("model"), F.col("max_tokens").alias("max_tokens"),
+                 F.col("parameters").alias("extra")).alias("model_parameters"),
         "chat_id", "chain_id",
         F.when(~is_chat, F.col("context")).alias("context"),
         F.when(is_chat, F.col("tools")).alias("tools"),
     )
 
 
+def quarantined_calls(calls: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """The named calls that give no event because their template cannot be
+    resolved (T4, T9, T10), with the reasons; with `prepared_calls` they
+    make up all named calls."""
+    return quarantine(resolve_templates(with_feedback_key(gate_named(apply_config(calls, cfg), cfg))))
+
+
 def prepared_calls(calls: DataFrame, cfg: Config, strict: bool = False) -> DataFrame:
     """E4, E5, E8, then T10/T11 with template failures removed (or, with
     `strict`, failing the job)."""
@@ -214,7 +221,12 @@ def call_events(calls: DataFrame, chunks: DataFrame, cfg: Config = Config(),
     aggregates on `call_id` (a single branch over the call log); redaction
     runs after the gates.
     """
-    j = prepared_calls(calls, cfg).join(streamed_results(chunks, block), "call_id", "left")
+    c = prepared_calls(calls, cfg)
+    # the chunk log, the largest table, is cut to the calls that become events before it is assembled
+    wanted = c.where(F.coalesce(F.col("is_stream"), F.lit(False)) & F.col("error").isNull())
+    wanted = gate_chain_uuid(gate_api_key(wanted)) if gate else wanted
+    chunks = chunks.join(wanted.select("call_id"), "call_id", "left_semi")
+    j = c.join(streamed_results(chunks, block), "call_id", "left")
     ev = _events_from(j.select("*", *result_columns(j)))
     if gate:
         ev = gate_chain_uuid(gate_api_key(ev))
@@ -232,7 +244,8 @@ EVENT_TYPES = {
     "response_time": "bigint", "response_errors": "array<string>",
     "response_metrics": "struct<usage:struct<prompt_tokens:bigint,completion_tokens:bigint,"
                         "total_tokens:bigint>,finish_reason:string,logprobs:string>",
-    "model_parameters": "struct<model_provider:string,model_type:string,model:string,max_tokens:int>",
+    "model_parameters": "struct<model_provider:string,model_type:string,model:string,max_tokens:int,"
+                        "extra:string>",
     "chat_id": "string", "chain_id": "string", "context": PARAMS_T, "tools": "string",
 }
 
@@ -257,10 +270,25 @@ def _json_string(c: Column) -> Column:
     return F.substr(arr, F.lit(2), F.length(arr) - 2)
 
 
+def _json_object(members: list[Column]) -> Column:
+    """A JSON object of ready `"name":value` texts; null ones are left out."""
+    return F.concat(F.lit("{"), F.array_join(F.array(*members), ","), F.lit("}"))
+
+
 def event_body(events: DataFrame) -> Column:
     """K1 body: one JSON object per event, wire names in camel case as the
-    event contract has them; `params` merges scalar and history params;
-    null fields are written as JSON null."""
+    event contract has them. Null fields are left out; `prompt` is always an
+    empty object; `params` merges scalar and history params; open request
+    parameters (`extra`, a JSON object) stand beside the model's."""
+    def text(name: str, c: Column) -> Column:
+        return F.when(c.isNotNull(), F.concat(F.lit(f'"{name}":'), _json_string(c)))
+
+    def nested(name: str, c: Column) -> Column:
+        return F.when(c.isNotNull(), F.concat(F.lit(f'"{name}":'), F.to_json(c)))
+
+    def ready(name: str, c: Column) -> Column:
+        return F.concat(F.lit(f'"{name}":'), c)
+
     entries = F.concat(
         F.transform(F.map_entries(F.coalesce(F.col("params"), F.create_map().cast(PARAMS_T))),
                     lambda e: F.concat(_json_string(e["key"]), F.lit(":"),
@@ -268,23 +296,20 @@ def event_body(events: DataFrame) -> Column:
         F.transform(F.map_entries(F.coalesce(F.col("history_params"), F.create_map().cast(HISTORY_T))),
                     lambda e: F.concat(_json_string(e["key"]), F.lit(":"),
                                        F.coalesce(F.to_json(e["value"], KEEP_NULLS), F.lit("null")))))
-    params_json = F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))
-    body = F.struct(
-        F.col("feedback_key").alias("feedbackKey"), F.col("api_key").alias("apiKey"),
-        F.col("prompt_template_name").alias("promptTemplateName"), F.col("api_name").alias("apiName"),
-        F.col("prompt_template_text").alias("promptTemplateText"),
-        F.col("prompt_template_chat").alias("promptTemplateChat"),
-        F.lit("__PARAMS__").alias("params"),
-        F.col("response").alias("response"),
-        F.col("tool_calls").alias("toolCalls"), F.col("response_time").alias("responseTime"),
-        F.col("response_errors").alias("responseErrors"), F.col("response_metrics").alias("responseMetrics"),
-        F.col("model_parameters").alias("modelParameters"), F.col("chat_id").alias("chatId"),
-        F.col("chain_id").alias("chainId"), F.col("context").alias("context"),
-    )
-    js = F.to_json(body, KEEP_NULLS)
-    # splice the pre-rendered objects in place of their placeholders
-    js = F.replace(js, F.lit('"params":"__PARAMS__"'), F.concat(F.lit('"params":'), params_json))
-    raw = F.when(F.col("raw_response").isNotNull(), F.concat(F.lit(',"rawResponse":'), F.col("raw_response")))
-    tools = F.when(F.col("tools").isNotNull(), F.concat(F.lit(',"tools":'), F.col("tools")))
-    return F.concat(F.substr(js, F.lit(1), F.length(js) - 1),
-                    F.coalesce(raw, F.lit("")), F.coalesce(tools, F.lit("")), F.lit("}"))
+    m = F.col("model_parameters")
+    model = _json_object([
+        text("modelProvider", m["model_provider"]), text("modelType", m["model_type"]), text("model", m["model"]),
+        ready("max_tokens", m["max_tokens"].cast("string")),
+        F.when(F.length(m["extra"]) > 2, F.substring(m["extra"], F.lit(2), F.length(m["extra"]) - 2))])
+    return _json_object([
+        text("feedbackKey", F.col("feedback_key")), text("apiKey", F.col("api_key")),
+        text("promptTemplateName", F.col("prompt_template_name")), text("apiName", F.col("api_name")),
+        text("promptTemplateText", F.col("prompt_template_text")),
+        nested("promptTemplateChat", F.col("prompt_template_chat")),
+        text("response", F.col("response")), nested("toolCalls", F.col("tool_calls")),
+        ready("responseTime", F.col("response_time").cast("string")),
+        nested("responseErrors", F.col("response_errors")), nested("responseMetrics", F.col("response_metrics")),
+        text("chatId", F.col("chat_id")), text("chainId", F.col("chain_id")), nested("context", F.col("context")),
+        ready("params", F.concat(F.lit("{"), F.array_join(entries, ","), F.lit("}"))),
+        F.when(m.isNotNull(), ready("modelParameters", model)),
+        ready("rawResponse", F.col("raw_response")), ready("tools", F.col("tools")), F.lit('"prompt":{}')])

@@ -76,7 +76,10 @@ def event_feedback(events: DataFrame, feedback: DataFrame) -> DataFrame:
     """B3 + B4: events with their rating, better response and deleted flag
     (the event is kept; `is_deleted` marks it)."""
     fb = feedback_by_key(feedback)
-    j = events.join(fb, "feedback_key", "left")
+    # rows without a key (run errors) go around the join, not all to one task
+    keyed = events.where(F.col("feedback_key").isNotNull()).join(fb, "feedback_key", "left")
+    keyless = events.where(F.col("feedback_key").isNull())
+    j = keyed.unionByName(keyless, allowMissingColumns=True)
     return j.withColumns({
         "rating": F.col("fb.rating"),
         "better_response": F.col("fb.better_response"),
@@ -127,8 +130,6 @@ def template_rollup(events: DataFrame, feedback: DataFrame | None = None,
     quantiles are a running count over that histogram, and the totals are
     sums of its rows.
     """
-    from pyspark.sql import Window
-
     e = event_feedback(events, feedback) if feedback is not None else events.withColumn(
         "rating", F.lit(None).cast("double"))
     key, rt = "prompt_template_name", "response_time"
@@ -164,11 +165,10 @@ def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
     lo, hi = LOGGED_STATUS_RANGE
     f = failures.where(F.col("status").between(lo, hi))
     limited = F.col("status").isin(*RATE_LIMITED_STATUSES)
-    always = f.where(~limited)
-    # first failure per (status, second): top-1 per group, limited map-side
-    w = Window.partitionBy("status", F.date_trunc("second", "ts")).orderBy("ts", "event_id")
-    first = f.where(limited).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
-    return always.unionByName(first)
+    # first failure per (status, second); the others are each their own group
+    own = F.when(~limited, F.col("event_id"))
+    w = Window.partitionBy("status", F.date_trunc("second", "ts"), own).orderBy("ts", "event_id")
+    return f.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
 
 
 def chain_state(updates: DataFrame) -> DataFrame:

@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.operators.events import MODEL_PROVIDER, Config, conform_events
-from callscope.operators.ordering import previous_within
+from callscope.operators.ordering import previous_within, rank_within
 
 # Fixed values of the reference's run handling.
 ERROR_STATUSES = ("failed", "cancelled", "incomplete")  # run statuses that give an error event
-MAX_PER_RUN = 100  # page size of one run's message read
 ASSISTANT_RESPONSE_TIME = 1  # assistant events carry 1 ms
 ASSISTANT_TEMPLATE = (("assistant", None), ("chat_history", "{chat_history}"))  # None: the instructions
 
@@ -43,21 +42,17 @@ def run_assistant_join(runs: DataFrame, assistants: DataFrame) -> DataFrame:
     return runs.join(a, "assistant_id", "left")
 
 
-def messages_after_cursor(messages: DataFrame, cursors: DataFrame,
-                          max_per_run: int = MAX_PER_RUN, unsupported_first: bool = False) -> DataFrame:
-    """Per thread, the messages after the cursor, oldest first, at most
-    `max_per_run`. Unsupported messages count toward the limit, as in the
-    reference (a page full of them blocks the thread); `unsupported_first`
-    drops them before the limit instead.
+def messages_after_cursor(messages: DataFrame, cursors: DataFrame, unsupported_first: bool = False) -> DataFrame:
+    """Per thread, all messages after the cursor, `n_in_run` numbering
+    them oldest first (`unsupported_first` drops unsupported ones before).
 
-    `row_number() <= k` is planned with a map-side WindowGroupLimit, so at
-    most k rows per thread and task reach the shuffle."""
+    The cursor is one narrow row per thread; positions are counted without
+    one task per thread (see `ordering`)."""
     c = cursors.select("thread_id", F.col("last_pos").alias("cursor_pos"))
     after = messages.join(c, "thread_id", "left").where(F.col("pos") > F.coalesce(F.col("cursor_pos"), F.lit(-1)))
     if unsupported_first:
         after = after.where(message_supported())
-    w = Window.partitionBy("thread_id").orderBy("pos", "msg_id")
-    return after.withColumn("n_in_run", F.row_number().over(w)).where(F.col("n_in_run") <= max_per_run)
+    return rank_within(after, "thread_id", ["pos", "msg_id"], "n_in_run")
 
 
 def message_supported() -> Column:
@@ -82,7 +77,8 @@ def _assistant_event(route_error: bool, cfg: Config) -> list[Column]:
         F.lit(ASSISTANT_RESPONSE_TIME).cast("bigint").alias("response_time"),
         F.struct(F.lit(MODEL_PROVIDER).alias("model_provider"), F.lit("assistants").alias("model_type"),
                  F.coalesce(F.col("model"), F.col("a_model")).alias("model"),
-                 F.lit(None).cast("int").alias("max_tokens")).alias("model_parameters"),
+                 F.lit(None).cast("int").alias("max_tokens"),
+                 F.lit(None).cast("string").alias("extra")).alias("model_parameters"),
     ]
 
 
@@ -101,27 +97,49 @@ def run_error_events(runs: DataFrame, assistants: DataFrame, cfg: Config = Confi
     )
 
 
-def run_messages(runs: DataFrame, messages: DataFrame, cursors: DataFrame,
-                 max_per_run: int = MAX_PER_RUN) -> DataFrame:
-    """M1 'messages' route + J2 + M3: supported messages each completed,
-    recorded run sends, with the run's columns."""
+def reading_runs(runs: DataFrame, numbered: bool = False) -> DataFrame:
+    """M1 'messages' route: the completed, recorded runs, each with its place
+    `run_no` among those of its thread by completion (`completed_at` where
+    the log has it, then run id), from 1. Not `numbered`: the first only,
+    which a map-side limit keeps to one row per thread and task."""
     r = run_route(run_gate(runs)).where(F.col("route") == "messages")
-    # several completed runs of one thread in a batch: the last to complete
-    # reads (by `completed_at` when the log has it, run id as tiebreak;
-    # top-1 per thread: a map-side WindowGroupLimit keeps one row per task)
-    order = ([F.col("completed_at").desc_nulls_last()] if "completed_at" in r.columns else []) \
-        + [F.col("run_id").desc()]
-    last = Window.partitionBy("thread_id").orderBy(*order)
-    r = r.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= 1).drop("_n")
-    m = messages_after_cursor(messages.join(r.select("thread_id"), "thread_id", "left_semi"), cursors, max_per_run)
-    return m.where(message_supported()).join(r, "thread_id")
+    order = ([F.col("completed_at").asc_nulls_last()] if "completed_at" in r.columns else []) + [F.col("run_id")]
+    r = r.withColumn("run_no", F.row_number().over(Window.partitionBy("thread_id").orderBy(*order)))
+    return r if numbered else r.where(F.col("run_no") <= 1)
+
+
+def run_messages(runs: DataFrame, messages: DataFrame, cursors: DataFrame, page: int | None = None) -> DataFrame:
+    """J2 + M3: the supported messages that completed runs send, each with
+    the columns of the run that reads it.
+
+    A run reads everything after the cursor and moves it along, so the first
+    completed run of a thread sends all its new messages and later ones find
+    none. With `page`, a run reads at most that many (unsupported ones count
+    too) and the next one goes on where it stopped; what no run reaches is
+    read by a later batch.
+
+    Runs and cursors are joined to one narrow row per thread first; messages
+    are joined to it once."""
+    c = cursors.select("thread_id", F.coalesce("last_pos", F.lit(-1)).alias("cursor_pos"))
+    if page is None:
+        r = reading_runs(runs).join(c, "thread_id", "left")
+        m = messages.join(r, "thread_id").where(F.col("pos") > F.coalesce(F.col("cursor_pos"), F.lit(-1)))
+    else:
+        r = reading_runs(runs, numbered=True)
+        known = r.select("thread_id").distinct().join(c, "thread_id", "left")
+        narrow = messages.select("thread_id", "msg_id", "pos").join(known, "thread_id").where(
+            F.col("pos") > F.coalesce(F.col("cursor_pos"), F.lit(-1)))
+        at = rank_within(narrow, "thread_id", ["pos", "msg_id"], "n_in_run")
+        at = at.withColumn("run_no", F.ceil(F.col("n_in_run") / F.lit(page)).cast("int")).drop("pos", "cursor_pos")
+        m = messages.join(at.join(r, ["thread_id", "run_no"]), ["thread_id", "msg_id"])
+    return m.where(message_supported())
 
 
 def message_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame, cursors: DataFrame,
-                   cfg: Config = Config(), max_per_run: int = MAX_PER_RUN) -> DataFrame:
+                   cfg: Config = Config(), page: int | None = None) -> DataFrame:
     """M4 + E3: one event per supported message: response = its text,
     `chat_history` param = that message, chat id = feedback key = its id."""
-    m = run_assistant_join(run_messages(runs, messages, cursors, max_per_run), assistants)
+    m = run_assistant_join(run_messages(runs, messages, cursors, page), assistants)
     text = F.get(F.col("content"), 0)["value"]
     hist = F.create_map(F.lit("chat_history"),
                         F.array(F.struct(F.col("role").alias("role"), text.alias("content"))))
@@ -137,24 +155,20 @@ def message_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame,
     )
 
 
-def cursor_advance(runs: DataFrame, messages: DataFrame, cursors: DataFrame,
-                   max_per_run: int = MAX_PER_RUN) -> DataFrame:
+def cursor_advance(runs: DataFrame, messages: DataFrame, cursors: DataFrame, page: int | None = None) -> DataFrame:
     """M5: the cursor moves to the last supported message sent; threads
     without a new message keep theirs."""
-    sent = run_messages(runs, messages, cursors, max_per_run)
-    moved = _last_per_thread(sent.select("thread_id", F.col("msg_id").alias("new_id"), F.col("pos").alias("new_pos")),
-                             "new_pos", "new_id")
+    moved = _last_per_thread(run_messages(runs, messages, cursors, page))
     j = cursors.join(moved, "thread_id", "full")
     return j.select("thread_id",
                     F.coalesce(F.col("new_id"), F.col("last_msg_id")).alias("last_msg_id"),
                     F.coalesce(F.col("new_pos"), F.col("last_pos")).alias("last_pos"))
 
 
-def _last_per_thread(df: DataFrame, pos: str, msg_id: str) -> DataFrame:
-    """The row with the highest position per thread: top-1 per group, so a
-    map-side WindowGroupLimit keeps one row per thread and task."""
-    w = Window.partitionBy("thread_id").orderBy(F.col(pos).desc(), F.col(msg_id).desc())
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
+def _last_per_thread(df: DataFrame) -> DataFrame:
+    """The message with the highest position per thread, combined map-side."""
+    return df.groupBy("thread_id").agg(F.max(F.struct("pos", "msg_id")).alias("_m")).select(
+        "thread_id", F.col("_m.msg_id").alias("new_id"), F.col("_m.pos").alias("new_pos"))
 
 
 def prev_message(messages: DataFrame) -> DataFrame:
@@ -166,20 +180,22 @@ def prev_message(messages: DataFrame) -> DataFrame:
 
 def cursor_rewind(cursors: DataFrame, messages: DataFrame, deletes: DataFrame) -> DataFrame:
     """M7: a cursor whose message is deleted moves to the last remaining
-    message before it, or to "" (pos -1). Independent of deletion order."""
-    d = deletes.select("thread_id", F.col("msg_id").alias("last_msg_id"))
-    hit = cursors.join(d, ["thread_id", "last_msg_id"], "left_semi")
-    kept = cursors.join(d, ["thread_id", "last_msg_id"], "left_anti")
-    live = messages.select("thread_id", "msg_id", "pos").join(
-        deletes.select("thread_id", "msg_id"), ["thread_id", "msg_id"], "left_anti")
-    before = live.join(hit.select("thread_id", F.col("last_pos").alias("cpos")), "thread_id") \
-        .where(F.col("pos") < F.col("cpos"))
-    best = _last_per_thread(before.select("thread_id", F.col("msg_id").alias("prev_id"),
-                                          F.col("pos").alias("prev_pos")), "prev_pos", "prev_id")
-    moved = hit.select("thread_id").join(best, "thread_id", "left").select(
-        "thread_id", F.coalesce(F.col("prev_id"), F.lit("")).alias("last_msg_id"),
-        F.coalesce(F.col("prev_pos"), F.lit(-1).cast("bigint")).alias("last_pos"))
-    return kept.select("thread_id", "last_msg_id", "last_pos").unionByName(moved)
+    message before it, or to "" (pos -1). Independent of deletion order.
+
+    The threads of such cursors come first: messages are cut to them and to
+    the positions before the cursor, then freed of the deleted ones."""
+    gone = deletes.select("thread_id", F.col("msg_id").alias("last_msg_id")).distinct().withColumn("_gone", F.lit(True))
+    marked = cursors.join(gone, ["thread_id", "last_msg_id"], "left")
+    hit = marked.where("_gone").select("thread_id", F.col("last_pos").alias("cpos"))
+    before = (messages.select("thread_id", "msg_id", "pos").join(hit, "thread_id")
+              .where(F.col("pos") < F.col("cpos")).select("thread_id", "msg_id", "pos"))
+    live = before.join(deletes.select("thread_id", "msg_id"), ["thread_id", "msg_id"], "left_anti")
+    j = marked.join(_last_per_thread(live), "thread_id", "left")
+    moved = F.col("_gone")
+    return j.select("thread_id",
+                    F.when(moved, F.coalesce("new_id", F.lit(""))).otherwise(F.col("last_msg_id")).alias("last_msg_id"),
+                    F.when(moved, F.coalesce("new_pos", F.lit(-1).cast("bigint"))).otherwise(F.col("last_pos"))
+                    .alias("last_pos"))
 
 
 def delete_tombstones(deletes: DataFrame, cfg: Config = Config()) -> DataFrame:
@@ -195,7 +211,7 @@ def delete_tombstones(deletes: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def assistant_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame, cursors: DataFrame,
-                     cfg: Config = Config(), max_per_run: int = MAX_PER_RUN) -> DataFrame:
+                     cfg: Config = Config(), page: int | None = None) -> DataFrame:
     """Message events and run error events in the event schema."""
-    return conform_events(message_events(runs, assistants, messages, cursors, cfg, max_per_run)) \
+    return conform_events(message_events(runs, assistants, messages, cursors, cfg, page)) \
         .unionByName(conform_events(run_error_events(runs, assistants, cfg)))

@@ -63,15 +63,14 @@ SELECT a.conv_id, a.turn, u.text AS user_text, a.text AS reply,
   CASE WHEN a.conv_id %% 4 = 3 THEN 'completion' ELSE 'chat' END AS kind,
   (a.conv_id + a.turn) %% 4 IN (0, 1) AS is_template,
   concat('call-', a.conv_id, '-', a.turn) AS call_id,
-  CASE WHEN p3.conv_id IS NOT NULL THEN [{'role': p3.role, 'content': p3.text}]
-       ELSE []::%(MSG)s[] END AS h1,
+  coalesce((SELECT list({'role': p.role, 'content': p.text} ORDER BY p.turn) FROM conversations p
+            WHERE p.conv_id = a.conv_id AND p.turn < a.turn - 2), []::%(MSG)s[]) AS h1,
   CASE WHEN p2.conv_id IS NOT NULL THEN [{'role': p2.role, 'content': p2.text}]
        ELSE []::%(MSG)s[] END AS h2,
   (1704067200 + a.conv_id * 3600 + a.turn * 60) * 1000 AS start_ms
 FROM conversations a
 JOIN conversations u ON u.conv_id = a.conv_id AND u.turn = a.turn - 1
 LEFT JOIN conversations p2 ON p2.conv_id = a.conv_id AND p2.turn = a.turn - 2
-LEFT JOIN conversations p3 ON p3.conv_id = a.conv_id AND p3.turn = a.turn - 3
 WHERE a.role = 'assistant' AND u.role = 'user'
 """ % {"MSG": MSG_T})
 
@@ -91,6 +90,7 @@ SELECT call_id, conv_id, turn, kind,
   CASE WHEN conv_id %% 3 = 0 THEN %(PARENT)s END AS parent_event_id,
   ['gpt-4o-mini', 'gpt-4o', 'gpt-3.5-turbo'][conv_id %% 3 + 1] AS model,
   CAST(256 + (conv_id %% 4) * 128 AS INTEGER) AS max_tokens,
+  CASE WHEN conv_id %% 2 = 0 THEN concat('{"temperature":0.', turn %% 10, ',"stop":["END"]}') END AS parameters,
   CASE WHEN kind = 'chat' AND conv_id %% 8 = 6
        THEN '[{"type":"function","function":{"name":"search"}}]' END AS tools,
   CASE WHEN kind <> 'chat' THEN map(['conv', 'turn'], [CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)])
@@ -202,16 +202,17 @@ FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """)
 
 FIXTURES["runs"] = ([], """
-SELECT concat('run-', conv_id) AS run_id, CAST(conv_id AS VARCHAR) AS thread_id, status,
-  concat('asst-', conv_id % 25) AS assistant_id,
-  CASE WHEN conv_id % 4 = 1 THEN NULL ELSE concat('run-tmpl-', conv_id % 3) END AS prompt_template_name,
+SELECT concat('run-', conv_id, '-', k) AS run_id, CAST(conv_id AS VARCHAR) AS thread_id, status,
+  concat('asst-', (conv_id + k) % 25) AS assistant_id,
+  CASE WHEN (conv_id + k) % 4 = 1 THEN NULL ELSE concat('run-tmpl-', conv_id % 3) END AS prompt_template_name,
   CASE WHEN conv_id % 7 = 3 THEN NULL ELSE concat('key-', conv_id % 3) END AS api_key,
   CASE WHEN conv_id % 5 = 2 THEN 'gpt-4o' END AS model,
   CASE WHEN status IN ('failed', 'cancelled', 'incomplete')
-       THEN {'status': 500, 'message': concat('run ', status)} END AS last_error
-FROM (SELECT conv_id,
-        ['completed', 'failed', 'cancelled', 'incomplete', 'expired', 'completed'][conv_id % 6 + 1] AS status
-      FROM (SELECT DISTINCT conv_id FROM conversations))
+       THEN {'status': 500, 'message': concat('run ', status)} END AS last_error,
+  CASE WHEN status = 'completed' THEN epoch_ms((1704067200 + conv_id * 3600 - k * 60) * 1000) END AS completed_at
+FROM (SELECT conv_id, k,
+        ['completed', 'failed', 'cancelled', 'incomplete', 'expired', 'completed'][(conv_id + 5 * k) % 6 + 1] AS status
+      FROM (SELECT DISTINCT conv_id FROM conversations), (VALUES (0), (1), (2)) t(k) WHERE k <= conv_id % 3)
 """)
 
 FIXTURES["assistants"] = ([], """

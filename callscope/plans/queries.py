@@ -85,8 +85,7 @@ SELECT doc_id, {osql.sql_redact('text')} AS text_redacted FROM documents"""))
 def q_redact_text(spark, sf):
     """R1 over whole documents."""
     from callscope.sources.tables import read_table
-    from callscope.operators.partitioning import spread
-    d = spread(read_table(spark, sf, "documents", "doc_id", "text"))
+    d = read_table(spark, sf, "documents", "doc_id", "text")
     return d.select("doc_id", redact_text("text").alias("text_redacted"))
 
 
@@ -725,7 +724,7 @@ from callscope.session import scratch_path  # noqa: E402
 
 @register("src_calls", sql(["calls"], """
 SELECT call_id, kind, is_stream, is_template, api_key, prompt_template_name, feedback_key, chat_id, chain_id,
-  parent_event_id, model, max_tokens, epoch_ms(started_at) AS started_ms, epoch_ms(ended_at) AS ended_ms, tools,
+  parent_event_id, model, max_tokens, parameters, epoch_ms(started_at) AS started_ms, epoch_ms(ended_at) AS ended_ms, tools,
   CAST(to_json(context) AS VARCHAR) AS context, CAST(to_json(messages) AS VARCHAR) AS messages,
   CAST(to_json(params) AS VARCHAR) AS params, CAST(to_json(history_params) AS VARCHAR) AS history_params,
   CAST(to_json(template_chat) AS VARCHAR) AS template_chat, prompt,
@@ -738,7 +737,7 @@ def q_src_calls(spark, sf):
     c = lg.calls_log(spark, sf)
     return c.select(
         "call_id", "kind", "is_stream", "is_template", "api_key", "prompt_template_name", "feedback_key",
-        "chat_id", "chain_id", "parent_event_id", "model", "max_tokens",
+        "chat_id", "chain_id", "parent_event_id", "model", "max_tokens", "parameters",
         F.unix_millis("started_at").alias("started_ms"), F.unix_millis("ended_at").alias("ended_ms"), "tools",
         *[js(c_).alias(c_) for c_ in ("context", "messages", "params", "history_params", "template_chat")],
         "prompt", js("prompt_parts").alias("prompt_parts"), js("error").alias("error"), "content",

@@ -176,7 +176,8 @@ SELECT p.kind AS event_kind, p.call_id, p.started_at, p.feedback_key, p.api_key,
   CASE WHEN p.error IS NOT NULL THEN [CAST(to_json(p.error) AS VARCHAR)] END AS response_errors,
   CASE WHEN p.error IS NULL THEN {{'usage': r.usage, 'finish_reason': r.finish_reason, 'logprobs': r.logprobs}}
        END AS response_metrics,
-  {{'model_provider': 'openai', 'model_type': p.kind, 'model': p.model, 'max_tokens': p.max_tokens}}
+  {{'model_provider': 'openai', 'model_type': p.kind, 'model': p.model, 'max_tokens': p.max_tokens,
+    'extra': p.parameters}}
        AS model_parameters,
   p.chat_id, p.chain_id,
   CASE WHEN p.kind <> 'chat' THEN p.context END AS context,
@@ -220,9 +221,9 @@ FROM runs WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> ''
 """)
 
 STAGES["msg_runs"] = (["runs_gated"], """
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY thread_id ORDER BY run_id DESC) AS rn
-  FROM runs_gated WHERE route = 'messages') WHERE rn = 1
+SELECT * FROM runs_gated r WHERE route = 'messages' AND NOT EXISTS (
+  SELECT 1 FROM runs_gated o WHERE o.route = 'messages' AND o.thread_id = r.thread_id
+    AND (o.completed_at < r.completed_at OR (o.completed_at = r.completed_at AND o.run_id < r.run_id)))
 """)
 
 STAGES["after_cursor"] = (["messages", "cursors"], """
@@ -235,7 +236,7 @@ STAGES["sent"] = (["after_cursor", "msg_runs"], """
 SELECT a.thread_id, a.msg_id, a.pos, a.role, a.content, a.n_in_run,
        r.run_id, r.status, r.assistant_id, r.prompt_template_name, r.api_key, r.model
 FROM after_cursor a JOIN msg_runs r ON a.thread_id = r.thread_id
-WHERE a.n_in_run <= 100 AND coalesce(a.content[1].type = 'text', false)
+WHERE coalesce(a.content[1].type = 'text', false)
 """)
 
 STAGES["asst_msg_events"] = (["sent", "assistants"], f"""
@@ -251,7 +252,7 @@ SELECT 'assistant' AS event_kind, s.msg_id AS call_id, s.msg_id AS feedback_key,
   CAST(1 AS BIGINT) AS response_time,
   CAST(NULL AS VARCHAR[]) AS response_errors,
   {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(s.model, a.model),
-    'max_tokens': CAST(NULL AS INTEGER)}} AS model_parameters,
+    'max_tokens': CAST(NULL AS INTEGER), 'extra': CAST(NULL AS VARCHAR)}} AS model_parameters,
   CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
   CAST(NULL AS {TOOL_T}[]) AS tool_calls,
   CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
@@ -275,7 +276,7 @@ SELECT 'assistant' AS event_kind, r.run_id AS call_id, CAST(NULL AS VARCHAR) AS
   CAST(1 AS BIGINT) AS response_time,
   [CAST(to_json(r.last_error) AS VARCHAR)] AS response_errors,
   {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(r.model, a.model),
-    'max_tokens': CAST(NULL AS INTEGER)}} AS model_parameters,
+    'max_tokens': CAST(NULL AS INTEGER), 'extra': CAST(NULL AS VARCHAR)}} AS model_parameters,
   CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
   CAST(NULL AS {TOOL_T}[]) AS tool_calls,
   CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
@@ -349,17 +350,24 @@ _PARAMS_JSON = (
     f"lambda e: {_js('e.key')} || ':' || coalesce({_js('e.value')}, 'null'))), ',') || '}}'"
 )
 
+# written from the event contract: camel case names, null members left out,
+# `prompt` always an empty object, open request parameters beside the model
 STAGES["event_bodies"] = (["all_events"], f"""
-SELECT call_id,
-  substring(b, 1, length(b) - 1) || coalesce(',"rawResponse":' || raw_response, '')
-    || coalesce(',"tools":' || tools, '') || '}}' AS body
-FROM (SELECT call_id, raw_response, tools,
-        replace({_js("{'feedbackKey': feedback_key, 'apiKey': api_key, 'promptTemplateName': prompt_template_name, "
-                     "'apiName': api_name, 'promptTemplateText': prompt_template_text, "
-                     "'promptTemplateChat': prompt_template_chat, 'params': '__PARAMS__', 'response': response, "
-                     "'toolCalls': tool_calls, 'responseTime': response_time, 'responseErrors': response_errors, "
-                     "'responseMetrics': response_metrics, 'modelParameters': model_parameters, "
-                     "'chatId': chat_id, 'chainId': chain_id, 'context': context}")},
-                '"params":"__PARAMS__"', '"params":' || {_PARAMS_JSON}) AS b
-      FROM all_events)
+SELECT call_id, '{{' || array_to_string(list_filter([
+    '"feedbackKey":' || {_js('feedback_key')}, '"apiKey":' || {_js('api_key')},
+    '"promptTemplateName":' || {_js('prompt_template_name')}, '"apiName":' || {_js('api_name')},
+    '"promptTemplateText":' || {_js('prompt_template_text')},
+    '"promptTemplateChat":' || {_js('prompt_template_chat')},
+    '"response":' || {_js('response')}, '"toolCalls":' || {_js('tool_calls')},
+    '"responseTime":' || {_js('response_time')}, '"responseErrors":' || {_js('response_errors')},
+    '"responseMetrics":' || CAST(json_merge_patch('{{}}', to_json(response_metrics)) AS VARCHAR),
+    '"chatId":' || {_js('chat_id')}, '"chainId":' || {_js('chain_id')}, '"context":' || {_js('context')},
+    '"params":' || {_PARAMS_JSON},
+    '"modelParameters":{{' || array_to_string(list_filter([
+        '"modelProvider":' || {_js('model_parameters.model_provider')},
+        '"modelType":' || {_js('model_parameters.model_type')}, '"model":' || {_js('model_parameters.model')},
+        '"max_tokens":' || {_js('model_parameters.max_tokens')},
+        substring(model_parameters.extra, 2, length(model_parameters.extra) - 2)], lambda x: x IS NOT NULL), ',') || '}}',
+    '"rawResponse":' || raw_response, '"tools":' || tools, '"prompt":{{}}'], lambda x: x IS NOT NULL), ',') || '}}' AS body
+FROM all_events
 """)

@@ -41,6 +41,7 @@ CALLS = T.StructType([
     T.StructField("parent_event_id", T.StringType()),
     T.StructField("model", T.StringType()),
     T.StructField("max_tokens", T.IntegerType()),
+    T.StructField("parameters", T.StringType()),  # other request parameters, a JSON object
     T.StructField("tools", T.StringType()),
     T.StructField("context", T.MapType(T.StringType(), T.StringType())),
     T.StructField("messages", MESSAGES_T),

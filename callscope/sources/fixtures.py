@@ -17,7 +17,6 @@ import functools
 
 from callscope import schemas
 from callscope.functions.ids import stable_uuid
-from callscope.operators.partitioning import spread
 from callscope.sources.tables import read_table
 
 # Fixed values of the recipes.
@@ -83,15 +82,20 @@ def turn_windows(conversations: DataFrame, width: int = 4) -> DataFrame:
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls: an assistant turn right after a user turn is one LLM call.
 
-    Prompt = the user turn, history = the two turns before it, response =
-    the assistant turn; kinds, templates, keys and failures vary by id.
+    Prompt = the user turn, history = all turns before it (h2 the last of
+    them, h1 the others), response = the assistant turn; kinds, templates,
+    keys and failures vary by id.
     """
     conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    w = turn_windows(conv).where((F.col("role0") == "assistant") & (F.col("role1") == "user"))
+    w = turn_windows(conv, 3).where((F.col("role0") == "assistant") & (F.col("role1") == "user"))
+    before = conv.select("conv_id", F.col("turn").alias("t"), "role", "text")
+    early = (w.select("conv_id", "turn").join(before, "conv_id").where(F.col("t") < F.col("turn") - 2)
+             .groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("t", "role", "text"))).alias("early")))
+    w = w.join(early, ["conv_id", "turn"], "left")
 
     conv_id, turn = F.col("conv_id"), F.col("turn")
     user_text, reply = F.col("text1"), F.col("text0")
-    h1 = F.when(F.col("has3") == 1, F.array(_msg(F.col("role3"), F.col("text3")))).otherwise(_empty_msgs())
+    h1 = F.coalesce(F.transform("early", lambda x: _msg(x["role"], x["text"])), _empty_msgs())
     h2 = F.when(F.col("has2") == 1, F.array(_msg(F.col("role2"), F.col("text2")))).otherwise(_empty_msgs())
     kind = F.when(_mod("conv_id", 4) == 3, "completion").otherwise("chat")
     is_chat = kind == "chat"
@@ -137,6 +141,8 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(F.lit("gpt-4o-mini"), F.lit("gpt-4o"), F.lit("gpt-3.5-turbo")),
                      (conv_id % 3 + 1).cast("int")).alias("model"),
         (F.lit(256) + (conv_id % 4) * 128).cast("int").alias("max_tokens"),
+        F.when(conv_id % 2 == 0, F.concat(F.lit('{"temperature":0.'), (turn % 10).cast("string"), F.lit(',"stop":["END"]}')))
+        .alias("parameters"),
         F.when(is_chat & (_mod("conv_id", 8) == 6),
                F.lit('[{"type":"function","function":{"name":"search"}}]')).alias("tools"),
         F.when(~is_chat, F.create_map(F.lit("conv"), conv_id.cast("string"),
@@ -251,8 +257,7 @@ def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
     carry the priority as text; every tenth name is the text `{status}`
     (substitution must not expand it again); every seventh order lacks
     `status`."""
-    orders = spread(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
-                               "o_orderpriority"))
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     j = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     key = F.col("o_orderkey")
@@ -276,16 +281,18 @@ def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One assistant run per conversation (thread = conversation)."""
+    """One to three assistant runs per conversation (thread =
+    conversation); later ids complete earlier."""
     conv = read_table(spark, sf_dir, "conversations", "conv_id").distinct()
-    c = F.col("conv_id")
-    status = F.element_at(F.array(*[F.lit(s) for s in RUN_STATUS]), (c % 6 + 1).cast("int"))
+    c, k = F.col("conv_id"), F.col("k")
+    conv = conv.select("conv_id", F.explode(F.sequence(F.lit(0).cast("bigint"), c % 3)).alias("k"))
+    status = F.element_at(F.array(*[F.lit(s) for s in RUN_STATUS]), ((c + 5 * k) % 6 + 1).cast("int"))
     return conv.select(
-        F.concat(F.lit("run-"), c.cast("string")).alias("run_id"),
+        F.concat(F.lit("run-"), c.cast("string"), F.lit("-"), k.cast("string")).alias("run_id"),
         c.cast("string").alias("thread_id"),
         status.alias("status"),
-        F.concat(F.lit("asst-"), (c % 25).cast("string")).alias("assistant_id"),
-        F.when(c % 4 == 1, F.lit(None).cast("string"))
+        F.concat(F.lit("asst-"), ((c + k) % 25).cast("string")).alias("assistant_id"),
+        F.when((c + k) % 4 == 1, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("run-tmpl-"), (c % 3).cast("string"))).alias("prompt_template_name"),
         F.when(c % 7 == 3, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("key-"), (c % 3).cast("string"))).alias("api_key"),
@@ -293,6 +300,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status.isin("failed", "cancelled", "incomplete"),
                F.struct(F.lit(500).alias("status"), F.concat(F.lit("run "), status).alias("message")))
         .alias("last_error"),
+        F.when(status == "completed", F.timestamp_millis((F.lit(BASE_EPOCH) + c * 3600 - k * 60) * 1000))
+        .alias("completed_at"),
     )
 
 

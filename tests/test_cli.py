@@ -21,7 +21,15 @@ def test_jobs_on_written_logs(spark):
     events.write.parquet(f"{d}/events")
     fx.feedback(spark, SF).write.parquet(f"{d}/fb")
     main(["--format", "json", "--api-key", "key-default", "events", "--calls", f"{d}/calls",
-          "--chunks", f"{d}/chunks", "--out", f"{d}/out_events"])
+          "--chunks", f"{d}/chunks", "--out", f"{d}/out_events", "--quarantine-out", f"{d}/out_bad"])
+    # every named call is either quarantined or prepared for its event
+    from callscope.operators import events as ev
+    from callscope.sources.tables import read_calls
+    calls, cfg = read_calls(spark, f"{d}/calls", "json"), ev.Config(api_key="key-default")
+    named = ev.gate_named(ev.apply_config(calls, cfg), cfg)
+    bad = spark.read.json(f"{d}/out_bad")
+    assert bad.count() > 0 and bad.where("errors = ''").count() == 0
+    assert bad.count() + ev.prepared_calls(calls, cfg).count() == named.count()
     main(["--api-key", "key-default", "threads", "--runs", f"{d}/runs", "--assistants", f"{d}/asst",
           "--messages", f"{d}/msgs", "--cursors", f"{d}/cursors", "--out", f"{d}/out_asst",
           "--cursors-out", f"{d}/out_cursors"])

@@ -70,3 +70,12 @@ def test_quarantine_holds_exactly_the_failed_templates(spark):
     assert all(e and ("missing variable" in e or "history" in e) for e in q.values())
     kept = {r.call_id for r in ev.drop_template_errors(resolved).collect()}
     assert kept.isdisjoint(bad) and len(kept) + len(bad) == calls.count()
+
+
+def test_uuid_gate_takes_no_trailing_newline(spark):
+    from pyspark.sql import functions as F
+
+    from callscope.functions.ids import is_uuid
+    good = "123e4567-e89b-42d3-a456-426614174000"
+    df = spark.createDataFrame([(good,), (good + "\n",), (good.upper(),), ("x" + good,)], "c string")
+    assert [r[0] for r in df.select(is_uuid(F.col("c"))).collect()] == [True, False, True, False]

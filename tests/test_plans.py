@@ -15,8 +15,20 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_page_limit_is_applied_map_side(spark):
-    assert _plan(spark, "messages_after_cursor").count("WindowGroupLimit") >= 2
+def test_thread_joins_shuffle_messages_once(spark):
+    """With broadcast joins off, the message table meets one narrow table of
+    runs and cursors: one exchange of its content."""
+    from callscope.operators import threads as th
+    from callscope.sources import fixtures as fx
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        msgs = fx.messages(spark, SF)
+        df = th.run_messages(fx.runs(spark, SF), msgs, fx.cursors(msgs))
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_chunk_log_is_read_once_and_hash_aggregated(spark):

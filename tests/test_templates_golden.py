@@ -1,4 +1,4 @@
-"""The reference's template goldens, as tables."""
+"""Template rules on small tables."""
 
 
 from callscope.functions import templates as tp
@@ -27,43 +27,26 @@ def test_single_pass_and_null_value(spark):
 
 
 def test_nested_vars(spark):
-    # object {a, b, c{d, e}, f null, h number}: depth first, leaves only
-    df = spark.createDataFrame(
-        [([("A here: {a}", "B here: {b}"), ("D here: {d}", "E here: {e}"), (None, None)],)],
-        f"m {MSG}")
-    assert df.select(tp.message_vars("m")).first()[0] == ["a", "b", "d", "e"]
+    # leaf by leaf, in order, nulls skipped
+    df = spark.createDataFrame([([("to {who}", "re {topic}"), ("by {who}", "on {day}"), (None, None)],)], f"m {MSG}")
+    assert df.select(tp.message_vars("m")).first()[0] == ["who", "topic", "who", "day"]
 
 
 def test_chat_template_format(spark):
-    msgs = [("system", "by a {role}, no more than {quantity} options"),
-            ("user", "Where can I eat {food} in {city}?")]
-    params = {"role": "tourist", "quantity": "3", "food": "pizza", "city": "Rome"}
+    msgs = [("system", "Answer in {tongue}, {n} lines"), ("user", "Which {tool} cuts {stuff}?")]
+    params = {"tongue": "Dutch", "n": "2", "tool": "saw", "stuff": "oak"}
     df = spark.createDataFrame([(msgs, params)], f"m {MSG}, p map<string,string>")
     out = [tuple(x) for x in df.select(tp.format_messages("m", "p")).first()[0]]
-    assert out == [("system", "by a tourist, no more than 3 options"),
-                   ("user", "Where can I eat pizza in Rome?")]
+    assert out == [("system", "Answer in Dutch, 2 lines"), ("user", "Which saw cuts oak?")]
 
 
 def test_chat_history_splice(spark):
-    msgs = [("system", "You are a helpful assistant."),
-            ("chat_history", "{prev_messages} {second_history}"),
-            ("user", "{question}")]
-    hist = {"prev_messages": [("user", "You are always late to work."),
-                              ("assistant", "I suggest you to be more polite.")],
-            "second_history": [("user", "Is there something going on?"),
-                               ("assistant", "That's a little better.")]}
-    df = spark.createDataFrame(
-        [(msgs, {"question": "Why are you being so short with me?"}, hist)],
-        f"m {MSG}, p map<string,string>, h map<string,{MSG}>")
+    msgs = [("system", "Sort parcels."), ("chat_history", "{early} {late}"), ("user", "{ask}")]
+    hist = {"early": [("user", "Box one?"), ("assistant", "Shelf A.")],
+            "late": [("user", "Box two?"), ("assistant", "Shelf B."), ("user", "Sure?")]}
+    df = spark.createDataFrame([(msgs, {"ask": "Box three?"}, hist)], f"m {MSG}, p map<string,string>, h map<string,{MSG}>")
     r = df.select(tp.splice_history("m", "p", "h").alias("o"), tp.history_errors("m", "h").alias("e")).first()
-    assert [tuple(x) for x in r.o] == [
-        ("system", "You are a helpful assistant."),
-        ("user", "You are always late to work."),
-        ("assistant", "I suggest you to be more polite."),
-        ("user", "Is there something going on?"),
-        ("assistant", "That's a little better."),
-        ("user", "Why are you being so short with me?"),
-    ]
+    assert [tuple(x) for x in r.o] == [("system", "Sort parcels."), *hist["early"], *hist["late"], ("user", "Box three?")]
     assert r.e == []
 
 
@@ -77,11 +60,10 @@ def test_history_errors(spark):
 
 
 def test_unescape(spark):
-    df = spark.createDataFrame(
-        [("A here: \\{a\\} but this is the value of a: {a}", {"a": "Heya"}),
-         ("D here: \\{d\\}", {})], "t string, p map<string,string>")
+    df = spark.createDataFrame([("\\{raw\\} then {x} and \\{x\\}", {"x": "9"}), ("only \\{y\\}", {})],
+                               "t string, p map<string,string>")
     out = [r[0] for r in df.select(tp.format_template("t", "p")).collect()]
-    assert out == ["A here: {a} but this is the value of a: Heya", "D here: {d}"]
+    assert out == ["{raw} then 9 and {x}", "only {y}"]
 
 
 def test_map_format(spark):
@@ -90,29 +72,22 @@ def test_map_format(spark):
     assert df.select(tp.format_map("m", "p")).first()[0] == {"k_1": "v 1", "plain": "2"}
 
 
-NESTED = ("struct<a:string,b:string,c:struct<d:string,e:string>,f:string,h:bigint>")
-
-
 def test_nested_object_vars_and_format(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame(
-        [(("A here: {a}", "B here: {b}", ("D here: {d}", "E here: {e}"), None, 1), {"a": "Heya"}),
-         (("A here: \\{a\\} but this is the value of a: {a}", "B here: \\{b\\}",
-           ("D here: \\{d\\}", "E here: \\{e\\}"), None, 1), {"a": "Heya"})],
-        f"o {NESTED}, p map<string,string>")
+        [(("{w} meters", ("deep {d}", "high \\{h\\}"), 4, None), {"w": "3", "d": "1"})],
+        "o struct<width:string,sides:struct<low:string,top:string>,count:bigint,note:string>, p map<string,string>")
     dt = df.schema["o"].dataType
-    rows = df.select(tp.nested_vars(F.col("o"), dt).alias("v"),
-                     tp.format_nested(F.col("o"), dt, "p").alias("f")).collect()
-    assert rows[0].v == ["a", "b", "d", "e"]
-    assert rows[1].f.asDict(recursive=True) == {
-        "a": "A here: {a} but this is the value of a: Heya", "b": "B here: {b}",
-        "c": {"d": "D here: {d}", "e": "E here: {e}"}, "f": None, "h": 1}
+    row = df.select(tp.nested_vars(F.col("o"), dt).alias("v"), tp.format_nested(F.col("o"), dt, "p").alias("f")).first()
+    assert row.v == ["w", "d"]
+    assert row.f.asDict(recursive=True) == {"width": "3 meters", "sides": {"low": "deep 1", "top": "high {h}"},
+                                            "count": 4, "note": None}
 
 
 def test_string_array_template_vars(spark):
     from pyspark.sql import functions as F
-    df = spark.createDataFrame([(["A here: {a}", "B here: {b}"],)], "o array<string>")
-    assert df.select(tp.nested_vars(F.col("o"), df.schema["o"].dataType)).first()[0] == ["a", "b"]
+    df = spark.createDataFrame([(["x={x}", "y={y}", "x={x}"],)], "o array<string>")
+    assert df.select(tp.nested_vars(F.col("o"), df.schema["o"].dataType)).first()[0] == ["x", "y", "x"]
 
 
 def test_prompt_parts_text_and_tokens(spark):
