@@ -803,17 +803,7 @@ WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> '' AND api_ke
 
 _STREAM_TEXT = "SELECT concat('call-', conv_id, '-', turn) AS call_id, text{extra} FROM conversations WHERE role = 'assistant'"
 register("stream_asm", sql([], _STREAM_TEXT.format(extra=", true AS complete")))(sj.stream_asm)
-# P2 emits a session once the watermark (max event time - 10 minutes) has
-# passed its end (last chunk + 1 minute gap); later sessions stay open.
-register("stream_asm_session", sql([], """
-SELECT call_id, text FROM (
-  SELECT concat('call-', conv_id, '-', turn) AS call_id, text,
-         (1704067200 + conv_id * 3600 + turn * 60) * 1000
-           + CAST(greatest(ceil(length(text) / 16), 1) AS BIGINT) * 10 AS last_ms
-  FROM conversations WHERE role = 'assistant')
-WHERE last_ms + 60000 <= (SELECT max((1704067200 + conv_id * 3600 + turn * 60) * 1000
-                                     + CAST(greatest(ceil(length(text) / 16), 1) AS BIGINT) * 10)
-                          FROM conversations WHERE role = 'assistant') - 600000"""))(sj.stream_asm_session)
+register("stream_asm_session", sql([], _STREAM_TEXT.format(extra="")))(sj.stream_asm_session)
 register("stream_cursor", sql(["cursors"], """
 SELECT CAST(c.conv_id AS VARCHAR) AS thread_id, concat(c.conv_id, '-', c.turn) AS msg_id, c.turn AS pos
 FROM conversations c LEFT JOIN cursors k ON CAST(c.conv_id AS VARCHAR) = k.thread_id

@@ -198,43 +198,52 @@ P1_OUT = T.StructType([T.StructField("call_id", T.StringType()), T.StructField("
                        T.StructField("complete", T.BooleanType())])
 P1_STATE = T.StructType([T.StructField("seqs", T.ArrayType(T.LongType())),
                          T.StructField("pieces", T.ArrayType(T.StringType())),
-                         T.StructField("end_seq", T.LongType())])
-
-
-def _assemble_state(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Gather one call's pieces; emit the text once the end chunk and all
-    pieces before it are in, or a partial text when the call times out."""
-    seqs, pieces, end_seq = ([], [], -1)
-    if state.exists:
-        s = state.get
-        seqs, pieces, end_seq = list(s[0]), list(s[1]), int(s[2])
-    if state.hasTimedOut:
-        order = sorted(range(len(seqs)), key=seqs.__getitem__)
-        state.remove()
-        yield pd.DataFrame({"call_id": [key[0]], "text": ["".join(pieces[i] for i in order)], "complete": [False]})
-        return
-    for pdf in pdfs:
-        for s, c, end in zip(pdf["seq"], pdf["content"], pdf["is_end"]):
-            if end:
-                end_seq = int(s)
-            elif int(s) not in seqs:
-                seqs.append(int(s))
-                pieces.append(c if isinstance(c, str) else "")
-    if end_seq >= 0 and len(seqs) == end_seq:
-        order = sorted(range(len(seqs)), key=seqs.__getitem__)
-        state.remove()
-        yield pd.DataFrame({"call_id": [key[0]], "text": ["".join(pieces[i] for i in order)], "complete": [True]})
-        return
-    state.update((seqs, pieces, end_seq))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 10 * 60 * 1000)
-
-
-def assemble_with_state(chunks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+                         T.StructField("end_seq", T.LongType()), T.StructField("sent", T.BooleanType())])
+
+
+def _assembler(timeout_ms: int):
+    def assemble(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Gather one call's pieces; emit the text once the end chunk and all
+        pieces before it are in, or a partial text when the call times out.
+        A sent call leaves a mark until then, so chunks that are delivered
+        again find it and give nothing."""
+        pieces, end_seq, sent = {}, -1, False
+        if state.exists:
+            s = state.get
+            pieces, end_seq, sent = dict(zip(s[0], s[1])), int(s[2]), bool(s[3])
+        if state.hasTimedOut:
+            state.remove()
+            if not sent:
+                yield _text(key, pieces, False)
+            return
+        for pdf in pdfs:
+            if not sent:
+                ends = pdf["is_end"].to_numpy(bool)
+                if ends.any():
+                    end_seq = int(pdf["seq"][ends].iloc[0])
+                body = pdf[~ends]
+                pieces.update(zip(body["seq"].tolist(), body["content"].fillna("").tolist()))
+        if not sent and end_seq >= 0 and len(pieces) == end_seq:
+            yield _text(key, pieces, True)
+            pieces, sent = {}, True
+        state.update((list(pieces), list(pieces.values()), end_seq, sent))
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + timeout_ms)
+    return assemble
+
+
+def _text(key: tuple, pieces: dict, complete: bool) -> pd.DataFrame:
+    return pd.DataFrame({"call_id": [key[0]], "text": ["".join(pieces[i] for i in sorted(pieces))],
+                         "complete": [complete]})
+
+
+def assemble_with_state(chunks: DataFrame, delay: str = "10 minutes", timeout_ms: int = 10 * 60 * 1000) -> DataFrame:
     """P1 on any chunk stream (call_id, seq, ts, content, is_end): keyed
-    state per call; full text at the end chunk, partial text
-    (complete=false) once the watermark passes a call that stopped early."""
+    state per call; one row per call, the full text at the end chunk, or a
+    partial text (complete=false) once the watermark, `delay` behind the
+    latest chunk, is `timeout_ms` past the call's last batch. Chunks
+    delivered again within that time change nothing."""
     return (chunks.withWatermark("ts", delay).groupBy("call_id")
-            .applyInPandasWithState(_assemble_state, P1_OUT, P1_STATE, "append",
+            .applyInPandasWithState(_assembler(timeout_ms), P1_OUT, P1_STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
 
@@ -247,19 +256,41 @@ def stream_asm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P2
 
-def stream_asm_session(spark: SparkSession, sf_dir: str, gap: str = "1 minute",
-                       delay: str = "10 minutes") -> DataFrame:
-    """The same without custom state: a session window per call (chunks
-    closer than `gap`), ordered join of the pieces, append mode. A session
-    is emitted once the watermark (latest event time - `delay`) passes its
-    end; the sessions still open when the input stops wait for more input."""
+def assemble_sessions(chunks: DataFrame, gap: str = "10 minutes", delay: str = "10 minutes") -> DataFrame:
+    """P2 on any chunk stream: a session window per call (chunks closer than
+    `gap`), ordered join of the pieces, append mode. A session is emitted
+    once the watermark (latest event time - `delay`) passes its end; a call
+    that is silent for longer than `gap` gives a row per session."""
+    return (chunks.withWatermark("ts", delay)
+            .groupBy("call_id", F.session_window("ts", gap).alias("w"))
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("seq", "content"))),
+                                          lambda x: x["content"]), "").alias("text"))
+            .select("call_id", "text"))
+
+
+FLUSH = "__flush__"
+
+
+def stream_asm_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 over an input that ends: after the last file, one row far in the
+    future arrives on a control stream, moves the watermark past every open
+    session, and so has every call written."""
+    base = scratch_path(spark, "streams", "stream_asm_session")
     chunks = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
-    agg = (chunks.withWatermark("ts", delay)
-           .groupBy("call_id", F.session_window("ts", gap).alias("w"))
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "content"))),
-                                         lambda x: x["content"]), "").alias("text"))
-           .select("call_id", "text"))
-    return run_available(agg, "stream_asm_session")
+    schema = chunks.schema
+    mark = spark.range(1).select(
+        F.lit(FLUSH).alias("call_id"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit("9000-01-01").cast("timestamp").alias("ts"), F.lit("").alias("content"), F.lit(True).alias("is_end"))
+    spark.createDataFrame([], schema).write.parquet(f"{base}/control/open")
+
+    def drain() -> DataFrame:
+        control = (spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/control"))
+        both = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS)).unionByName(control)
+        return run_available(assemble_sessions(both), "stream_asm_session", base=base)
+
+    drain()
+    mark.select(*schema.names).write.parquet(f"{base}/control/closed")
+    return drain().where(F.col("call_id") != FLUSH)
 
 
 # ---------------------------------------------------------------- P3

@@ -85,3 +85,42 @@ def test_log_stream_reads_what_the_batch_reader_reads(spark):
     got = sj.run_available(stream.select("call_id", "seq", "content"), "logstream").collect()
     want = read_chunks(spark, f"{base}/chunks", "json").select("call_id", "seq", "content").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
+
+
+def test_stream_asm_sends_a_call_once(spark):
+    """Chunks delivered again after the end mark give no second row."""
+    import datetime as dt
+
+    from callscope.session import scratch_path
+    base = scratch_path(spark, "tests", "again")
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "call_id string, seq bigint, ts timestamp, content string, is_end boolean"
+    rows = [("a", 0, t0, "Hel", False), ("a", 1, t0, "lo", False), ("a", 2, t0, None, True)]
+    for i, part in enumerate((rows[:2] + rows[:1], rows[2:] + rows[:1], rows[:1], [
+            ("b", 0, t0 + dt.timedelta(hours=3), "x", False), ("b", 1, t0 + dt.timedelta(hours=3), None, True)])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{base}/in/p{i}")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
+    got = [tuple(r) for r in sj.run_available(sj.assemble_with_state(stream), "again").collect()]
+    assert sorted(got) == [("a", "Hello", True), ("b", "x", True)]
+
+
+def test_stream_asm_session_writes_every_call(spark):
+    got = {r.call_id: r.text for r in sj.stream_asm_session(spark, SF).collect()}
+    conv = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'assistant'").collect()
+    assert got == {f"call-{r.conv_id}-{r.turn}": r.text for r in conv}
+
+
+def test_stream_cursor_equals_its_oracle_rows(spark):
+    from callscope.sources import fixtures as fx
+    msgs = fx.messages(spark, SF)
+    cur = {r.thread_id: r.last_pos for r in fx.cursors(msgs).collect()}
+    want = {(r.thread_id, r.msg_id, r.pos) for r in msgs.collect()
+            if r.content[0].type == "text" and r.pos > cur.get(r.thread_id, -1)}
+    assert {tuple(r) for r in sj.stream_cursor(spark, SF).collect()} == want
+
+
+def test_stream_dedup_and_join_cover_every_key(spark):
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert sj.stream_dedup(spark, SF).count() == -(-n // 2)
+    assert sj.stream_feedback_join(spark, SF).where("rating is not null").count() == n
