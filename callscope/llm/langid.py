@@ -113,10 +113,15 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, classes:
 
 def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     """The temperature of least negative log-likelihood, by a search over
-    powers of two refined twice; between 1/64 and 64."""
+    powers of two refined twice; between 1/64 and 64. Labels count as wrong
+    with probability 1 / (rows + 2), as in Platt's scaling, so rows that are
+    all right do not make the scores certain."""
+    wrong = 1.0 / (len(y) + 2)
+    target = np.full(logits.shape, wrong / max(1, logits.shape[1] - 1))
+    target[np.arange(len(y)), y] = 1.0 - wrong
+
     def loss(t):
-        p = probabilities(logits / t)
-        return -np.log(np.maximum(p[np.arange(len(y)), y], 1e-300)).mean()
+        return -(target * np.log(np.maximum(probabilities(logits / t), 1e-300))).sum(1).mean()
     grid = np.exp2(np.linspace(-6, 6, 49))
     best = min(grid, key=loss)
     for width in (0.25, 0.03):
