@@ -194,27 +194,30 @@ def _expect_maximise(patterns: list, groups: list[tuple[int, ...]], rounds: int
 
 
 def fit_label_model(patterns: list, correlated: float = 0.2, largest: int = 3) -> LabelModel:
-    """Fit with independent voters, join those whose votes stay correlated
-    given the label (strongest first, at most `largest` together), refit."""
+    """Fit with independent voters; then, as long as the votes of two groups
+    stay correlated given the label, join the two most correlated ones (to
+    groups of at most `largest`) and fit again."""
     n = len(patterns[0][0])
-    model = _expect_maximise(patterns, [(i,) for i in range(n)])
     votes = np.array([v for v, _, _ in patterns], float)
     weight = np.array([c for _, _, c in patterns], float)
-    q = np.array([model.posterior(v) if y is None else y for v, y, _ in patterns])
-    strength = np.zeros((n, n))
-    for w in (q * weight, (1 - q) * weight):
-        if w.sum() < 50:
-            continue
-        centred = votes - (votes * w[:, None]).sum(0) / w.sum()
-        cov = (centred * w[:, None]).T @ centred / w.sum()
-        sd = np.sqrt(np.diag(cov))
-        strength = np.maximum(strength, np.abs(cov) / np.maximum(np.outer(sd, sd), 1e-6))
-    groups = {i: (i,) for i in range(n)}
-    for i, j in sorted(combinations(range(n), 2), key=lambda p: -strength[p]):
-        if strength[i, j] >= correlated and groups[i] != groups[j] and len(groups[i]) + len(groups[j]) <= largest:
-            joined = tuple(sorted(groups[i] + groups[j]))
-            groups.update(dict.fromkeys(joined, joined))
-    return _expect_maximise(patterns, sorted(set(groups.values())))
+    groups = [(i,) for i in range(n)]
+    while True:
+        model = _expect_maximise(patterns, groups)
+        q = np.array([model.posterior(v) if y is None else y for v, y, _ in patterns])
+        strength = np.zeros((n, n))
+        for w in (q * weight, (1 - q) * weight):
+            if w.sum() < 50:
+                continue
+            centred = votes - (votes * w[:, None]).sum(0) / w.sum()
+            cov = (centred * w[:, None]).T @ centred / w.sum()
+            sd = np.sqrt(np.diag(cov))
+            strength = np.maximum(strength, np.abs(cov) / np.maximum(np.outer(sd, sd), 1e-6))
+        pairs = [(max(strength[i, j] for i in g for j in h), g, h) for g, h in combinations(groups, 2)
+                 if len(g) + len(h) <= largest]
+        best = max(pairs, default=(0.0, (), ()))
+        if best[0] < correlated:
+            return model
+        groups = sorted([g for g in groups if g not in best[1:]] + [tuple(sorted(best[1] + best[2]))])
 
 
 @dataclass
