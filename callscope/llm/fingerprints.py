@@ -179,15 +179,15 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cuts = np.array(range_cuts(cols, "doc_id", n), np.int64)
 
     @F.pandas_udf(T.IntegerType())
-    def bucket_of(ids, ties):
+    def bucket_of(ids, missing, ties):
         # descending: bucket 0 has the largest ids; null ids follow, dealt by hash
-        at = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "right")
+        at = len(cuts) - np.searchsorted(cuts, ids.to_numpy(np.int64), "right")
         by_hash = len(cuts) + 1 + (ties.to_numpy(np.int64) // (1 << 32) + (1 << 31)) * n // (1 << 32)
-        return type(ids)(np.where(ids.isna(), by_hash, at).astype(np.int32))
+        return type(ids)(np.where(missing.to_numpy(bool), by_hash, at).astype(np.int32))
 
     some_null = cols.filter(F.col("doc_id").isNull()).limit(1).count() > 0
     tie = F.xxhash64("text") if some_null else F.lit(0).cast("long")
-    keyed = cols.withColumn("tie", tie).withColumn("b", bucket_of("doc_id", "tie"))
+    keyed = cols.withColumn("tie", tie).withColumn("b", bucket_of(F.coalesce("doc_id", F.lit(0).cast("long")), F.isnull("doc_id"), "tie"))
     heads = sorted(keyed.groupBy("b").agg(F.max("doc_id").alias("id"),
                                           F.min(F.when(F.col("doc_id").isNull(), F.col("tie"))).alias("tie")).collect())
     if not heads:
