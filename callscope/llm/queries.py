@@ -40,6 +40,46 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+#: Components of `links` (a, b; both ways) over `nodes` (id): what each reaches.
+_REACH = """reach(id, other) AS (
+  SELECT id, id FROM nodes
+  UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a)"""
+
+OP6_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND len(p.e) = len(q.e) AND p.vec_id <> q.vec_id
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.98),
+{_REACH},
+home AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, h.component_id,
+       e.vec_id = h.component_id AS kept
+FROM embeddings e JOIN home h ON e.vec_id = h.id"""
+
+OP10_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(list_transform(generate_series(1, greatest(len(words) - 3, least(len(words), 1))),
+                                              lambda i: array_to_string(words[i:i + 3], ' '))) AS sh FROM w),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+t AS (SELECT doc_id, unnest(sh) AS x FROM s),
+nodes AS (SELECT doc_id AS id FROM documents),
+shared AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM t p JOIN t q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+{_REACH},
+home AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, h.component_id FROM n JOIN home h ON n.doc_id = h.id"""
+
+
 @register("op1_best_fit_packing")
 def op1(spark, sf_dir):
     """Every document in sequences of at most 2048 tokens."""
@@ -83,13 +123,13 @@ def op3(spark, sf_dir):
                       F.array_sort(F.array_distinct(F.transform("pii_values", lambda v: v["kind"]))).alias("kinds"))
 
 
-@register("op10_ngram_jaccard_join")
+@register("op10_ngram_jaccard_join", OP10_SQL)
 def op10(spark, sf_dir):
     """Components of documents whose sets of four-word shingles are 85 % alike."""
     return jaccard_components(documents(spark, sf_dir), 4, 0.85)
 
 
-@register("op6_embedding_near_dedup")
+@register("op6_embedding_near_dedup", OP6_SQL)
 def op6(spark, sf_dir):
     """Links and components of vectors of cosine 0.98 or more within a label."""
     return near_duplicates(read_table(spark, sf_dir, "embeddings"), 0.98)
