@@ -71,10 +71,11 @@ s AS (
 n AS (SELECT doc_id, len(sh) AS n FROM s),
 t AS (SELECT doc_id, unnest(sh) AS x FROM s),
 nodes AS (SELECT doc_id AS id FROM documents),
-shared AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM t p JOIN t q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY ALL),
-links AS (
+shared AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS k FROM t p JOIN t q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY ALL),
+once AS (
   SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
   WHERE 100 * k >= 85 * (na.n + nb.n - k)),
+links AS (SELECT a, b FROM once UNION ALL SELECT b, a FROM once),
 {_REACH},
 home AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, h.component_id FROM n JOIN home h ON n.doc_id = h.id"""
