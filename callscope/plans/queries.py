@@ -810,6 +810,7 @@ FROM conversations c LEFT JOIN cursors k ON CAST(c.conv_id AS VARCHAR) = k.threa
 WHERE (c.conv_id + c.turn) % 7 <> 0 AND c.turn > coalesce(k.last_pos, -1)"""))(sj.stream_cursor)
 register("stream_feedback_join", sql([], """
 SELECT concat('ev-', event_id) AS call_id, concat('fb-', event_id) AS feedback_key,
-       CAST(event_id % 5 AS DOUBLE) / 4.0 AS rating FROM events"""))(sj.stream_feedback_join)
+       CASE WHEN event_id % 7 <> 3 AND event_id % 11 <> 5 THEN CAST(event_id % 5 AS DOUBLE) / 4.0 END AS rating
+FROM events"""))(sj.stream_feedback_join)
 register("stream_dedup", sql([], "SELECT DISTINCT concat('fb-', event_id // 2) AS feedback_key FROM events"))(
     sj.stream_dedup)

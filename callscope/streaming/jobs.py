@@ -153,12 +153,14 @@ def message_stream(conversations: DataFrame) -> DataFrame:
 
 
 def feedback_stream(events: DataFrame) -> DataFrame:
-    """Feedback sent for event calls, later than the event (up to 2 hours)."""
+    """Feedback sent for event calls, up to two hours later; for every
+    eleventh five hours later, for every seventh none."""
     e = F.col("event_id")
-    return events.select(
+    minutes = F.when(e % 11 == 5, F.lit(300)).otherwise(e % 120)
+    return events.where(e % 7 != 3).select(
         F.concat(F.lit("fb-"), e.cast("string")).alias("fb_key"),
         ((e % 5) / 4.0).alias("rating"),
-        (F.col("ts").cast("timestamp") + F.make_interval(mins=(e % 120).cast("int"))).alias("fb_ts"),
+        (F.col("ts").cast("timestamp") + F.make_interval(mins=minutes.cast("int"))).alias("fb_ts"),
     )
 
 
@@ -342,15 +344,36 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P4
 
-def stream_feedback_join(spark: SparkSession, sf_dir: str, bound: str = "3 hours") -> DataFrame:
-    """Events joined to feedback that arrives up to `bound` later, as
-    a stream-stream left outer join with watermarks on both sides."""
-    calls = event_calls(read_stream(spark, sf_dir, "events", EVENTS)).withWatermark("ts", "1 hour")
-    fbk = feedback_stream(read_stream(spark, sf_dir, "events", EVENTS)).withWatermark("fb_ts", "1 hour")
+def join_feedback(calls: DataFrame, feedback: DataFrame, bound: str = "3 hours") -> DataFrame:
+    """P4 on any two streams: calls joined to feedback that arrives up to
+    `bound` later, a stream-stream left outer join with watermarks on both
+    sides; a call without one is written once the watermark passes the bound."""
+    calls, fbk = calls.withWatermark("ts", "1 hour"), feedback.withWatermark("fb_ts", "1 hour")
     cond = (F.col("feedback_key") == F.col("fb_key")) & (F.col("fb_ts") >= F.col("ts")) & \
         (F.col("fb_ts") <= F.col("ts") + F.expr(f"INTERVAL {bound}"))
-    out = calls.join(fbk, cond, "leftOuter").select("call_id", "feedback_key", "rating")
-    return run_available(out, "stream_feedback_join")
+    return calls.join(fbk, cond, "leftOuter").select("call_id", "feedback_key", "rating")
+
+
+def stream_feedback_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 over an input that ends: one event far in the future on a control
+    stream has the calls without feedback written too."""
+    base = scratch_path(spark, "streams", "stream_feedback_join")
+    mark = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit("9000-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
+        F.lit(0).cast("bigint").alias("user_id"), F.lit(FLUSH).alias("event_type"), F.lit(0.0).alias("value"),
+        F.lit("").alias("props"))
+    spark.createDataFrame([], EVENTS).write.parquet(f"{base}/control/open")
+
+    def events() -> DataFrame:
+        control = spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").parquet(f"{base}/control")
+        return read_stream(spark, sf_dir, "events", EVENTS).unionByName(control)
+
+    def drain() -> DataFrame:
+        return run_available(join_feedback(event_calls(events()), feedback_stream(events())), "stream_feedback_join", base=base)
+
+    drain()
+    mark.write.parquet(f"{base}/control/closed")
+    return drain().where(F.col("call_id") != "ev--1")
 
 
 # ---------------------------------------------------------------- P5

@@ -120,7 +120,12 @@ def test_stream_cursor_equals_its_oracle_rows(spark):
     assert {tuple(r) for r in sj.stream_cursor(spark, SF).collect()} == want
 
 
-def test_stream_dedup_and_join_cover_every_key(spark):
+def test_stream_dedup_covers_every_key(spark):
     n = spark.read.parquet(f"{SF}/events.parquet").count()
     assert sj.stream_dedup(spark, SF).count() == -(-n // 2)
-    assert sj.stream_feedback_join(spark, SF).where("rating is not null").count() == n
+
+
+def test_stream_feedback_join_writes_matched_and_unmatched(spark):
+    ids = [r.event_id for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id").collect()]
+    got = {r.call_id: r.rating for r in sj.stream_feedback_join(spark, SF).collect()}
+    assert got == {f"ev-{i}": None if i % 7 == 3 or i % 11 == 5 else i % 5 / 4.0 for i in ids}
