@@ -152,11 +152,16 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 def bounded_sample(train: DataFrame, by: str, per_class: int, most: int, key: str = "doc_id") -> DataFrame:
     """At most `per_class` rows of each value of `by` and `most` rows in all,
-    those of the smallest hash of `key`: narrow ranks first, then the rows."""
+    those of the smallest hash of `key`. Classes are counted first, so only
+    hashes low enough to be chosen (four times as many as wanted) are
+    ranked, and a class of any size is never ranked whole."""
     order = F.xxhash64(F.lit("sample"), F.col(key))
-    ranked = (train.select(key, by).withColumn("_h", order).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(by).orderBy("_h", key))).filter(F.col("_r") <= per_class)
-        .orderBy("_r", "_h").limit(most).select(key).distinct())
+    counts = train.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))  # one row per class
+    low = F.col("_h") / F.lit(2.0 ** 64) + F.lit(0.5) <= F.lit(4.0 * per_class) / F.col("_n")
+    narrow = (train.select(key, by).withColumn("_h", order).join(F.broadcast(counts), by).filter(low)
+              .select(key, by, "_h").distinct())
+    ranked = (narrow.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy("_h", key)))
+              .filter(F.col("_r") <= per_class).orderBy("_r", "_h").limit(most).select(key).distinct())
     return train.join(F.broadcast(ranked), key, "left_semi")  # `most` keys at most
 
 
