@@ -106,7 +106,7 @@ def _events(spark, sf) -> DataFrame:
     return ev.call_events(calls, fx.chunks(calls), CFG)
 
 
-def flat_events(e: DataFrame) -> DataFrame:
+def flat_events(e: DataFrame, *more: str) -> DataFrame:
     return e.select(
         "event_kind", "call_id", "feedback_key", "api_key", "prompt_template_name", "api_name",
         "prompt_template_text", js("prompt_template_chat").alias("prompt_template_chat"),
@@ -114,7 +114,7 @@ def flat_events(e: DataFrame) -> DataFrame:
         "raw_response", js("tool_calls").alias("tool_calls"), "response_time",
         js("response_errors").alias("response_errors"), js("response_metrics").alias("response_metrics"),
         js("model_parameters").alias("model_parameters"), "chat_id", "chain_id", js("context").alias("context"),
-        "tools")
+        "tools", *more)
 
 
 @register("redact_chat", sql(["call_events"], """
@@ -636,12 +636,12 @@ def q_event_deleted_flag(spark, sf):
     return _events_fb(spark, sf).select("call_id", "feedback_key", "is_deleted")
 
 
-@register("sessions", sql(["call_events"], """
-SELECT call_id, chat_id, row_number() OVER (PARTITION BY chat_id ORDER BY started_at, call_id) AS session_seq
-FROM call_events WHERE chat_id IS NOT NULL"""))
+@register("sessions", sql(["all_events"], f"""
+SELECT {FLAT}, row_number() OVER (PARTITION BY chat_id ORDER BY started_at NULLS FIRST, call_id) AS session_seq
+FROM all_events WHERE chat_id IS NOT NULL"""))
 def q_sessions(spark, sf):
-    """Position of each event in its chat session."""
-    return fb.sessions(_events(spark, sf)).select("call_id", "chat_id", "session_seq")
+    """Every event of a chat, whole, with its position in the session."""
+    return flat_events(fb.sessions(ev.events_all(_events(spark, sf), _assistant_events(spark, sf))), "session_seq")
 
 
 @register("chains", sql(["call_events", "chain_results"], """
