@@ -294,7 +294,8 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str =
     @F.pandas_udf("long")
     def sid(texts):
         shingler = worker_shingler(n)
-        return texts.map(lambda t: set_id(shingler(t))).astype("Int64")
+        # not through map(): with a null among them it would make floats of the ids
+        return type(texts)([set_id(shingler(t)) for t in texts], dtype="Int64")
 
     ranked = docs.withColumn("_sid", sid(F.col(text))).join(
         home.select(F.col("sid").alias("_sid"), F.col("root").alias("_root")), "_sid", "left")
