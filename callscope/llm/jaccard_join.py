@@ -218,6 +218,23 @@ def set_id(shingles: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
 
 
+FILTER_BITS = 1 << 24
+
+
+def _marked(cols: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `cols` whose doc_id may be in `ids` (first): a filter of
+    `FILTER_BITS` bits in words of 64, so what is broadcast is at most
+    FILTER_BITS / 64 rows, however many ids there are. Rows that pass by
+    chance are dropped by the join that follows."""
+    def bit(c: str):
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(FILTER_BITS))
+
+    words = (ids.select((bit("first") / 64).cast("int").alias("_w"), (bit("first") % 64).cast("int").alias("_s"))
+             .groupBy("_w").agg(F.bit_or(F.expr("shiftleft(1L, _s)")).alias("_bits")))
+    rows = cols.withColumns({"_w": (bit("doc_id") / 64).cast("int"), "_s": (bit("doc_id") % 64).cast("int")})
+    return rows.join(F.broadcast(words), "_w").filter(F.expr("shiftrightunsigned(_bits, _s) & 1L = 1L")).select(*cols.columns)
+
+
 def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, text): their (doc_id, n_shingles, sid), and (sid,
     root, component_id) of every set, where linked sets have one root."""
@@ -237,21 +254,21 @@ def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, D
                              BLOCK_ROWS), "grp", "sid", _by_sketch(permille), EDGES, EDGE_SCHEMA)
     groups = materialize(connected_components(near), "jaccard-candidates")
 
-    # exact comparison within the groups; one document stands for each set
-    reps = groups.join(first, groups["id"] == first["sid"]).select("sid", "component", F.col("first").alias("doc_id"))
-    schema = pa.schema([("sid", pa.int64()), ("component", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
+    # exact comparison within the groups; the first document of each set stands for it
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def sets(batches):
         shingler = worker_shingler(n)
         for batch in batches:
-            s = [shingler(t) for t in batch.column(2).to_pylist()]
-            ids = [set_id(x) for x in s]
-            ok = pa.array([i == want for i, want in zip(ids, batch.column(0).to_pylist())])  # repeated doc_ids differ
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in s], pa.int64()),
-                                              pa.array([x.tobytes() for x in s], pa.binary())], schema=schema).filter(ok)
-
-    exact = (reps.join(cols, "doc_id").select("sid", "component", "text")
-             .mapInArrow(sets, "sid long, component long, n long, shingles binary").dropDuplicates(["sid"]))
+            s = [shingler(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in s], pa.int64()),
+                                              pa.array([len(x) for x in s], pa.int64()),
+                                              pa.array([x.tobytes() for x in s], pa.binary())], schema=schema)
+
+    reps = groups.join(first, groups["id"] == first["sid"]).select("first")
+    members = groups.withColumnRenamed("id", "sid")
+    exact = (_marked(cols, reps).select("text").mapInArrow(sets, "sid long, n long, shingles binary")
+             .join(members, "sid").dropDuplicates(["sid"]))
     exact = materialize(exact, "jaccard-sets")
     links = units(deal_blocks(exact, "component", "sid", F.col("n") + 1_000, BLOCK_SHINGLES), "component", "sid",
                   _exactly(permille), EDGES, EDGE_SCHEMA)
