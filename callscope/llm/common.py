@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from callscope.session import scratch_path
 from callscope.sources.tables import read_table
 
-__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "tokenizer_path"]
+__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "tokenizer_path", "worker_tool"]
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,6 +52,19 @@ def arrow_map(fn: Callable[[Iterator], Iterator], setup: Callable[[], object] |
     return run
 
 
+_TOOL: dict = {}
+
+
+def worker_tool(key: tuple, make: Callable[[], object]):
+    """This Python worker's tool (tokenizer, scorer ...) with its caches. It
+    lives as long as the worker asks for the same one; a worker holds one
+    tool at a time, so caches of different steps do not add up."""
+    if _TOOL.get("key") != key:
+        _TOOL.clear()
+        _TOOL.update(key=key, tool=make())
+    return _TOOL["tool"]
+
+
 def range_cuts(df: DataFrame, key: str, n: int) -> list[int]:
     """At most n - 1 ascending values that cut the integer column `key` into
     ranges of about equal size (approximate: only balance depends on them)."""

@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from callscope.llm.blocks import deal_blocks, forest, units
 from callscope.llm.common import materialize
 from callscope.llm.components import connected_components
-from callscope.llm.tokens import Generations
 
 BAND = 1.6
 SKETCH_WORDS = 16  # of 64 bits
@@ -54,13 +53,13 @@ class Shingler:
     fewer words than a shingle has is one shingle; no words, no shingle."""
 
     def __init__(self, n: int):
-        self.n, self.words = n, Generations(xxhash.xxh3_64_intdigest)
+        self.n = n
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = text.encode("utf-8").lower().split() if text else []
         if not words:
             return np.empty(0, U)
-        h = np.fromiter(map(self.words.__getitem__, words), U, len(words))
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U, len(words))
         size = min(self.n, len(words))
         out = h[: len(h) - size + 1].copy()
         for i in range(1, size):
@@ -126,7 +125,7 @@ def _features(docs: DataFrame, n: int, permille: int) -> DataFrame:
                         ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches):
-        shingler, seen = worker_shingler(n), set()
+        shingler, seen = Shingler(n), set()
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -258,7 +257,7 @@ def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, D
     schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def sets(batches):
-        shingler = worker_shingler(n)
+        shingler = Shingler(n)
         for batch in batches:
             s = [shingler(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in s], pa.int64()),
@@ -310,7 +309,7 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str =
 
     @F.pandas_udf("long")
     def sid(texts):
-        shingler = worker_shingler(n)
+        shingler = Shingler(n)
         # not through map(): with a null among them it would make floats of the ids
         return type(texts)([set_id(shingler(t)) for t in texts], dtype="Int64")
 
@@ -321,11 +320,3 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str =
     best = Window.partitionBy("_root", "_alone").orderBy(F.asc_nulls_last(doc_id), F.xxhash64(text))
     return (ranked.withColumn("_alone", alone).withColumn("_n", F.row_number().over(best)).filter("_n = 1")
             .select(*docs.columns))
-
-
-_WORKER: dict = {}
-
-
-def worker_shingler(n: int) -> Shingler:
-    """This Python worker's shingler of n words; its cache lives as long as the worker."""
-    return _WORKER.setdefault(n, Shingler(n))

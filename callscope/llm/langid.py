@@ -223,5 +223,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         m = shared.value
         return pd.DataFrame([m.predict(t or "") for t in texts], columns=["lang_pred", "score"])
 
-    return (docs.drop("lang_pred", "score").withColumn("_p", predict(F.col(text)))
+    # not deterministic for Spark: otherwise a filter on the result predicts once more
+    return (docs.drop("lang_pred", "score").withColumn("_p", predict.asNondeterministic()(F.col(text)))
             .withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.llm.common import tokenizer_path
+from callscope.llm.common import tokenizer_path, worker_tool
 from callscope.llm.tokens import Generations
 
 SPACE = "▁"
@@ -153,15 +153,9 @@ class PieceModel:
         return text[1:] if self.dummy and text[:1] == " " else text
 
 
-_WORKER: dict = {}
-
-
 def worker_model(name: str) -> PieceModel:
-    """This Python worker's model; its caches live as long as the worker."""
-    if name not in _WORKER:
-        _WORKER.clear()
-        _WORKER[name] = PieceModel(name if os.sep in name else tokenizer_path(name))
-    return _WORKER[name]
+    """This Python worker's model."""
+    return worker_tool(("pieces", name), lambda: PieceModel(name if os.sep in name else tokenizer_path(name)))
 
 
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", doc_id: str = "doc_id", text: str = "text") -> DataFrame:

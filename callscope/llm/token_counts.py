@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.llm.common import tokenizer_path
+from callscope.llm.common import tokenizer_path, worker_tool
 from callscope.llm.tokens import UnitEncoder, UnitLengths
 
 #: Entries of the broadcast table, of a task's running summary, and of what a
@@ -96,15 +96,9 @@ def frequent_units(docs: DataFrame, tokenizer: str, text: str = "text") -> dict[
     return {u: len(lengths.enc.ids(led + u)) for u, _ in total.most_common(TABLE_ENTRIES)}
 
 
-_WORKER: dict = {}
-
-
 def worker_lengths(tokenizer: str, table: dict[str, int]) -> UnitLengths:
-    """This Python worker's lengths; the second tier lives as long as the worker."""
-    if tokenizer not in _WORKER:
-        _WORKER.clear()
-        _WORKER[tokenizer] = UnitLengths(_resolve(tokenizer), table)
-    return _WORKER[tokenizer]
+    """This Python worker's lengths, both tiers."""
+    return worker_tool(("lengths", tokenizer), lambda: UnitLengths(_resolve(tokenizer), table))
 
 
 def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: int = 1024,

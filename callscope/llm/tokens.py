@@ -149,15 +149,8 @@ class UnitLengths:
         return sum(map(self.cache.__getitem__, rest)) + (self.first[first] if first else 0)
 
 
-_WORKER: dict = {}
-
-
 def worker_encoder(path_name: str, item: str) -> UnitEncoder:
-    """This Python worker's encoder of a public tokenizer file; its caches
-    live as long as the worker."""
-    from callscope.llm.common import tokenizer_path
-    key = (path_name, item)
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = UnitEncoder(tokenizer_path(path_name) if os.sep not in path_name else path_name, item)
-    return _WORKER[key]
+    """This Python worker's encoder of a tokenizer file (public name or path)."""
+    from callscope.llm.common import tokenizer_path, worker_tool
+    return worker_tool(("encoder", path_name, item), lambda: UnitEncoder(
+        path_name if os.sep in path_name else tokenizer_path(path_name), item))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callscope.llm.common import crc_mod4, materialize
+from callscope.llm.common import crc_mod4, materialize, worker_tool
 from callscope.llm.langid import bounded_sample, fit_ftrl
 from callscope.llm.tokens import Generations
 
@@ -119,7 +119,7 @@ class Voters:
 
     def __init__(self, lexicon: list[str]):
         self.of = {t: i % LEXICONS for i, t in enumerate(lexicon)}
-        self.cache = Generations(self._word)
+        self.cache = Generations(self._word, 150_000)
 
     def _word(self, w: str) -> int:
         mask = 0
@@ -333,15 +333,10 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
         s = worker_scorer(shared.value)
         return texts.map(lambda t: s.score(t or ""))
 
-    return docs.withColumn("score", run(F.col(text)))
-
-
-_WORKER: dict = {}
+    # not deterministic for Spark: otherwise a filter on the score scores once more
+    return docs.withColumn("score", run.asNondeterministic()(F.col(text)))
 
 
 def worker_scorer(parts: tuple) -> Scorer:
-    key = id(parts)
-    if _WORKER.get("key") != key:
-        _WORKER.update(key=key, parts=parts, scorer=Scorer(*parts))
-    return _WORKER["scorer"]
-
+    """This Python worker's scorer; `parts` stays alive with it, so its id is its own."""
+    return worker_tool(("scorer", id(parts)), lambda: (parts, Scorer(*parts)))[1]
