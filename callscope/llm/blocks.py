@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 
 def deal_blocks(rows: DataFrame, group: str, row_id: str, weight: Column, limit: int) -> DataFrame:
     """`rows` with block, bi and bj (bi <= bj, block is one of them), a copy
-    for each unit that a row takes part in; groups of one row are left out."""
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w")).filter("_n > 1")
+    for each unit that a row takes part in.
+
+    Only groups heavier than `limit` have more than one block. They are at
+    most (whole weight / limit), so their sizes are broadcast and the rows,
+    which may be wide, are not shuffled for this."""
+    sizes = rows.groupBy(group).agg(F.sum(weight).alias("_w")).filter(F.col("_w") > limit)
     sizes = sizes.select(group, F.ceil(F.col("_w") / F.lit(limit)).cast("int").alias("_b"))
-    block = F.pmod(F.xxhash64(F.lit("block"), F.col(row_id)), F.col("_b")).cast("int")
-    dealt = rows.join(sizes, group).withColumn("block", block)
+    dealt = rows.join(F.broadcast(sizes), group, "left").withColumn("_b", F.coalesce("_b", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), F.col(row_id)), F.col("_b")).cast("int"))
     units = F.transform(F.sequence(F.lit(0), F.col("_b") - 1), lambda x: F.struct(
         F.least(x, F.col("block")).alias("bi"), F.greatest(x, F.col("block")).alias("bj")))
     return dealt.withColumn("_u", F.explode(units)).select(*rows.columns, "block", "_u.bi", "_u.bj")
