@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.llm.blocks import deal_blocks, forest, units
-from callscope.llm.common import materialize
+from callscope.llm.common import materialize, worker_tool
 from callscope.llm.components import connected_components
 
 BAND = 1.6
@@ -125,6 +125,7 @@ def _features(docs: DataFrame, n: int, permille: int) -> DataFrame:
                         ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
     def run(batches):
+        worker_tool(("shingles",), lambda: None)  # what the worker kept for another step goes
         shingler, seen = Shingler(n), set()
         for batch in batches:
             rows = []

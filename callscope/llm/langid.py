@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import io
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.llm.common import crc_mod4, merge_blobs
+from callscope.llm.common import crc_mod4, merge_blobs, worker_tool
 
 FEATURES = 1 << 14
 ORDERS = (1, 2, 3)
@@ -132,6 +133,7 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     """How many of all training texts (column text) hold each feature, and their number."""
     def run(batches):
+        worker_tool(("frequencies",), lambda: None)  # what the worker kept for another step goes
         df, n = np.zeros(FEATURES + 1, np.int64), 0
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -216,11 +218,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     columns of these names are replaced. Whole texts are read; empty tables
     stay empty."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts):
         import pandas as pd
-        m = shared.value
+        m = worker_tool(("language", key), lambda: shared.value)
         return pd.DataFrame([m.predict(t or "") for t in texts], columns=["lang_pred", "score"])
 
     # not deterministic for Spark: otherwise a filter on the result predicts once more

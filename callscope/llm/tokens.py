@@ -32,7 +32,7 @@ SPACE_DROPPED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WIDE_SPACE = re.compile(r"\s ")
 CUT = re.compile(r"(?<=\S)(?= )")
 SEPARATORS = re.compile("[\x1c-\x1f]")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 
 
 def byte_alphabet() -> list[str]:

@@ -275,6 +275,7 @@ def train_scorer(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     schema = pa.schema([("doc_id", pa.int64()), ("pattern", pa.string())])
 
     def vote(batches):
+        worker_tool(("votes",), lambda: None)  # what the worker kept for another step goes
         voters = Voters(lexicon)
         for batch in batches:
             out = [json.dumps(voters.read(t)[0]) for t in batch.column(1).to_pylist()]
