@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from callscope.session import scratch_path
 from callscope.sources.tables import read_table
 
-__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "tokenizer_path", "worker_tool"]
+__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "ship_package", "tokenizer_path", "worker_tool"]
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +22,29 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Python workers import this package: nothing to do where it is on
+    their path already (PYTHONPATH, working folder), else it is sent along
+    as a zip file (`addPyFile`)."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root, app = os.path.dirname(package), spark.sparkContext.applicationId
+    places = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if app in _SHIPPED or root in map(os.path.abspath, places):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="callscope-zip-"), "callscope.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def crc_mod4(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 4; 2 marks the held-out rows. Null stays null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callscope.llm.common import crc_mod4, read_table, scratch_path
+from callscope.llm.common import crc_mod4, read_table, scratch_path, ship_package
 from callscope.llm.embed_dedup import near_duplicates
 from callscope.llm.fingerprints import fingerprints
 from callscope.llm.jaccard_join import jaccard_components
@@ -25,7 +26,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callscope.llm.common import materialize, read_table
+from callscope.llm.common import materialize, read_table, ship_package
 from callscope.llm.jaccard_join import keep_one
 from callscope.llm.langid import UNDETERMINED, identify, train_model
 from callscope.llm.packing import pack, token_pieces
@@ -79,6 +79,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on `documents`."""
+    ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), "pipeline")
