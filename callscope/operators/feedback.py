@@ -165,10 +165,10 @@ def error_log_sample(failures: DataFrame, debug: bool = False) -> DataFrame:
     lo, hi = LOGGED_STATUS_RANGE
     f = failures.where(F.col("status").between(lo, hi))
     limited = F.col("status").isin(*RATE_LIMITED_STATUSES)
-    # first failure per (status, second); the others are each their own group
-    own = F.when(~limited, F.col("event_id"))
-    w = Window.partitionBy("status", F.date_trunc("second", "ts"), own).orderBy("ts", "event_id")
-    return f.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
+    # first failure per (status, second); the order counts for limited ones only
+    w = Window.partitionBy("status", F.date_trunc("second", "ts")).orderBy("ts", "event_id")
+    first = f.where(limited).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= 1).drop("_n")
+    return f.where(~limited).unionByName(first)
 
 
 def chain_state(updates: DataFrame) -> DataFrame:

@@ -46,3 +46,14 @@ def test_redaction_guards_are_exact(spark):
     names = tuple(n for n, _, _ in redact.RULES)
     got = df.select(redact.redact_text("t").alias("g"), redact._chain(F.col("t"), names).alias("w")).collect()
     assert all(r.g == r.w for r in got)
+
+
+def test_error_log_sample_keeps_every_unlimited_failure(spark):
+    from callscope.operators.feedback import error_log_sample
+    rows = [("a", 404, "2024-01-01 00:00:00.1"), ("a", 404, "2024-01-01 00:00:00.2"), ("a", 404, "2024-01-01 00:00:00.2"),
+            (None, 400, "2024-01-01 00:00:00.1"), (None, 400, "2024-01-01 00:00:00.3"), ("b", 400, None),
+            ("c", 429, "2024-01-01 00:00:00.1"), ("c", 429, "2024-01-01 00:00:00.2"), (None, 429, "2024-01-01 00:00:00.3"),
+            ("c", 429, "2024-01-01 00:00:01.0"), ("d", 500, "2024-01-01 00:00:00.1"), ("e", 399, "2024-01-01 00:00:00.1")]
+    df = spark.createDataFrame(rows, "event_id string, status int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = sorted((str(r.event_id), r.status) for r in error_log_sample(df).collect())
+    assert out == sorted([("a", 404)] * 3 + [("None", 400)] * 2 + [("b", 400)] + [("c", 429)] * 2)
