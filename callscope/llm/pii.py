@@ -35,9 +35,22 @@ PATTERNS: dict[str, str] = {
                   r"|(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?"
                   r"(?=[A-Za-z+/_-]{0,127}\d)[A-Za-z0-9+/_-]{8,128})",
 }
-#: With and without what needs an at sign.
-ANY = "|".join(PATTERNS.values())
-NUMERIC = "|".join(p for k, p in PATTERNS.items() if k != "email")
+# Card and account numbers run into the words beside them, so a text is searched
+# for the valid ones among all that start and end where a number may, not for
+# its longest matches. A hyphen inside a match is such a place, too.
+CARD_START = r"(?=\d)(?:(?<![\w.-])|(?<=\d-)(?<=(?<![\w.-])\d{1,9}-(?:\d{1,9}-(?:\d{1,9}-)?)?))"
+CARD_END = r"(?:(?=-\d)|(?![\w-]|\.\d))"
+CARD_LONGEST = rf"{CARD_START}(?=(\d(?:[ -]?\d){{12,18}}{CARD_END}))"
+IBAN_START = r"(?=[A-Z]{2}\d{2})(?<![A-Za-z0-9])"
+IBAN_END = r"(?![A-Za-z0-9])"
+IBAN_LONGEST = rf"{IBAN_START}(?=([A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{IBAN_END}))"
+#: Account numbers as long as their country has them.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_WHOLE = "^(?:" + "|".join(f"(?:{c.replace(' ', '|')}).{{{n - 2}}}" for n, c in IBAN_LENGTHS.items()) + ")$"
 
 
 def let(value: Column, fn) -> Column:
@@ -138,6 +151,45 @@ def _date_text(v: Column, day: Column, day_first: bool) -> Column:
         F.date_format(t, "dd.MM.yyyy")))
 
 
+def card_valid(bare: Column) -> Column:
+    return F.length(bare).between(13, 19) & (luhn_sum(bare) % 10 == 0) & ~bare.rlike("^(\\d)\\1*$")
+
+
+def iban_valid(bare: Column) -> Column:
+    return F.length(bare).between(15, 34) & (mod97(bare) == 1)
+
+
+def _numbers(t: Column, longest: str, valid, whole: str, start: str, end: str) -> Column:
+    """A pattern (with a bar behind it) of the valid numbers in t and nothing
+    else, empty if there are none. Of those with one start that one counts
+    which fits `whole`, else the longest."""
+    def best(match: Column) -> Column:
+        def of(parts: Column) -> Column:
+            made = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda j: F.array_join(
+                F.slice(parts, F.lit(1), j), ""))
+            good = F.filter(F.transform(made, lambda m: F.struct(m.alias("text"), F.regexp_replace(
+                m, "[ -]", "").alias("bare"))), lambda c: valid(c["bare"]))
+            return let(good, lambda g: F.coalesce(F.get(F.filter(g, lambda c: c["bare"].rlike(whole)), F.lit(0)),
+                                                  F.get(g, F.lit(0)))["text"])
+
+        return let(F.split(match, "(?=[ -])"), of)
+
+    found = F.array_distinct(F.regexp_extract_all(t, F.lit(longest), F.lit(1)))
+    numbers = F.array_distinct(F.filter(F.transform(found, best), lambda m: m.isNotNull()))
+    # the longest first, for those that begin with another
+    return let(F.array_sort(numbers, lambda a, b: F.length(b) - F.length(a)), lambda m: F.when(
+        F.size(m) > 0, F.concat(F.lit(f"{start}(?:"), F.array_join(m, "|"), F.lit(f"){end}|"))).otherwise(""))
+
+
+def pattern_of(t: Column) -> Column:
+    """The pattern that finds all values in t, for texts with a digit or an at
+    sign: e-mails only where there is one, valid card and account numbers."""
+    plain = "|".join(PATTERNS[k] for k in ("ipv4", "date", "ssn", "phone"))
+    return F.concat(F.when(t.contains("@"), PATTERNS["email"] + "|").otherwise(""), F.lit(plain + "|"),
+                    _numbers(t, CARD_LONGEST, card_valid, "^", CARD_START, CARD_END),
+                    _numbers(t, IBAN_LONGEST, iban_valid, IBAN_WHOLE, IBAN_START, IBAN_END), F.lit(PATTERNS["credential"]))
+
+
 def kind_of(v: Column) -> Column:
     """The kind of a found value: the first pattern that fits it whole."""
     out = None
@@ -162,8 +214,7 @@ def _parts(v: Column, k: Column, day_first: bool) -> Column:
     day = F.when(k == "date", _day(v, day_first))
     n = F.when(k == "ipv4", F.split(v, r"\.").cast("array<int>")).when(k == "ssn", F.split(v, "-").cast("array<int>")).when(
         k == "date", F.array(day))
-    valid = (F.when(k == "card", (luhn_sum(bare) % 10 == 0) & ~bare.rlike("^(\\d)\\1*$"))
-             .when(k == "iban", (mod97(bare) == 1) & F.length(bare).between(15, 34))
+    valid = (F.when(k == "card", card_valid(bare)).when(k == "iban", iban_valid(bare))
              .when(k == "ipv4", F.forall(F.split(v, r"\."), lambda o: o.rlike("^(?:0|[1-9][0-9]?|1[0-9]{2}|2[0-4][0-9]|25[0-5])$")))
              .when(k == "ssn", v.rlike("^(?!000|666|9)\\d{3}-(?!00)\\d{2}-(?!0000)\\d{4}$"))
              # years 1600 to 9599 are whole blocks
@@ -238,19 +289,25 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", inverse: bool =
 
     Null text stays null (with a null array), text without findings stays as
     it is (empty array). Values that fail validation (a card number with a
-    wrong check digit, the 31st of February) stay. `a/b/yyyy` is month first
+    wrong check digit, the 31st of February) stay. A card or account number
+    is found beside other numbers and words ("4111 1111 1111 1111 12/27"): of
+    the valid numbers from the first start an account number of its country's
+    length, else the longest. `inverse` reads by the same rule, so where the
+    digits beside a pseudonym make it a longer valid number by chance (one in
+    ten at most), that number cannot be undone. `a/b/yyyy` is month first
     unless `day_first`. Rows are treated one by one; whatever other columns
     there are pass through; an empty table stays empty.
     """
     t = F.col(text)
     # every kind but e-mail holds a digit, e-mail an at sign
-    found = docs.withColumn("_found", F.when(t.isNull(), F.lit(None)).when(
-        t.contains("@"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).when(
-        t.rlike("[0-9]"), F.regexp_extract_all(t, F.lit(NUMERIC), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    searched = docs.withColumn("_pattern", F.when(t.contains("@") | t.rlike("[0-9]"), pattern_of(t)))
+    found = searched.withColumn("_found", F.when(t.isNull(), F.lit(None)).when(
+        F.col("_pattern").isNotNull(), F.regexp_extract_all(t, F.col("_pattern"), F.lit(0))).otherwise(
+        F.array().cast("array<string>")))
     made = found.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key, inverse, day_first)))
-    between = F.when(t.contains("@"), F.split(t, ANY, -1)).otherwise(F.split(t, NUMERIC, -1))
+    between = F.split(t, F.col("_pattern"), -1)
     rebuilt = F.when(F.size("_found") > 0, F.array_join(F.flatten(F.zip_with(
         between, "_new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")).otherwise(t)
     changed = F.filter(F.arrays_zip("_found", "_new"), lambda z: z["_found"] != z["_new"])
     values = F.transform(changed, lambda z: F.struct(kind_of(z["_found"]).alias("kind"), z["_new"].alias("pseudonym")))
-    return made.withColumns({"pii_values": values, text: rebuilt}).drop("_found", "_new")
+    return made.withColumns({"pii_values": values, text: rebuilt}).drop("_pattern", "_found", "_new")

@@ -105,3 +105,26 @@ def test_long_texts_are_linear(spark):
     texts = ["a" * 2_000_000, "1" * 1_000_000, "1.2." * 300_000, "x@" * 300_000, "+1 " * 300_000, "A1" * 500_000]
     out = pseudonymise(frame(spark, texts), "k").select("doc_id", "text").collect()
     assert len(out) == len(texts)
+
+
+def texts_of(spark, texts, key="k1", **kw):
+    return [r.text for r in pseudonymise(frame(spark, texts), key, **kw).orderBy("doc_id").collect()]
+
+
+def test_numbers_beside_numbers_and_words(spark):
+    card, iban, spaced = "4111111111111111", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332"
+    groups = "4111 1111 1111 1111"
+    rows = [f"{groups} 12/27", f"{groups} 123", f"{card} 2 items", f"12 {groups}", f"{groups} 555-123-4567",
+            f"1234 5678 {groups} 99 {groups}", f"no 7-4111-1111-1111-1111-22 x", f"{spaced} EUR", f"{iban} BIC",
+            f"AB12 {spaced} {spaced} PAID NOW", f"{iban} 4111 1111 1111 1111 4111 1111 1111 1112"]
+    out = texts_of(spark, [card, iban, *rows])
+    c, b = out[:2]
+    assert c != card and luhn(c) and b != iban and mod97(b) == 1
+    in4 = lambda x: " ".join(x[i: i + 4] for i in range(0, len(x), 4))
+    phone = texts_of(spark, ["555-123-4567"])[0]
+    assert out[2:] == [f"{in4(c)} 12/27", f"{in4(c)} 123", f"{c} 2 items", f"12 {in4(c)}", f"{in4(c)} {phone}",
+                       f"1234 5678 {in4(c)} 99 {in4(c)}", f"no 7-{in4(c).replace(' ', '-')}-22 x", f"{in4(b)} EUR", f"{b} BIC",
+                       f"AB12 {in4(b)} {in4(b)} PAID NOW", f"{b} {in4(c)} 4111 1111 1111 1112"]
+    assert texts_of(spark, out[2:], inverse=True) == rows
+    values = pseudonymise(frame(spark, rows[5:6]), "k1").first().pii_values
+    assert [(v.kind, v.pseudonym) for v in values] == [("card", in4(c))] * 2
