@@ -25,7 +25,9 @@ ROUNDS = 5  # pairs of half rounds
 PATTERNS: dict[str, str] = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "ipv4": r"(?=\d)(?<![\w.-])(?:\d{1,3}\.){3}\d{1,3}(?![\w-]|\.\d)",
-    "date": r"(?=\d)(?<![\w.,/-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|[.,]\d)",
+    # fields of a line and the date of a timestamp, too
+    "date": r"(?=\d)(?<![\w./-])(?:\d{4}-\d{2}-\d{2}(?:(?=[Tt]\d{2}|[Zz](?!\w))|(?![\w/-]|\.\d))"
+            r"|(?:\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d))",
     "ssn": r"(?=\d)(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-]|\.\d)",
     "phone": r"(?=[+(\d])(?:(?<![\w.+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])"
              r"|(?<![\w.])\(\d{3}\) ?\d{3}-\d{4}(?![\w-])|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]|\.\d))",

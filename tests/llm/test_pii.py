@@ -128,3 +128,16 @@ def test_numbers_beside_numbers_and_words(spark):
     assert texts_of(spark, out[2:], inverse=True) == rows
     values = pseudonymise(frame(spark, rows[5:6]), "k1").first().pii_values
     assert [(v.kind, v.pseudonym) for v in values] == [("card", in4(c))] * 2
+
+
+def test_dates_in_lines_and_timestamps(spark):
+    prose = texts_of(spark, ["born 1980-01-02 in", "31.12.1999", "12/31/1999"])
+    iso, dotted, slashed = prose[0][5:15], prose[1], prose[2]
+    assert iso != "1980-01-02" and dotted != "31.12.1999"
+    rows = ["John,1980-01-02,x", "7,1980-01-02,5", "1980-01-02T10:00", "at 1980-01-02T10:00:00.123Z,1980-01-02t10:00:00+01:00",
+            "1980-01-02T101500Z 1980-01-02Z", "a,31.12.1999,2", "1,12/31/1999,3,1980-01-02", "1980-01-02,"]
+    out = texts_of(spark, rows)
+    assert out == [r.replace("1980-01-02", iso).replace("31.12.1999", dotted).replace("12/31/1999", slashed) for r in rows]
+    assert texts_of(spark, out, inverse=True) == rows
+    stay = ["v1980-01-02", "1980-01-02-7", "1.31.12.1999", "1980-01-02Tx", "1980-01-02/7", "1980-01-023", "John,1980-02-30,x"]
+    assert texts_of(spark, stay) == stay
