@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 ROUNDS = 5  # pairs of half rounds
 
 # Patterns are linear on long texts: each starts only where no character of
-# its own may stand before it, and repeats are bounded. A first character is
-# tested before anything else, so most positions cost one comparison.
+# its own may stand before it, and repeats are bounded, or possessive behind a
+# keyword. A first character is tested before anything else, so most positions
+# cost one comparison.
 PATTERNS: dict[str, str] = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "ipv4": r"(?=\d)(?<![\w.-])(?:\d{1,3}\.){3}\d{1,3}(?![\w-]|\.\d)",
@@ -35,7 +36,7 @@ PATTERNS: dict[str, str] = {
     "iban": r"(?=[A-Z]{2}\d{2})(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "credential": r"(?=[AaPpTtSs])(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
                   r"|(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?"
-                  r"(?=[A-Za-z+/_-]{0,127}\d)[A-Za-z0-9+/_-]{8,128})",
+                  r"(?=[A-Za-z+/_.=-]{0,127}\d)(?=[A-Za-z0-9+/_-]{8})[A-Za-z0-9+/_-]++(?:[.=]++[A-Za-z0-9+/_-]++)*+)",
 }
 # Card and account numbers run into the words beside them, so a text is searched
 # for the valid ones among all that start and end where a number may, not for
@@ -75,9 +76,15 @@ def feistel(x: Column, radix: Column, tweak: Column, key: str, inverse: bool = F
             radices = F.when(left, s["ra"]).otherwise(s["rb"])
             seed = F.sha2(F.concat_ws("|", F.lit(key), s["tweak"], j.cast("string"),
                                       F.array_join(other.cast("array<string>"), ",")), 512)
-            new = let(F.struct(seed.alias("h"), moved.alias("m"), radices.alias("r")), lambda z: F.transform(
+            # a hash moves 32 numbers; each later block of a long half has a hash of its own
+            blocks = lambda h, m: F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / F.lit(32)).cast(
+                "int")), lambda n: F.when(n == 0, h).otherwise(F.sha2(F.concat_ws("|", h, n.cast("string")), 512)))
+            seeded = let(F.struct(seed.alias("h"), moved.alias("m"), radices.alias("r")), lambda z: F.struct(
+                blocks(z["h"], z["m"]).alias("h"), z["m"].alias("m"), z["r"].alias("r")))
+            new = let(seeded, lambda z: F.transform(
                 z["m"], lambda e, i: F.pmod(e + sign * F.pmod(F.conv(F.substring(
-                    z["h"], (i % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.get(z["r"], i)), F.get(z["r"], i))))
+                    F.get(z["h"], F.floor(i / F.lit(32)).cast("int")), (i % 32) * 4 + 1, F.lit(4)), 16, 10).cast("int"),
+                    F.get(z["r"], i)), F.get(z["r"], i))))
             return let(new, lambda m: F.struct(F.when(left, m).otherwise(a).alias("a"),
                                                F.when(left, b).otherwise(m).alias("b")))
 
@@ -112,10 +119,8 @@ def _radix(c: Column, hexadecimal: Column) -> Column:
 
 def _like(v: Column, plain: Column) -> Column:
     """The letters and digits of `plain` in place of those of `v`."""
-    state = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-    return F.aggregate(_chars(v), state, lambda s, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(
-        F.concat(s["out"], F.substring(plain, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(
-        F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))), lambda s: s["out"])
+    return F.array_join(F.zip_with(F.split(v, "[0-9A-Za-z]", -1), _chars(plain), lambda other, c: F.concat(
+        other, F.coalesce(c, F.lit("")))), "")
 
 
 def luhn_sum(digits: Column) -> Column:

@@ -141,3 +141,33 @@ def test_dates_in_lines_and_timestamps(spark):
     assert texts_of(spark, out, inverse=True) == rows
     stay = ["v1980-01-02", "1980-01-02-7", "1.31.12.1999", "1980-01-02Tx", "1980-01-02/7", "1980-01-023", "John,1980-02-30,x"]
     assert texts_of(spark, stay) == stay
+
+
+def test_long_credentials_leave_nothing(spark):
+    import random
+    rng = random.Random(3)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    run = lambda n: "a1" + "".join(rng.choice(chars) for _ in range(n - 2))
+    secrets = [run(200), f"{run(36)}.{run(300)}.{run(43)}", f"{run(40)}=={run(9)}", run(5_000), run(40), "a1" * 100]
+    rows = [f"token={x}, then" for x in secrets] + ['"api_key": x', "secret: information. And 12", f"password = '{run(150)}'. Next"]
+    out = texts_of(spark, rows)
+    for secret, before, after in zip(secrets, rows, out):
+        assert after.startswith("token=") and after.endswith(", then") and len(after) == len(before)
+        kept = sum(a == b for a, b in zip(secret, after[6:]) if a.isalnum()) / len(secret)
+        assert kept < 0.3 and secret[-9:] != after[6:-6][-9:]
+        assert [c for c in secret if not c.isalnum()] == [c for c in after[6:-6] if not c.isalnum()]
+    assert out[6:8] == rows[6:8] and out[8].endswith("'. Next")
+    # blocks of a long half do not share a stream
+    moved = [(ord(b) - ord(a)) % 26 if a == "a" else None for a, b in zip(secrets[5], out[5][6:-6])]
+    assert moved[0:32] != moved[32:64]
+    assert texts_of(spark, out, inverse=True) == rows
+    # the first block has the stream it had
+    x = secrets[4]
+    base = lambda c: 48 if c.isdigit() else 65 if c.isupper() else 97
+    y = feistel([ord(c) - base(c) for c in x], [10 if c.isdigit() else 26 for c in x], "credential", "k1")
+    assert out[4][6:-6] == "".join(chr(base(c) + n) for c, n in zip(x, y))
+
+
+def test_long_credentials_are_linear(spark):
+    texts = ["token=" + "a1" * 50_000, "token=" * 100_000, "token=a1b2c3d4." * 20_000]
+    assert [len(t) for t in texts_of(spark, texts)] == [len(t) for t in texts]
