@@ -77,18 +77,19 @@ def band(i: int, permille: int) -> tuple[int, int, int, int]:
 
 
 def bands_of(n: int, permille: int) -> list[int]:
-    """The bands that a set of n shingles takes part in: its own, and the one
-    below if a set there can be linked with it."""
+    """The bands that a set of n shingles takes part in: its own, and those
+    below down to the one of the smallest set it can be linked with."""
     i = int(np.log(n) / np.log(BAND) + 1e-9)
     while band(i, permille)[0] > n:
         i -= 1
     while band(i, permille)[1] <= n:
         i += 1
-    low = band(i, permille)[0]
-    below = i - 1
-    while below >= 0 and band(below, permille)[0] == band(below, permille)[1]:
+    out, below = [i], i - 1
+    while below >= 0 and n * permille <= (band(below, permille)[1] - 1) * 1000:
+        if band(below, permille)[0] < band(below, permille)[1]:
+            out.append(below)
         below -= 1
-    return [i] + ([below] if below >= 0 and n * permille <= (low - 1) * 1000 else [])
+    return out
 
 
 def band_keys(shingles: np.ndarray, permille: int) -> np.ndarray:

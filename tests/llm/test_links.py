@@ -120,6 +120,23 @@ def test_jaccard_null_and_repeated_ids(spark):
     assert jj.jaccard_components(df.limit(0)).count() == 0 and jj.keep_one(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("permille", [850, 800, 600, 500, 300])
+def test_sizes_within_the_threshold_share_a_band(permille):
+    for n in range(1, 700):
+        own = jj.bands_of(n, permille)[0]
+        for m in range(n, min(700, n * 1000 // permille + 1)):
+            assert own in jj.bands_of(m, permille), (n, m)
+
+
+def test_low_thresholds_link_across_bands(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(words[:42])), (2, " ".join(words[:69])), (3, " ".join(words[100:140])), (4, " ".join(words[100:180]))]
+    for threshold, homes in ((0.6, [1, 1, 3, 4]), (0.5, [1, 1, 3, 3])):
+        found = jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, threshold)
+        assert [r.component_id for r in found.orderBy("doc_id").collect()] == homes
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute(rows, 1, round(threshold * 1000))
+
+
 def test_sketches_bound_the_difference():
     """Hamming distance of parity sketches, and the pigeonhole of the keys."""
     rng = np.random.default_rng(5)
