@@ -5,9 +5,10 @@ tokens left, a piece goes where the sum of N(g)^2 over all gaps becomes
 smallest (a full bin is no longer open; a new bin is one more choice).
 
 At scale: pieces are dealt to groups of about `group_pieces` pieces, each
-packed by one task, longest piece first. What a group leaves partly filled
-is packed again, as whole blocks, in `rounds` further rounds in which groups
-are merged, so waste does not grow with the number of groups.
+packed by one task, longest piece first. Whatever bins can still take another
+are packed again, as whole blocks, in rounds of at most half as many groups,
+until one group is left or large groups have next to nothing to merge. The
+rule is a heuristic: neither it nor the rounds promise the fewest sequences.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from callscope.llm.tokens import worker_encoder
 CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 16_384
+#: Groups of so many blocks show what there is to merge.
+TELLING_BLOCKS = 4_096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, slot long"
 
@@ -126,31 +129,42 @@ def _pack_round(blocks: DataFrame, n_groups: int, capacity: int) -> DataFrame:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES,
-         rounds: int = 1) -> DataFrame:
+         rounds: int | None = None) -> DataFrame:
     """Add sequence_id and offset to `pieces` (columns length, 0 < length <=
     capacity, and slot, unique per row), dealing the rows to sequences of at
     most `capacity` tokens with gapless offsets from 0. Full pieces are
     sequences of their own and are not shuffled for packing. Rows that are
     equal but for `slot` are packed one by one. No rows give no rows.
 
-    Sequences that a group leaves with room for its smallest leftovers are
-    packed again as whole blocks, `rounds` times, in ever fewer groups.
+    Sequences with room for the smallest one are packed again as whole
+    blocks, in ever fewer groups, until all are in one group, or (where groups
+    are large) a round merges less than a hundredth of them; at most `rounds`
+    times, if given.
     """
     pieces = materialize(pieces, "pieces")
     full = F.col("length") >= capacity
     n = pieces.filter(~full).count()
     blocks = pieces.filter(~full).select(F.col("slot").alias("block"), F.col("length").alias("fill"))
-    placed = materialize(_pack_round(blocks, max(1, n // group_pieces), capacity), "placed")
-    for _ in range(rounds):
-        # only bins at most half full can take part with another in a merge with gain
-        spare = placed.filter(F.col("total") <= capacity // 2).select(
+    groups = max(1, n // group_pieces)
+    placed = materialize(_pack_round(blocks, groups, capacity), "placed")
+    done = False
+    while n and not done and rounds != 0:
+        # a bin without room for the smallest one is part of no merge
+        smallest = placed.agg(F.min("total")).first()[0]
+        spare = placed.filter(F.col("total") <= capacity - smallest).select(
             F.col("home").alias("block"), F.col("total").alias("fill")).distinct()
         left = spare.count()
         if left < 2:
             break
-        again = _pack_round(spare, max(1, left // group_pieces), capacity).select(
+        groups = max(1, min(left // group_pieces, groups // 2))
+        again = materialize(_pack_round(spare, groups, capacity).select(
             F.col("block").alias("home"), F.col("home").alias("new_home"), F.col("at").alias("shift"),
-            F.col("total").alias("new_total"))
+            F.col("total").alias("new_total")), "placed-again")
+        merged = left - again.select("new_home").distinct().count()
+        done = groups == 1 or merged * 100 < left and left // groups >= TELLING_BLOCKS
+        rounds = None if rounds is None else rounds - 1
+        if not merged:
+            continue
         placed = materialize(placed.join(again, "home", "left").select(
             "block", F.coalesce("new_home", "home").alias("home"),
             (F.col("at") + F.coalesce("shift", F.lit(0))).alias("at"),

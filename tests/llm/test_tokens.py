@@ -185,3 +185,23 @@ def test_packing_is_tight_and_sequences_hold_the_ids(spark):
     assert len(seqs) == n
     for r in rows:
         assert seqs[r.sequence_id].ids[r.offset: r.offset + r.length] == r.ids
+
+
+@pytest.mark.parametrize("low, high, group_pieces", [(700, 1200, 8), (300, 1900, 16), (20, 2047, 8), (900, 1148, 2)])
+def test_sequences_of_groups_that_fit_together_are_merged(spark, low, high, group_pieces):
+    rng = np.random.default_rng(5)
+    rows = [(i, 0, 0, int(n), 0, i) for i, n in enumerate(rng.integers(low, high + 1, 800))]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, slot long")
+    packed = pack(pieces, 2048, group_pieces).collect()
+    assert len(packed) == 800
+    n = _check_packing(packed, 2048)
+    totals = {}
+    for r in packed:
+        totals[r.sequence_id] = totals.get(r.sequence_id, 0) + r.length
+    totals, pairs = sorted(totals.values()), 0
+    while len(totals) > 1:
+        if totals[0] + totals[-1] <= 2048:
+            pairs += 1
+            del totals[0]
+        del totals[-1]
+    assert pairs == 0
