@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callscope.llm.alignment import alignment
 from callscope.llm.common import crc_mod4, read_table, scratch_path, ship_package
 from callscope.llm.embed_dedup import near_duplicates
+from callscope.llm.exact_dedup import exact_duplicates
 from callscope.llm.fingerprints import fingerprints
 from callscope.llm.jaccard_join import jaccard_components
 from callscope.llm.langid import identify, train_model
@@ -19,6 +21,7 @@ from callscope.llm.spm import encoding_digest
 from callscope.llm.token_counts import token_counts
 from callscope.llm.token_files import read_token_files, write_token_files
 from callscope.llm.toxicity import score, train_scorer
+from callscope.llm.variants import spelling_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,6 +89,11 @@ links AS (SELECT a, b FROM once UNION ALL SELECT b, a FROM once),
 home AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, h.component_id FROM n JOIN home h ON n.doc_id = h.id"""
 
+OP12_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
 
 @register("op1_best_fit_packing")
 def op1(spark, sf_dir):
@@ -156,3 +164,21 @@ def op5(spark, sf_dir):
     out = score(docs.select("doc_id", "text"), scorer)
     return out.select("doc_id", F.coalesce(crc_mod4(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op11_tokenizer_alignment")
+def op11(spark, sf_dir):
+    """Tokens of two tokenizers aligned over every document."""
+    return alignment(documents(spark, sf_dir))
+
+
+@register("op12_exact_dedup", OP12_SQL)
+def op12(spark, sf_dir):
+    """The winner of every document's group of equal texts."""
+    return exact_duplicates(documents(spark, sf_dir))
+
+
+@register("op13_spelling_variants")
+def op13(spark, sf_dir):
+    """Near words, forms and roots of the words of all documents."""
+    return spelling_variants(documents(spark, sf_dir))
