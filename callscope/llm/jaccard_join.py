@@ -37,6 +37,7 @@ BAND = 1.6
 SKETCH_WORDS = 16  # of 64 bits
 BLOCK_ROWS = 2_048
 BLOCK_SHINGLES = 400_000
+SLICE_ROWS = 512
 U = np.uint64
 
 
@@ -119,32 +120,48 @@ def parity_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _features(docs: DataFrame, n: int, permille: int) -> DataFrame:
-    """doc_id, n_shingles, sid (hash of the set; null if empty), and, at a
-    task's first sight of a set, its keys and sketch."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()),
-                        ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
-
+def _first_seen(n: int, emit, schema: pa.Schema):
+    """`mapInArrow` body over (doc_id, text): `emit(doc_ids, sets, ids, new)`
+    for every slice of a batch, where `new` marks a task's first sight of a set."""
     def run(batches):
         worker_tool(("shingles",), lambda: None)  # what the worker kept for another step goes
         shingler, seen = Shingler(n), set()
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                s = shingler(text)
-                if not len(s):
-                    rows.append((0, None, None, None))
-                    continue
-                sid = set_id(s)
-                if sid in seen:
-                    rows.append((len(s), sid, None, None))
-                else:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                sets = [shingler(t) for t in part.column(1).to_pylist()]
+                ids = [set_id(s) for s in sets]
+                new = []
+                for sid in ids:
+                    new.append(sid is not None and sid not in seen)
                     seen.add(sid)
-                    rows.append((len(s), sid, band_keys(s, permille).view(np.int64), parity_sketch(s)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*rows), list(schema)[1:]))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c
+                                                  for c, f in zip(emit(part.column(0), sets, ids, new), schema)], schema=schema)
+    return run
+
+
+def _features(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, n_shingles, sid (hash of the set; null if empty), and, at a
+    task's first sight of a set, its sketch."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("sketch", pa.binary())])
+
+    def emit(doc_ids, sets, ids, new):
+        return doc_ids, [len(s) for s in sets], ids, [parity_sketch(s) if x else None for s, x in zip(sets, new)]
+
+    return docs.mapInArrow(_first_seen(n, emit, schema), "doc_id long, n_shingles long, sid long, sketch binary")
+
+
+def _keyed(docs: DataFrame, n: int, permille: int) -> DataFrame:
+    """key, sid: the keys of every set, once a task. They go straight to the
+    shuffle: as a table they would be as large as the texts."""
+    schema = pa.schema([("key", pa.int64()), ("sid", pa.int64())])
+
+    def emit(doc_ids, sets, ids, new):
+        keys = [band_keys(s, permille).view(np.int64) for s, x in zip(sets, new) if x]
+        owner = np.repeat(np.array([i for i, x in zip(ids, new) if x], np.int64), [len(k) for k in keys])
+        return (np.concatenate(keys) if keys else np.empty(0, np.int64)), owner
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, keys array<long>, sketch binary")
+    return docs.mapInArrow(_first_seen(n, emit, schema), "key long, sid long")
 
 
 EDGES = "a long, b long"
@@ -239,12 +256,12 @@ def _marked(cols: DataFrame, ids: DataFrame) -> DataFrame:
 def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, text): their (doc_id, n_shingles, sid), and (sid,
     root, component_id) of every set, where linked sets have one root."""
-    rows = materialize(_features(cols, n, permille), "jaccard-features")
+    rows = materialize(_features(cols, n), "jaccard-features")
     first = rows.groupBy("sid").agg(F.min("doc_id").alias("first")).filter("sid is not null")
 
     # sets by key; groups with the same members become one
     own = Window.partitionBy("key")
-    keyed = rows.select(F.explode("keys").alias("key"), "sid")
+    keyed = _keyed(cols, n, permille)
     met = (keyed.withColumns({"lo": F.min("sid").over(own), "hi": F.max("sid").over(own),
                               "x": F.bit_xor(F.xxhash64("sid")).over(own)})
            .filter("lo != hi").select(F.xxhash64("lo", "hi", "x").alias("grp"), "sid"))
