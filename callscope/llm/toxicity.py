@@ -43,6 +43,9 @@ LEXICON_ROWS_PER_LABEL = 4_000
 CLASSIFIER_ROWS_PER_CLASS = 4_000
 LEXICONS = 6
 HASHED = 1 << 16
+#: Words of a worker's cache; texts that a task holds as strings at once.
+WORDS_CACHED = 80_000
+SLICE_ROWS = 512
 PREFIXES = (4, 5, 6)
 EDGE = ".,;:!?\"'()[]{}<>*#%&$|-_…«»“”’"
 ABUSE = re.compile(r"\b(?:you|u|ya)(?:'re| are| r)? (?:an? |all |such an? )?\w+(?: \w+)?!|\bshut up\b|\bhate (?:you|them)\b", re.I)
@@ -119,7 +122,7 @@ class Voters:
 
     def __init__(self, lexicon: list[str]):
         self.of = {t: i % LEXICONS for i, t in enumerate(lexicon)}
-        self.cache = Generations(self._word, 150_000)
+        self.cache = Generations(self._word, WORDS_CACHED)
 
     def _word(self, w: str) -> int:
         mask = 0
@@ -278,8 +281,11 @@ def train_scorer(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
         worker_tool(("votes",), lambda: None)  # what the worker kept for another step goes
         voters = Voters(lexicon)
         for batch in batches:
-            out = [json.dumps(voters.read(t)[0]) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(out)], schema=schema)
+            # some hundred texts at a time are Python strings
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                out = [json.dumps(voters.read(t.as_py())[0]) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(out)], schema=schema)
 
     votes = materialize(docs.mapInArrow(vote, "doc_id long, pattern string"), "votes")
     found = votes.join(known, "doc_id", "left").groupBy("pattern", "label").count().collect()
