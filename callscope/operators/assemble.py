@@ -108,22 +108,38 @@ def _merge_tool_blocks() -> Column:
     return tools_from_chunks(chunks)
 
 
+def _let(value: Column, body) -> Column:
+    """`body(value)` with `value` worked out once (an inlined one would be
+    worked out again for every element of a lambda around it)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _tools_of_sorted(pieces: Column) -> Column:
+    """One tool per run of equal `idx` in pieces sorted by (idx, seq, at)."""
+    def tool(run: Column) -> Column:
+        head = F.get(run, 0)
+        return F.struct(head["idx"].alias("index"), head["id"].alias("id"), head["type"].alias("type"),
+                        head["name"].alias("name"),
+                        F.array_join(F.transform(run, lambda p: p["arguments"]), "").alias("arguments"))
+
+    def runs(starts: Column) -> Column:
+        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(pieces)))
+        return F.zip_with(starts, ends, lambda start, end: _let(F.slice(pieces, start + 1, end - start), tool))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1),
+                      lambda i: (i == 0) | (F.get(pieces, i)["idx"] != F.get(pieces, i - 1)["idx"]))
+    return _let(starts, runs)
+
+
 def tools_from_chunks(chunks: Column) -> Column:
-    """The tools of one call from its tool chunks (array of (seq, tc)) in
-    seq order; the work is bounded by the tool pieces of one response."""
-    pieces = F.flatten(F.transform(chunks, lambda c: F.transform(
-        c["tc"], lambda p: F.struct(F.coalesce(p["index"], F.lit(0)).alias("idx"), p["id"].alias("id"),
-                                    p["type"].alias("type"), p["name"].alias("name"),
-                                    p["arguments"].alias("arguments")))))
-    idxs = F.array_sort(F.array_distinct(F.transform(pieces, lambda p: p["idx"])))
-    tools = F.transform(idxs, lambda k: F.struct(
-        k.alias("index"),
-        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["id"].alias("id"),
-        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["type"].alias("type"),
-        F.get(F.filter(pieces, lambda p: p["idx"] == k), 0)["name"].alias("name"),
-        F.array_join(F.transform(F.filter(pieces, lambda p: p["idx"] == k), lambda p: p["arguments"]), "")
-        .alias("arguments")))
-    return F.when(F.size(pieces) > 0, tools).cast(TOOL_T)
+    """The tools of one call from its tool chunks (array of (seq, tc)): the
+    pieces are sorted by index and place once, then cut where the index
+    changes, so the work follows the number of pieces."""
+    pieces = F.array_sort(F.flatten(F.transform(chunks, lambda c: F.transform(
+        c["tc"], lambda p, i: F.struct(F.coalesce(p["index"], F.lit(0)).alias("idx"), c["seq"].alias("seq"), i.alias("at"),
+                                       p["id"].alias("id"), p["type"].alias("type"), p["name"].alias("name"),
+                                       p["arguments"].alias("arguments"))))))
+    return _let(pieces, lambda p: F.when(F.size(p) > 0, _tools_of_sorted(p))).cast(TOOL_T)
 
 
 def assemble_tools(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
@@ -181,8 +197,12 @@ def raw_stream_response(final_text: Column, final_usage: Column, final_finish: C
 
 def streamed_results(chunks: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """A1-A4, A7, A8 per streamed call, columns prefixed `s_`."""
-    a = assemble_stream(chunks, block)
-    return a.select(
+    return stream_columns(assemble_stream(chunks, block))
+
+
+def stream_columns(assembled: DataFrame) -> DataFrame:
+    """The rows of `assemble_stream` with columns prefixed `s_`."""
+    return assembled.select(
         "call_id",
         F.col("chat_text").alias("s_chat_text"),
         F.col("completion_text").alias("s_completion_text"),
@@ -232,7 +252,17 @@ def resolve_results(calls: DataFrame, chunks: DataFrame, block: int = DEFAULT_BL
     so the join reuses that partitioning.
     """
     c = calls.where(F.col("error").isNull())
-    j = c.join(streamed_results(chunks, block), "call_id", "left")
+    return _results(c.join(streamed_results(chunks, block), "call_id", "left"))
+
+
+def resolve_streamed(calls: DataFrame, assembled: DataFrame) -> DataFrame:
+    """A11 for streamed calls whose chunks were assembled before (rows of
+    `assemble_stream`, with `complete`): the same columns, with `complete`."""
+    c = calls.where(F.col("is_stream") & F.col("error").isNull())
+    return _results(c.join(stream_columns(assembled), "call_id")).join(assembled.select("call_id", "complete"), "call_id")
+
+
+def _results(j: DataFrame) -> DataFrame:
     return j.select("call_id", *result_columns(j)).withColumnsRenamed({
         "r_response": "response", "r_tool_calls": "tool_calls", "r_usage": "usage",
         "r_finish": "finish_reason", "r_logprobs": "logprobs"})

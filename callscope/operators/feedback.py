@@ -75,11 +75,11 @@ def feedback_by_key(feedback: DataFrame) -> DataFrame:
 def event_feedback(events: DataFrame, feedback: DataFrame) -> DataFrame:
     """B3 + B4: events with their rating, better response and deleted flag
     (the event is kept; `is_deleted` marks it)."""
-    fb = feedback_by_key(feedback)
-    # rows without a key (run errors) go around the join, not all to one task
-    keyed = events.where(F.col("feedback_key").isNotNull()).join(fb, "feedback_key", "left")
-    keyless = events.where(F.col("feedback_key").isNull())
-    j = keyed.unionByName(keyless, allowMissingColumns=True)
+    fb = feedback_by_key(feedback).withColumnRenamed("feedback_key", "_fb_key")
+    # rows without a key (run errors) match nothing; their call ids spread them over the join's tasks
+    key = F.coalesce(F.col("feedback_key"), F.concat(F.lit("none-"), F.col("call_id")))
+    j = events.withColumn("_key", key).join(
+        fb, (F.col("_key") == F.col("_fb_key")) & F.col("feedback_key").isNotNull(), "left").drop("_key", "_fb_key")
     return j.withColumns({
         "rating": F.col("fb.rating"),
         "better_response": F.col("fb.better_response"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.operators.events import MODEL_PROVIDER, Config, conform_events
+from callscope.operators.events import MODEL_PROVIDER, Config, conform_events, gate_api_key
 from callscope.operators.ordering import previous_within, rank_within
 
 # Fixed values of the reference's run handling.
@@ -61,7 +61,8 @@ def message_supported() -> Column:
 
 
 def _assistant_event(route_error: bool, cfg: Config) -> list[Column]:
-    """E3 columns shared by message and error events (after J1)."""
+    """E3 columns shared by message and error events (after J1); `completed_at`
+    is when the run ended."""
     name = F.coalesce(F.col("a_name"), F.col("assistant_id"))
     template = F.array(*[
         F.struct(F.lit(role).alias("role"),
@@ -75,6 +76,7 @@ def _assistant_event(route_error: bool, cfg: Config) -> list[Column]:
         F.lit(None).cast("string").alias("prompt_template_text"),
         template.alias("prompt_template_chat"),
         F.lit(ASSISTANT_RESPONSE_TIME).cast("bigint").alias("response_time"),
+        F.col("completed_at").alias("started_at"),
         F.struct(F.lit(MODEL_PROVIDER).alias("model_provider"), F.lit("assistants").alias("model_type"),
                  F.coalesce(F.col("model"), F.col("a_model")).alias("model"),
                  F.lit(None).cast("int").alias("max_tokens"),
@@ -139,8 +141,15 @@ def message_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame,
                    cfg: Config = Config(), page: int | None = None) -> DataFrame:
     """M4 + E3: one event per supported message: response = its text,
     `chat_history` param = that message, chat id = feedback key = its id."""
-    m = run_assistant_join(run_messages(runs, messages, cursors, page), assistants)
-    text = F.get(F.col("content"), 0)["value"]
+    m = run_messages(runs, messages, cursors, page).withColumn("text", F.get(F.col("content"), 0)["value"])
+    return run_message_events(m, assistants, cfg)
+
+
+def run_message_events(sent: DataFrame, assistants: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """M4 + E3 from messages (msg_id, role, text) with the columns of the run
+    that reads them, in a table or a stream; a `late` column is kept."""
+    m = run_assistant_join(sent, assistants)
+    text = F.col("text")
     hist = F.create_map(F.lit("chat_history"),
                         F.array(F.struct(F.col("role").alias("role"), text.alias("content"))))
     return m.select(
@@ -152,6 +161,7 @@ def message_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame,
         text.alias("response"),
         F.lit(None).cast("array<string>").alias("response_errors"),
         F.col("msg_id").alias("chat_id"),
+        *[c for c in ("late",) if c in m.columns],
     )
 
 
@@ -212,6 +222,8 @@ def delete_tombstones(deletes: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 def assistant_events(runs: DataFrame, assistants: DataFrame, messages: DataFrame, cursors: DataFrame,
                      cfg: Config = Config(), page: int | None = None) -> DataFrame:
-    """Message events and run error events in the event schema."""
-    return conform_events(message_events(runs, assistants, messages, cursors, cfg, page)) \
+    """E3 with E6: message events and run error events in the event schema,
+    those without an API key left out. Their time is the run's completion."""
+    found = conform_events(message_events(runs, assistants, messages, cursors, cfg, page)) \
         .unionByName(conform_events(run_error_events(runs, assistants, cfg)))
+    return gate_api_key(found)

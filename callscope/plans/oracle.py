@@ -205,11 +205,12 @@ FIXTURES["runs"] = ([], """
 SELECT concat('run-', conv_id, '-', k) AS run_id, CAST(conv_id AS VARCHAR) AS thread_id, status,
   concat('asst-', (conv_id + k) % 25) AS assistant_id,
   CASE WHEN (conv_id + k) % 4 = 1 THEN NULL ELSE concat('run-tmpl-', conv_id % 3) END AS prompt_template_name,
-  CASE WHEN conv_id % 7 = 3 THEN NULL ELSE concat('key-', conv_id % 3) END AS api_key,
+  CASE WHEN conv_id % 7 = 3 THEN NULL WHEN (conv_id + k) % 9 = 5 THEN ''
+       ELSE concat('key-', conv_id % 3) END AS api_key,
   CASE WHEN conv_id % 5 = 2 THEN 'gpt-4o' END AS model,
   CASE WHEN status IN ('failed', 'cancelled', 'incomplete')
        THEN {'status': 500, 'message': concat('run ', status)} END AS last_error,
-  CASE WHEN status = 'completed' THEN epoch_ms((1704067200 + conv_id * 3600 - k * 60) * 1000) END AS completed_at
+  CASE WHEN status <> 'expired' THEN epoch_ms((1704067200 + conv_id * 3600 - k * 60) * 1000) END AS completed_at
 FROM (SELECT conv_id, k,
         ['completed', 'failed', 'cancelled', 'incomplete', 'expired', 'completed'][(conv_id + 5 * k) % 6 + 1] AS status
       FROM (SELECT DISTINCT conv_id FROM conversations), (VALUES (0), (1), (2)) t(k) WHERE k <= conv_id % 3)
@@ -223,9 +224,13 @@ FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 """)
 
 FIXTURES["messages"] = ([], """
-SELECT CAST(conv_id AS VARCHAR) AS thread_id, concat(conv_id, '-', turn) AS msg_id, turn AS pos, role,
+SELECT CAST(conv_id AS VARCHAR) AS thread_id, concat(conv_id, '-', turn) AS msg_id, CAST(turn AS BIGINT) AS pos, role,
   [{'type': CASE WHEN (conv_id + turn) % 7 = 0 THEN 'image' ELSE 'text' END, 'value': text}] AS content
 FROM conversations
+UNION ALL
+SELECT CAST(1000000000 + c_nationkey % 5 AS VARCHAR), concat(1000000000 + c_nationkey % 5, '-', c_custkey),
+  CAST(c_custkey AS BIGINT), 'user', [{'type': 'text', 'value': c_name}]
+FROM customer
 """)
 
 FIXTURES["cursors"] = (["messages"], """

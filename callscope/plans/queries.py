@@ -527,9 +527,9 @@ def q_run_assistant_join(spark, sf):
 
 
 @register("messages_after_cursor", sql(["after_cursor"], """
-SELECT thread_id, msg_id, pos, n_in_run FROM after_cursor WHERE n_in_run <= 100"""))
+SELECT thread_id, msg_id, pos, n_in_run FROM after_cursor"""))
 def q_messages_after_cursor(spark, sf):
-    """Messages after each thread's cursor, oldest first, one page."""
+    """All messages after each thread's cursor, oldest first."""
     _, _, msgs, cursors = _thread_tables(spark, sf)
     return th.messages_after_cursor(msgs, cursors).select("thread_id", "msg_id", "pos", "n_in_run")
 
@@ -801,16 +801,31 @@ FROM (SELECT concat('ev-', event_id) AS call_id,
 WHERE prompt_template_name IS NOT NULL AND prompt_template_name <> '' AND api_key IS NOT NULL AND api_key <> ''
   AND (chain_id IS NULL OR regexp_matches(chain_id, '{sp.UUID_RE}'))"""))(sj.stream_gate)
 
-_STREAM_TEXT = "SELECT concat('call-', conv_id, '-', turn) AS call_id, text{extra} FROM conversations WHERE role = 'assistant'"
-register("stream_asm", sql([], _STREAM_TEXT.format(extra=", true AS complete")))(sj.stream_asm)
-register("stream_asm_session", sql([], _STREAM_TEXT.format(extra="")))(sj.stream_asm_session)
-register("stream_cursor", sql(["cursors"], """
-SELECT CAST(c.conv_id AS VARCHAR) AS thread_id, concat(c.conv_id, '-', c.turn) AS msg_id, c.turn AS pos
-FROM conversations c LEFT JOIN cursors k ON CAST(c.conv_id AS VARCHAR) = k.thread_id
-WHERE (c.conv_id + c.turn) % 7 <> 0 AND c.turn > coalesce(k.last_pos, -1)"""))(sj.stream_cursor)
+@register("stream_asm", sql(["results", "calls"], """
+SELECT r.call_id, true AS complete, r.response, CAST(to_json(r.tool_calls) AS VARCHAR) AS tool_calls,
+       CAST(to_json(r.usage) AS VARCHAR) AS usage, r.finish_reason, r.logprobs, r.raw_response
+FROM results r JOIN calls c ON r.call_id = c.call_id WHERE c.is_stream"""))
+def q_stream_asm(spark, sf):
+    """The results of all streamed calls, from the chunk log as a stream."""
+    r = sj.stream_asm(spark, sf)
+    return r.select("call_id", "complete", "response", js("tool_calls").alias("tool_calls"), js("usage").alias("usage"),
+                    "finish_reason", "logprobs", "raw_response")
+
+
+@register("stream_cursor", sql(["assistant_events"], f"SELECT {FLAT} FROM assistant_events"))
+def q_stream_cursor(spark, sf):
+    """Assistant events from runs and messages as streams."""
+    return flat_events(sj.stream_cursor(spark, sf))
+
+
+register("stream_asm_session", sql([], """
+SELECT concat('call-', conv_id, '-', turn) AS call_id, text FROM conversations WHERE role = 'assistant'"""))(sj.stream_asm_session)
 register("stream_feedback_join", sql([], """
 SELECT concat('ev-', event_id) AS call_id, concat('fb-', event_id) AS feedback_key,
        CASE WHEN event_id % 7 <> 3 AND event_id % 11 <> 5 THEN CAST(event_id % 5 AS DOUBLE) / 4.0 END AS rating
 FROM events"""))(sj.stream_feedback_join)
-register("stream_dedup", sql([], "SELECT DISTINCT concat('fb-', event_id // 2) AS feedback_key FROM events"))(
-    sj.stream_dedup)
+register("stream_dedup", sql([], """
+SELECT feedback_key, last.rating AS rating, epoch_us(last.ts) AS ts_us, n_copies
+FROM (SELECT concat('fb-', event_id // 2) AS feedback_key, count(*) AS n_copies,
+             arg_max({'ts': ts, 'rating': CAST(event_id % 5 AS DOUBLE) / 4.0}, (ts, event_id % 5)) AS last
+      FROM events GROUP BY event_id // 2)"""))(sj.stream_dedup)

@@ -234,7 +234,7 @@ WHERE m.pos > coalesce(c.last_pos, -1)
 
 STAGES["sent"] = (["after_cursor", "msg_runs"], """
 SELECT a.thread_id, a.msg_id, a.pos, a.role, a.content, a.n_in_run,
-       r.run_id, r.status, r.assistant_id, r.prompt_template_name, r.api_key, r.model
+       r.run_id, r.status, r.assistant_id, r.prompt_template_name, r.api_key, r.model, r.completed_at
 FROM after_cursor a JOIN msg_runs r ON a.thread_id = r.thread_id
 WHERE coalesce(a.content[1].type = 'text', false)
 """)
@@ -253,7 +253,7 @@ SELECT 'assistant' AS event_kind, s.msg_id AS call_id, s.msg_id AS feedback_key,
   CAST(NULL AS VARCHAR[]) AS response_errors,
   {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(s.model, a.model),
     'max_tokens': CAST(NULL AS INTEGER), 'extra': CAST(NULL AS VARCHAR)}} AS model_parameters,
-  CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
+  s.completed_at AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
   CAST(NULL AS {TOOL_T}[]) AS tool_calls,
   CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
                       finish_reason VARCHAR, logprobs VARCHAR)) AS response_metrics,
@@ -277,7 +277,7 @@ SELECT 'assistant' AS event_kind, r.run_id AS call_id, CAST(NULL AS VARCHAR) AS
   [CAST(to_json(r.last_error) AS VARCHAR)] AS response_errors,
   {{'model_provider': 'openai', 'model_type': 'assistants', 'model': coalesce(r.model, a.model),
     'max_tokens': CAST(NULL AS INTEGER), 'extra': CAST(NULL AS VARCHAR)}} AS model_parameters,
-  CAST(NULL AS TIMESTAMP) AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
+  r.completed_at AS started_at, CAST(NULL AS VARCHAR) AS raw_response,
   CAST(NULL AS {TOOL_T}[]) AS tool_calls,
   CAST(NULL AS STRUCT(usage STRUCT(prompt_tokens BIGINT, completion_tokens BIGINT, total_tokens BIGINT),
                       finish_reason VARCHAR, logprobs VARCHAR)) AS response_metrics,
@@ -289,7 +289,8 @@ WHERE r.route = 'error'
 """)
 
 STAGES["assistant_events"] = (["asst_msg_events", "asst_err_events"], """
-SELECT * FROM asst_msg_events UNION ALL BY NAME SELECT * FROM asst_err_events
+SELECT * FROM (SELECT * FROM asst_msg_events UNION ALL BY NAME SELECT * FROM asst_err_events)
+WHERE api_key IS NOT NULL AND api_key <> ''
 """)
 
 STAGES["all_events"] = (["call_events", "assistant_events"], """

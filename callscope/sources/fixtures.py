@@ -21,6 +21,7 @@ from callscope.sources.tables import read_table
 
 # Fixed values of the recipes.
 BASE_EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
+LONG_THREADS = 1_000_000_000  # first id of the long threads
 PIECE_CHARS = 16  # characters per streamed text piece
 CHAT_TEMPLATE = [("system", "You help {name}"), ("chat_history", "{h1} {h2}"), ("user", "{q}")]
 COMPLETION_TEMPLATE = "Answer {name}: {q}"
@@ -282,7 +283,7 @@ def templated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_memo
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One to three assistant runs per conversation (thread =
-    conversation); later ids complete earlier."""
+    conversation); later ids end earlier; some carry an empty API key."""
     conv = read_table(spark, sf_dir, "conversations", "conv_id").distinct()
     c, k = F.col("conv_id"), F.col("k")
     conv = conv.select("conv_id", F.explode(F.sequence(F.lit(0).cast("bigint"), c % 3)).alias("k"))
@@ -294,13 +295,13 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("asst-"), ((c + k) % 25).cast("string")).alias("assistant_id"),
         F.when((c + k) % 4 == 1, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("run-tmpl-"), (c % 3).cast("string"))).alias("prompt_template_name"),
-        F.when(c % 7 == 3, F.lit(None).cast("string"))
+        F.when(c % 7 == 3, F.lit(None).cast("string")).when((c + k) % 9 == 5, F.lit(""))
         .otherwise(F.concat(F.lit("key-"), (c % 3).cast("string"))).alias("api_key"),
         F.when(c % 5 == 2, F.lit("gpt-4o")).alias("model"),
         F.when(status.isin("failed", "cancelled", "incomplete"),
                F.struct(F.lit(500).alias("status"), F.concat(F.lit("run "), status).alias("message")))
         .alias("last_error"),
-        F.when(status == "completed", F.timestamp_millis((F.lit(BASE_EPOCH) + c * 3600 - k * 60) * 1000))
+        F.when(status != "expired", F.timestamp_millis((F.lit(BASE_EPOCH) + c * 3600 - k * 60) * 1000))
         .alias("completed_at"),
     )
 
@@ -321,18 +322,29 @@ def assistants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_memo
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thread messages: every conversation turn, `pos` = turn; some turns
-    are images (unsupported)."""
+    """Thread messages: every conversation turn, `pos` = turn, some of them
+    images (unsupported); and five long threads without runs, one message per
+    customer of a nation, `pos` = customer key."""
     conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     c, t = F.col("conv_id"), F.col("turn")
     ctype = F.when((c + t) % 7 == 0, F.lit("image")).otherwise(F.lit("text"))
-    return conv.select(
+    turns = conv.select(
         c.cast("string").alias("thread_id"),
         F.concat(c.cast("string"), F.lit("-"), t.cast("string")).alias("msg_id"),
-        t.alias("pos"),
+        t.cast("bigint").alias("pos"),
         F.col("role"),
         F.array(F.struct(ctype.alias("type"), F.col("text").alias("value"))).alias("content"),
     )
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
+    thread = (F.lit(LONG_THREADS) + F.col("c_nationkey") % 5).cast("string")
+    long = cust.select(
+        thread.alias("thread_id"),
+        F.concat(thread, F.lit("-"), F.col("c_custkey").cast("string")).alias("msg_id"),
+        F.col("c_custkey").cast("bigint").alias("pos"),
+        F.lit("user").alias("role"),
+        F.array(F.struct(F.lit("text").alias("type"), F.col("c_name").alias("value"))).alias("content"),
+    )
+    return turns.unionByName(long)
 
 
 def cursors(messages_df: DataFrame) -> DataFrame:

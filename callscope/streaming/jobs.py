@@ -10,31 +10,23 @@ with `availableNow` and returns the written result as a batch DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-import sys
-
-from pyspark import cloudpickle
 
 from callscope.functions.ids import hex_as_uuid
 from callscope.functions.redact import redact_text
+from callscope.operators.assemble import resolve_streamed
 from callscope.operators.events import Config, gate_api_key, gate_chain_uuid
 from callscope.session import scratch_path
+from callscope.sources.tables import table_path
+from callscope.streaming import assembly, thread_runs
 
 BASE_EPOCH = 1704067200
 PIECE_CHARS = 16
 
-# The state handlers below run in Python workers: ship them by value, so the
-# workers need pandas and PySpark only, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 CONVERSATIONS = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                               T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
 EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -67,24 +59,38 @@ def run_available(df: DataFrame, name: str, mode: str = "append", base: str | No
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def run_available_updates(df: DataFrame, name: str, keys: list[str], base: str | None = None) -> DataFrame:
-    """Update-mode stream: each micro-batch's changed rows are appended with
-    their batch id; reading keeps the latest row per key (a re-run batch
-    writes the same rows again, so duplicates are harmless)."""
-    spark = df.sparkSession
-    base = base or scratch_path(spark, "streams", name)
-    out = f"{base}/out"
+END = "__end__"
+FAR = "2200-01-01 00:00:00"  # pandas holds years up to 2262
+FAR_CONVERSATION = 1_500_000  # starts as many hours after the base time
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (df.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    fields = [f.name for f in df.schema.fields if f.name not in keys]
-    latest = spark.read.parquet(out).groupBy(*keys).agg(
-        F.max_by(F.struct(*fields), "_batch").alias("_r"))
-    return latest.select(*keys, "_r.*")
+def closed_log(df: DataFrame, path: str, end: dict[str, Column], max_files: int = 100) -> DataFrame:
+    """A harness for input that ends: `df` written as a log and read as a
+    stream, with one last row far in the future (`end`: its columns, the others
+    null) in the newest file. It is read last and moves the watermark past
+    everything before it, so one drain writes all results. Not for a log that
+    goes on: nothing after that row is accepted."""
+    spark = df.sparkSession
+    df.write.parquet(f"{path}/rows")
+    spark.range(1).select(*[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema]) \
+        .write.parquet(f"{path}/end")
+    return (spark.readStream.schema(df.schema).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", max_files).parquet(path))
+
+
+def closing_stream(spark: SparkSession, sf_dir: str, table: str, schema: T.StructType, end: dict[str, Column],
+                   path: str) -> DataFrame:
+    """The same for a driver table read as it stands, one file a batch: a
+    control stream at `path` gives an empty file for each of them, then the
+    last row."""
+    files = len(spark.read.schema(schema).parquet(table_path(sf_dir, table)).inputFiles())
+    for i in range(files):
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/open-{i}")
+    spark.range(1).select(*[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]) \
+        .coalesce(1).write.parquet(f"{path}/end")
+    control = (spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+               .parquet(path))
+    return read_stream(spark, sf_dir, table, schema).unionByName(control)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -196,64 +202,17 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- P1
 
-P1_OUT = T.StructType([T.StructField("call_id", T.StringType()), T.StructField("text", T.StringType()),
-                       T.StructField("complete", T.BooleanType())])
-P1_STATE = T.StructType([T.StructField("seqs", T.ArrayType(T.LongType())),
-                         T.StructField("pieces", T.ArrayType(T.StringType())),
-                         T.StructField("end_seq", T.LongType()), T.StructField("sent", T.BooleanType())])
-
-
-def _assembler(timeout_ms: int):
-    def assemble(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Gather one call's pieces; emit the text once the end chunk and all
-        pieces before it are in, or a partial text when the call times out.
-        A sent call leaves a mark until then, so chunks that are delivered
-        again find it and give nothing."""
-        pieces, end_seq, sent = {}, -1, False
-        if state.exists:
-            s = state.get
-            pieces, end_seq, sent = dict(zip(s[0], s[1])), int(s[2]), bool(s[3])
-        if state.hasTimedOut:
-            state.remove()
-            if not sent:
-                yield _text(key, pieces, False)
-            return
-        for pdf in pdfs:
-            if not sent:
-                ends = pdf["is_end"].to_numpy(bool)
-                if ends.any():
-                    end_seq = int(pdf["seq"][ends].iloc[0])
-                body = pdf[~ends]
-                pieces.update(zip(body["seq"].tolist(), body["content"].fillna("").tolist()))
-        if not sent and end_seq >= 0 and len(pieces) == end_seq:
-            yield _text(key, pieces, True)
-            pieces, sent = {}, True
-        state.update((list(pieces), list(pieces.values()), end_seq, sent))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + timeout_ms)
-    return assemble
-
-
-def _text(key: tuple, pieces: dict, complete: bool) -> pd.DataFrame:
-    return pd.DataFrame({"call_id": [key[0]], "text": ["".join(pieces[i] for i in sorted(pieces))],
-                         "complete": [complete]})
-
-
-def assemble_with_state(chunks: DataFrame, delay: str = "10 minutes", timeout_ms: int = 10 * 60 * 1000) -> DataFrame:
-    """P1 on any chunk stream (call_id, seq, ts, content, is_end): keyed
-    state per call; one row per call, the full text at the end chunk, or a
-    partial text (complete=false) once the watermark, `delay` behind the
-    latest chunk, is `timeout_ms` past the call's last batch. Chunks
-    delivered again within that time change nothing."""
-    return (chunks.withWatermark("ts", delay).groupBy("call_id")
-            .applyInPandasWithState(_assembler(timeout_ms), P1_OUT, P1_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
 def stream_asm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per call, keyed state gathers the streamed pieces; the text is
-    emitted when the stream ends, or partially when it stops early."""
-    chunks = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
-    return run_available(assemble_with_state(chunks), "stream_asm")
+    """The chunk log as a stream gives the whole result of every streamed
+    call: text, tool calls, metrics and raw response (see `assembly`)."""
+    from callscope.sources import fixtures as fx
+    ensure_rocksdb(spark)
+    calls = fx.calls(spark, sf_dir)
+    base = scratch_path(spark, "streams", "stream_asm")
+    chunks = closed_log(fx.chunks(calls), f"{base}/log",
+                        {"call_id": F.lit(END), "seq": F.lit(0), "ts": F.lit(FAR)})
+    assembly.write_results(chunks, f"{base}/out", f"{base}/_checkpoint").awaitTermination()
+    return resolve_streamed(calls, assembly.read_results(spark, f"{base}/out"))
 
 
 # ---------------------------------------------------------------- P2
@@ -270,76 +229,36 @@ def assemble_sessions(chunks: DataFrame, gap: str = "10 minutes", delay: str = "
             .select("call_id", "text"))
 
 
-FLUSH = "__flush__"
-
-
 def stream_asm_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 over an input that ends: after the last file, one row far in the
-    future arrives on a control stream, moves the watermark past every open
-    session, and so has every call written."""
+    """P2 over an input that ends (`closing_stream`)."""
     base = scratch_path(spark, "streams", "stream_asm_session")
-    chunks = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
-    schema = chunks.schema
-    mark = spark.range(1).select(
-        F.lit(FLUSH).alias("call_id"), F.lit(0).cast("bigint").alias("seq"),
-        F.lit("9000-01-01").cast("timestamp").alias("ts"), F.lit("").alias("content"), F.lit(True).alias("is_end"))
-    spark.createDataFrame([], schema).write.parquet(f"{base}/control/open")
-
-    def drain() -> DataFrame:
-        control = (spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/control"))
-        both = chat_chunk_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS)).unionByName(control)
-        return run_available(assemble_sessions(both), "stream_asm_session", base=base)
-
-    drain()
-    mark.select(*schema.names).write.parquet(f"{base}/control/closed")
-    return drain().where(F.col("call_id") != FLUSH)
+    # the last row is an assistant turn of a conversation far in the future
+    end = {"conv_id": F.lit(FAR_CONVERSATION), "turn": F.lit(0), "role": F.lit("assistant"), "text": F.lit(END)}
+    turns = closing_stream(spark, sf_dir, "conversations", CONVERSATIONS, end, f"{base}/control")
+    out = run_available(assemble_sessions(chat_chunk_stream(turns)), "stream_asm_session", base=base)
+    return out.where(F.col("call_id") != f"call-{FAR_CONVERSATION}-0")
 
 
 # ---------------------------------------------------------------- P3
 
-class CursorProcessor(StatefulProcessor):
-    """One cursor per thread (ValueState), started from the stored
-    cursors; messages after it are sent in thread order, unsupported ones
-    skipped, and the cursor moves to the last supported message sent."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.cursor = handle.getValueState("cursor", "pos bigint, msg_id string")
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.cursor.update((int(row["last_pos"]), str(row["last_msg_id"])))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # One Arrow batch at a time: a thread's rows in a micro-batch are
-        # never held together. Everything after the cursor as it stood at
-        # the start of the batch is sent; the cursor then moves to the last.
-        last = -1
-        if self.cursor.exists():
-            last = int(self.cursor.get()[0])
-        top: tuple[int, str] | None = None
-        for pdf in rows:
-            sent = pdf[(pdf["pos"] > last) & pdf["supported"]]
-            if len(sent):
-                best = sent.sort_values(["pos", "msg_id"]).iloc[-1]
-                cand = (int(best["pos"]), str(best["msg_id"]))
-                top = cand if top is None or cand > top else top
-                yield sent[["thread_id", "msg_id", "pos"]]
-        if top is not None:
-            self.cursor.update(top)
-
-    def close(self) -> None:
-        pass
-
-
 def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 from the stored cursors (a batch table) as initial state."""
+    """Runs and messages as streams, from the stored cursors (a table):
+    the assistant events of E3, gates and order included (see `thread_runs`)."""
+    from callscope.operators.events import events_all
     from callscope.sources import fixtures as fx
     ensure_rocksdb(spark)
-    msgs = message_stream(read_stream(spark, sf_dir, "conversations", CONVERSATIONS))
-    stored = fx.cursors(fx.messages(spark, sf_dir)).groupBy("thread_id")
-    out = msgs.groupBy("thread_id").transformWithStateInPandas(
-        CursorProcessor(), "thread_id string, msg_id string, pos bigint", "append", "none", initialState=stored)
-    return run_available(out, "stream_cursor")
+    base = scratch_path(spark, "streams", "stream_cursor")
+    msgs = fx.messages(spark, sf_dir)
+    hour = F.col("thread_id").cast("bigint") % 100_000 * 3600
+    timed = msgs.withColumn("ts", F.timestamp_millis((F.lit(BASE_EPOCH) + hour + F.col("pos") * 60) * 1000))
+    run_end = {"thread_id": F.lit(END), "run_id": F.lit(END), "status": F.lit("completed"),
+               "prompt_template_name": F.lit(END), "completed_at": F.lit(FAR)}
+    runs = closed_log(fx.runs(spark, sf_dir), f"{base}/runs", run_end)
+    messages = closed_log(timed, f"{base}/messages", {"thread_id": F.lit(END), "msg_id": F.lit(END), "pos": F.lit(0), "ts": F.lit(FAR)})
+    sent, errors = thread_runs.stream_assistant_events(runs, fx.assistants(spark, sf_dir), messages, fx.cursors(msgs))
+    for q in thread_runs.write_assistant_events(sent, errors, f"{base}/out", f"{base}/_checkpoint"):
+        q.awaitTermination()
+    return events_all(spark.read.parquet(f"{base}/out/events"))
 
 
 # ---------------------------------------------------------------- P4
@@ -355,34 +274,40 @@ def join_feedback(calls: DataFrame, feedback: DataFrame, bound: str = "3 hours")
 
 
 def stream_feedback_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 over an input that ends: one event far in the future on a control
-    stream has the calls without feedback written too."""
+    """P4 over an input that ends (`closing_stream`): the last row has the
+    calls without feedback written, too."""
     base = scratch_path(spark, "streams", "stream_feedback_join")
-    mark = spark.range(1).select(
-        F.lit(-1).cast("bigint").alias("event_id"), F.lit("9000-01-01 00:00:00").cast("timestamp_ntz").alias("ts"),
-        F.lit(0).cast("bigint").alias("user_id"), F.lit(FLUSH).alias("event_type"), F.lit(0.0).alias("value"),
-        F.lit("").alias("props"))
-    spark.createDataFrame([], EVENTS).write.parquet(f"{base}/control/open")
+    end = {"event_id": F.lit(-1), "ts": F.lit(FAR), "user_id": F.lit(0), "event_type": F.lit(END), "value": F.lit(0), "props": F.lit("")}
+    calls, feedback = (closing_stream(spark, sf_dir, "events", EVENTS, end, f"{base}/control-{i}") for i in (0, 1))
+    out = run_available(join_feedback(event_calls(calls), feedback_stream(feedback)), "stream_feedback_join", base=base)
+    return out.where(F.col("call_id") != "ev--1")
 
-    def events() -> DataFrame:
-        control = spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").parquet(f"{base}/control")
-        return read_stream(spark, sf_dir, "events", EVENTS).unionByName(control)
 
-    def drain() -> DataFrame:
-        return run_available(join_feedback(event_calls(events()), feedback_stream(events())), "stream_feedback_join", base=base)
-
-    drain()
-    mark.write.parquet(f"{base}/control/closed")
-    return drain().where(F.col("call_id") != "ev--1")
+# ---------------------------------------------------------------- P5
 
+def latest_by_key(rows: DataFrame, key: str = "feedback_key", gap: str = "6 hours", delay: str = "1 hour") -> DataFrame:
+    """P5 on any stream with `ts`: of the rows with one key that lie less than
+    `gap` apart, the latest one whole (ties: the largest by the other columns in
+    their order), once the watermark, `delay` behind, says that no more can
+    come. State is one row per key and ends with the session; rows are combined
+    before they reach it. A key that is silent for longer than `gap` gives a
+    row per session. Rows without a key are left out."""
+    others = [c for c in rows.columns if c not in (key, "ts")]
+    known = rows.where(F.col(key).isNotNull()).withWatermark("ts", delay)
+    latest = known.groupBy(key, F.session_window("ts", gap).alias("w")).agg(
+        F.max(F.struct("ts", *others)).alias("last"), F.count(F.lit(1)).alias("n_copies"))
+    return latest.select(key, "last.*", "n_copies")
 
-# ---------------------------------------------------------------- P5
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5: one feedback per key among copies that arrive within the watermark."""
-    f = duplicated_feedback(read_stream(spark, sf_dir, "events", EVENTS)).withWatermark("ts", "1 hour")
-    out = f.dropDuplicatesWithinWatermark(["feedback_key"]).select("feedback_key")
-    return run_available(out, "stream_dedup")
+    """P5: one whole feedback per key, the latest of its copies
+    (`closing_stream`: the input ends)."""
+    base = scratch_path(spark, "streams", "stream_dedup")
+    end = {"event_id": F.lit(-10), "ts": F.lit(FAR), "value": F.lit(0)}
+    events = closing_stream(spark, sf_dir, "events", EVENTS, end, f"{base}/control")
+    out = run_available(latest_by_key(duplicated_feedback(events)), "stream_dedup", base=base)
+    return out.where(F.col("feedback_key") != "fb--5").select(
+        "feedback_key", "rating", F.unix_micros("ts").alias("ts_us"), "n_copies")
 
 
 STREAM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -393,43 +318,3 @@ STREAM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": stream_dedup,
     "stream_gate": stream_gate,
 }
-
-
-# ---------------------------------------------------------------- K3 on a stream
-
-def _latest_version(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete version of a versioned table (optionally the
-    newest written by a batch before `before`)."""
-    hpath = spark._jvm.org.apache.hadoop.fs.Path
-    root = hpath(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    names = sorted(st.getPath().getName() for st in fs.listStatus(root)
-                   if st.isDirectory() and fs.exists(hpath(st.getPath(), "_SUCCESS")))
-    if before is not None:
-        names = [n for n in names if n < f"v{before:012d}"]
-    return spark.read.parquet(f"{table}/{names[-1]}") if names else None
-
-
-def stream_chain_upsert(updates: DataFrame, table: str, checkpoint: str):
-    """K3 on a stream: each micro-batch's updates are reduced per chain and
-    merged with the stored table (last write wins by (ts, update_id)); the
-    merged table is written as a new version named by the batch id, so a
-    re-run batch rewrites the same version. Returns the started query."""
-    from callscope.operators.feedback import chain_gate, chain_state, merge_chain_state
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = chain_state(chain_gate(batch))
-        old = _latest_version(spark, table, before=batch_id)
-        merged = new if old is None else merge_chain_state(old.drop("_batch"), new)
-        merged.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{table}/v{batch_id:012d}")
-
-    return (updates.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def read_chain_table(spark: SparkSession, table: str) -> DataFrame:
-    t = _latest_version(spark, table)
-    return t.drop("_batch") if t is not None else None

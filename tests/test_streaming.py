@@ -13,25 +13,6 @@ def test_stream_gate_equals_batch(spark):
     assert stream == {tuple(r) for r in batch.collect()}
 
 
-def test_stream_asm_equals_texts(spark):
-    got = {r.call_id: (r.text, r.complete) for r in sj.stream_asm(spark, SF).collect()}
-    conv = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'assistant'").collect()
-    assert got == {f"call-{r.conv_id}-{r.turn}": (r.text, True) for r in conv}
-
-
-def test_stream_chain_upsert_equals_batch(spark):
-    from callscope.operators import feedback as fb
-    from callscope.session import scratch_path
-    from callscope.sources import fixtures as fx
-    base = scratch_path(spark, "tests", "chains")
-    ups = fx.chain_updates_from(sj.read_stream(spark, SF, "events", sj.EVENTS))
-    sj.stream_chain_upsert(ups, f"{base}/table", f"{base}/ckpt").awaitTermination()
-    got = {(r.id, r.result, r.n_updates) for r in sj.read_chain_table(spark, f"{base}/table").collect()}
-    want = {(r.id, r.result, r.n_updates) for r in fb.chain_upsert(fb.chain_gate(fx.chain_updates(spark, SF)))
-            .collect()}
-    assert got == want
-
-
 def test_stream_event_sink_equals_batch_bodies(spark):
     from callscope.operators.events import conform_events
     from callscope.session import scratch_path
@@ -45,24 +26,6 @@ def test_stream_event_sink_equals_batch_bodies(spark):
     assert got == want and got
 
 
-def test_stream_asm_emits_partial_on_timeout(spark):
-    import datetime as dt
-
-    from callscope.session import scratch_path
-    base = scratch_path(spark, "tests", "partial")
-    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
-    schema = "call_id string, seq bigint, ts timestamp, content string, is_end boolean"
-    first = [("a", 0, t0, "Hel", False), ("a", 1, t0 + dt.timedelta(seconds=1), "lo", False),
-             ("b", 0, t0, "done", False), ("b", 1, t0 + dt.timedelta(seconds=1), None, True)]
-    later = [("c", 0, t0 + dt.timedelta(hours=2), "x", False), ("c", 1, t0 + dt.timedelta(hours=2), None, True)]
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{base}/in/p1")
-    spark.createDataFrame(later, schema).coalesce(1).write.parquet(f"{base}/in/p2")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
-    got = {(r.call_id, r.text, r.complete) for r in sj.run_available(sj.assemble_with_state(stream), "partial").collect()}
-    assert got == {("a", "Hello", False), ("b", "done", True), ("c", "x", True)}
-
-
 def test_restart_resumes_from_checkpoint(spark):
     from callscope.session import scratch_path
     base = scratch_path(spark, "tests", "resume")
@@ -87,45 +50,47 @@ def test_log_stream_reads_what_the_batch_reader_reads(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and got
 
 
-def test_stream_asm_sends_a_call_once(spark):
-    """Chunks delivered again after the end mark give no second row."""
-    import datetime as dt
-
-    from callscope.session import scratch_path
-    base = scratch_path(spark, "tests", "again")
-    t0 = dt.datetime(2024, 1, 1)
-    schema = "call_id string, seq bigint, ts timestamp, content string, is_end boolean"
-    rows = [("a", 0, t0, "Hel", False), ("a", 1, t0, "lo", False), ("a", 2, t0, None, True)]
-    for i, part in enumerate((rows[:2] + rows[:1], rows[2:] + rows[:1], rows[:1], [
-            ("b", 0, t0 + dt.timedelta(hours=3), "x", False), ("b", 1, t0 + dt.timedelta(hours=3), None, True)])):
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{base}/in/p{i}")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
-    got = [tuple(r) for r in sj.run_available(sj.assemble_with_state(stream), "again").collect()]
-    assert sorted(got) == [("a", "Hello", True), ("b", "x", True)]
-
-
 def test_stream_asm_session_writes_every_call(spark):
     got = {r.call_id: r.text for r in sj.stream_asm_session(spark, SF).collect()}
     conv = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'assistant'").collect()
     assert got == {f"call-{r.conv_id}-{r.turn}": r.text for r in conv}
 
 
-def test_stream_cursor_equals_its_oracle_rows(spark):
-    from callscope.sources import fixtures as fx
-    msgs = fx.messages(spark, SF)
-    cur = {r.thread_id: r.last_pos for r in fx.cursors(msgs).collect()}
-    want = {(r.thread_id, r.msg_id, r.pos) for r in msgs.collect()
-            if r.content[0].type == "text" and r.pos > cur.get(r.thread_id, -1)}
-    assert {tuple(r) for r in sj.stream_cursor(spark, SF).collect()} == want
-
-
-def test_stream_dedup_covers_every_key(spark):
-    n = spark.read.parquet(f"{SF}/events.parquet").count()
-    assert sj.stream_dedup(spark, SF).count() == -(-n // 2)
+def test_stream_dedup_keeps_the_latest_whole(spark):
+    want = {}
+    for r in spark.read.parquet(f"{SF}/events.parquet").collect():
+        row = (r.ts, r.event_id % 5 / 4.0)
+        key = f"fb-{r.event_id // 2}"
+        n, best = want.get(key, (0, row))
+        want[key] = n + 1, max(best, row)
+    got = {r.feedback_key: (r.n_copies, r.rating, r.ts_us) for r in sj.stream_dedup(spark, SF).collect()}
+    import datetime as dt
+    assert got == {k: (n, rating, (ts - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)) for k, (n, (ts, rating)) in want.items()}
 
 
 def test_stream_feedback_join_writes_matched_and_unmatched(spark):
     ids = [r.event_id for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id").collect()]
     got = {r.call_id: r.rating for r in sj.stream_feedback_join(spark, SF).collect()}
     assert got == {f"ev-{i}": None if i % 7 == 3 or i % 11 == 5 else i % 5 / 4.0 for i in ids}
+
+
+def test_latest_by_key_by_sessions(spark):
+    """Copies in any order, ties, null keys and values, a key that comes back."""
+    import datetime as dt
+
+    from callscope.session import scratch_path
+    base = scratch_path(spark, "tests", "latest")
+    t0 = dt.datetime(2024, 1, 1)
+    hour = dt.timedelta(hours=1)
+    schema = "feedback_key string, ts timestamp, rating double, better_response string"
+    parts = [[("a", t0 + hour, 0.5, "second"), ("a", t0, 1.0, "first"), (None, t0, 1.0, "no key"), ("b", t0, None, "x"), ("b", t0, None, None)],
+             [("a", t0 + hour, 0.25, "tie"), ("a", t0 + 2 * hour, None, None)],
+             [("a", t0 + 30 * hour, 0.0, "back")],
+             [("z", t0 + 1000 * hour, 0.0, "end")]]
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{base}/in/p{i}")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{base}/in"))
+    got = [tuple(r) for r in sj.run_available(sj.latest_by_key(stream), "latest").collect()]
+    assert sorted(got, key=str) == sorted([("a", t0 + 2 * hour, None, None, 4), ("b", t0, None, "x", 2),
+                                           ("a", t0 + 30 * hour, 0.0, "back", 1)], key=str)
