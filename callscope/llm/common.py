@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from callscope.session import scratch_path
 from callscope.sources.tables import read_table
 
-__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "ship_package", "tokenizer_path", "worker_tool"]
+__all__ = ["crc_mod4", "local_path", "materialize", "read_table", "scratch_path", "ship_package", "tokenizer_path", "unused",
+           "worker_tool"]
 
 
 def tokenizer_path(name: str) -> str:
@@ -59,6 +60,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like `names` that `df` has no column of (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def local_path(uri: str) -> str | None:
     """The plain path of a `file:` uri or bare path, else None."""
     if uri.startswith("file:"):

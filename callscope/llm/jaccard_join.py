@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callscope.llm.blocks import deal_blocks, forest, units
-from callscope.llm.common import materialize, worker_tool
+from callscope.llm.common import materialize, unused, worker_tool
 from callscope.llm.components import connected_components
 
 BAND = 1.6
@@ -332,10 +332,11 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, doc_id: str =
         # not through map(): with a null among them it would make floats of the ids
         return type(texts)([set_id(shingler(t)) for t in texts], dtype="Int64")
 
-    ranked = docs.withColumn("_sid", sid(F.col(text))).join(
-        home.select(F.col("sid").alias("_sid"), F.col("root").alias("_root")), "_sid", "left")
+    own, root, single, place = unused(docs, "sid", "root", "single", "place")
+    ranked = docs.withColumn(own, sid(F.col(text))).join(
+        home.select(F.col("sid").alias(own), F.col("root").alias(root)), own, "left")
     # every empty set is a group of its own
-    alone = F.when(F.col("_sid").isNull(), F.monotonically_increasing_id())
-    best = Window.partitionBy("_root", "_alone").orderBy(F.asc_nulls_last(doc_id), F.xxhash64(text))
-    return (ranked.withColumn("_alone", alone).withColumn("_n", F.row_number().over(best)).filter("_n = 1")
+    alone = F.when(F.col(own).isNull(), F.monotonically_increasing_id())
+    best = Window.partitionBy(root, single).orderBy(F.asc_nulls_last(doc_id), F.xxhash64(text))
+    return (ranked.withColumn(single, alone).withColumn(place, F.row_number().over(best)).filter(F.col(place) == 1)
             .select(*docs.columns))

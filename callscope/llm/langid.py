@@ -11,24 +11,24 @@ weights are fitted on a bounded, stratified sample of them (`SAMPLE_ROWS`,
 from __future__ import annotations
 
 import io
-import re
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.llm.common import crc_mod4, merge_blobs, worker_tool
+from callscope.llm.common import crc_mod4, merge_blobs, unused, worker_tool
 
 FEATURES = 1 << 14
 ORDERS = (1, 2, 3)
 #: Bounds of the labelled sample that the weights are fitted on.
 SAMPLE_ROWS = 4_000
 SAMPLE_PER_LANGUAGE = 700
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # no numerals: ½ and Ⅷ are no letters
 UNDETERMINED = "und"
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 
@@ -226,6 +226,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         m = worker_tool(("language", key), lambda: shared.value)
         return pd.DataFrame([m.predict(t or "") for t in texts], columns=["lang_pred", "score"])
 
+    rest = docs.drop("lang_pred", "score")
+    (found,) = unused(rest, "found")
     # not deterministic for Spark: otherwise a filter on the result predicts once more
-    return (docs.drop("lang_pred", "score").withColumn("_p", predict.asNondeterministic()(F.col(text)))
-            .withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p"))
+    return (rest.withColumn(found, predict.asNondeterministic()(F.col(text)))
+            .withColumns({"lang_pred": F.col(found)["lang_pred"], "score": F.col(found)["score"]}).drop(found))

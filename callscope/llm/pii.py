@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callscope.llm.common import unused
+
 ROUNDS = 5  # pairs of half rounds
 
 # Patterns are linear on long texts: each starts only where no character of
@@ -307,14 +309,15 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", inverse: bool =
     """
     t = F.col(text)
     # every kind but e-mail holds a digit, e-mail an at sign
-    searched = docs.withColumn("_pattern", F.when(t.contains("@") | t.rlike("[0-9]"), pattern_of(t)))
-    found = searched.withColumn("_found", F.when(t.isNull(), F.lit(None)).when(
-        F.col("_pattern").isNotNull(), F.regexp_extract_all(t, F.col("_pattern"), F.lit(0))).otherwise(
+    pattern, old, new = unused(docs, "pattern", "found", "new")
+    searched = docs.withColumn(pattern, F.when(t.contains("@") | t.rlike("[0-9]"), pattern_of(t)))
+    found = searched.withColumn(old, F.when(t.isNull(), F.lit(None)).when(
+        F.col(pattern).isNotNull(), F.regexp_extract_all(t, F.col(pattern), F.lit(0))).otherwise(
         F.array().cast("array<string>")))
-    made = found.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key, inverse, day_first)))
-    between = F.split(t, F.col("_pattern"), -1)
-    rebuilt = F.when(F.size("_found") > 0, F.array_join(F.flatten(F.zip_with(
-        between, "_new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")).otherwise(t)
-    changed = F.filter(F.arrays_zip("_found", "_new"), lambda z: z["_found"] != z["_new"])
-    values = F.transform(changed, lambda z: F.struct(kind_of(z["_found"]).alias("kind"), z["_new"].alias("pseudonym")))
-    return made.withColumns({"pii_values": values, text: rebuilt}).drop("_pattern", "_found", "_new")
+    made = found.withColumn(new, F.transform(old, lambda v: pseudonym(v, key, inverse, day_first)))
+    between = F.split(t, F.col(pattern), -1)
+    rebuilt = F.when(F.size(old) > 0, F.array_join(F.flatten(F.zip_with(
+        between, new, lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")).otherwise(t)
+    changed = F.filter(F.arrays_zip(old, new), lambda z: z[old] != z[new])
+    values = F.transform(changed, lambda z: F.struct(kind_of(z[old]).alias("kind"), z[new].alias("pseudonym")))
+    return made.withColumns({"pii_values": values, text: rebuilt}).drop(pattern, old, new)

@@ -133,3 +133,16 @@ def test_lexicon_covers_and_ignores_copies():
     clean = [f"text {i} of more words" for i in range(400)]
     assert tx.mine_lexicon(toxic, clean)[:1] == ["vexo*"]
     assert tx.mine_lexicon([], clean) == tx.mine_lexicon(toxic, []) == []
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, text, lang, "kept", 1.5) for i, (text, lang) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 40)]
+    schema = "doc_id long, text string, lang string, found string, _found double"
+    docs = spark.createDataFrame(rows, schema)
+    odd = spark.createDataFrame([(900, "½ ² ③", None, "kept", 1.5), (901, "Ⅷ 12 ٣", None, "kept", 1.5), (902, "½ ª", None, "kept", 1.5),
+                                 (903, "", None, "kept", 1.5), (904, None, None, "kept", 1.5)], schema)
+    out = li.identify(odd, li.train_model(docs))
+    assert out.columns == [*odd.columns, "lang_pred", "score"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (900, 901, 903, 904)) and got[902].lang_pred in ("en", "de")
+    assert all((r.found, r["_found"]) == ("kept", 1.5) for r in got.values())

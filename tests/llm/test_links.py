@@ -230,3 +230,12 @@ def test_near_duplicates(spark, monkeypatch):
         home = 2007 if i is None else u.find(i)
         assert got[i] == (links[i], home, i == home), i
     assert near_duplicates(df.limit(0)).count() == 0
+
+
+def test_keep_one_keeps_columns_named_like_its_own(spark):
+    schema = "doc_id long, text string, sid string, root long, single int, place string, _sid double"
+    text = "one two three four five six seven eight nine ten"
+    rows = [(3, text, "s", 9, 1, "here", 0.5), (1, text, "t", 8, 2, "there", 0.25), (2, "other words all along this line", "u", 7, 3, "x", 1.0),
+            (4, "", "v", 6, 4, "y", 2.0)]
+    out = jj.keep_one(spark.createDataFrame(rows, schema), 5, 0.8)
+    assert sorted(map(tuple, out.collect())) == sorted(rows[1:])

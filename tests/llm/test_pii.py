@@ -171,3 +171,13 @@ def test_long_credentials_leave_nothing(spark):
 def test_long_credentials_are_linear(spark):
     texts = ["token=" + "a1" * 50_000, "token=" * 100_000, "token=a1b2c3d4." * 20_000]
     assert [len(t) for t in texts_of(spark, texts)] == [len(t) for t in texts]
+
+
+def test_inner_names_of_the_input_stay(spark):
+    schema = "doc_id long, text string, pattern string, found int, new array<string>, _new string, PATTERN_ string"
+    rows = [(1, "mail a.b@example.com", "p", 7, ["n"], "m", "q"), (2, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    out = pseudonymise(docs, "k")
+    assert out.columns == [*docs.columns, "pii_values"]
+    kept = {r.doc_id: (r.pattern, r.found, r.new, r["_new"], r.PATTERN_) for r in out.collect()}
+    assert kept == {1: ("p", 7, ["n"], "m", "q"), 2: (None,) * 5}
