@@ -1,4 +1,4 @@
-"""Batch jobs over your own logs.
+"""Jobs over your own logs.
 
     python -m callscope events  --calls PATH --chunks PATH --out PATH --quarantine-out PATH
     python -m callscope threads --runs PATH --assistants PATH --messages PATH --cursors PATH
@@ -6,6 +6,16 @@
     python -m callscope rollup  --events PATH --feedback PATH --out PATH
     python -m callscope deletes --cursors PATH --messages PATH --deletes PATH
                                 --cursors-out PATH --feedback-out PATH
+    python -m callscope chains  --updates PATH --out PATH
+
+and the same on folders that logs keep arriving in; a run takes what is new
+since the last one with the same --checkpoint and ends:
+
+    python -m callscope stream-results --chunks DIR --out PATH --checkpoint PATH
+    python -m callscope stream-threads --runs DIR --messages DIR --assistants PATH --cursors PATH
+                                       --out PATH --checkpoint PATH
+    python -m callscope stream-feedback --feedback DIR --out PATH --checkpoint PATH
+    python -m callscope stream-chains  --updates DIR --out PATH --checkpoint PATH [--compact]
 
 Logs are read with the schemas of `callscope.schemas`; outputs are written
 to the given (shared) folders. Run with `spark-submit -m`-style launchers or
@@ -23,7 +33,7 @@ from callscope.operators import events as ev
 from callscope.operators import feedback as fb
 from callscope.operators import threads as th
 from callscope.sources import sinks
-from callscope.sources.tables import read_calls, read_chunks, read_log
+from callscope.sources.tables import read_calls, read_chunks, read_log, stream_log
 
 
 def _config(a: argparse.Namespace) -> ev.Config:
@@ -56,6 +66,22 @@ def main(argv: list[str] | None = None) -> None:
     d = sub.add_parser("deletes", help="deleted messages: rewound cursors (M7) and tombstone feedback (M8)")
     for name in ("cursors", "messages", "deletes", "cursors-out", "feedback-out"):
         d.add_argument(f"--{name}", required=True)
+    c = sub.add_parser("chains", help="chain updates -> the last result of every chain (K3)")
+    for name in ("updates", "out"):
+        c.add_argument(f"--{name}", required=True)
+    streams = {
+        "stream-results": ("whole results of streamed calls from a chunk log (P1)", ("chunks",)),
+        "stream-threads": ("assistant events from run and message logs, late messages beside them (P3)",
+                           ("runs", "messages", "assistants", "cursors")),
+        "stream-feedback": ("the latest feedback of every key (P5)", ("feedback",)),
+        "stream-chains": ("chain updates as deltas of a chain table (K3)", ("updates",)),
+    }
+    for job, (text, names) in streams.items():
+        s = sub.add_parser(job, help=text)
+        for name in (*names, "out", "checkpoint"):
+            s.add_argument(f"--{name}", required=True)
+        if job == "stream-chains":
+            s.add_argument("--compact", action="store_true", help="merge base and deltas into a new base afterwards")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"callscope-{a.job}").getOrCreate()
@@ -86,6 +112,36 @@ def main(argv: list[str] | None = None) -> None:
         events = spark.read.parquet(a.events)
         feedback = fb.feedback_gate(read_log(spark, a.feedback, schemas.FEEDBACK, a.format), cfg)
         fb.template_rollup(events, feedback).write.mode("overwrite").parquet(a.out)
+    elif a.job == "chains":
+        updates = read_log(spark, a.updates, schemas.CHAIN_UPDATES, a.format)
+        fb.chain_upsert(fb.chain_gate(updates, cfg)).write.mode("overwrite").parquet(a.out)
+    else:
+        _stream(spark, a, cfg)
+
+
+def _stream(spark: SparkSession, a: argparse.Namespace, cfg: ev.Config) -> None:
+    """The stream jobs: start, take what is there, end."""
+    from callscope.streaming import assembly, chain_table, jobs, thread_runs
+    jobs.ensure_rocksdb(spark)
+    if a.job == "stream-results":
+        chunks = stream_log(spark, a.chunks, schemas.CHUNKS, a.format)
+        queries = [assembly.write_results(chunks, a.out, a.checkpoint)]
+    elif a.job == "stream-threads":
+        sent, errors = thread_runs.stream_assistant_events(
+            stream_log(spark, a.runs, schemas.RUNS, a.format), read_log(spark, a.assistants, schemas.ASSISTANTS, a.format),
+            stream_log(spark, a.messages, schemas.MESSAGE_LOG, a.format), read_log(spark, a.cursors, schemas.CURSORS, a.format), cfg)
+        queries = thread_runs.write_assistant_events(sent, errors, a.out, a.checkpoint)
+    elif a.job == "stream-feedback":
+        latest = jobs.latest_by_key(fb.feedback_gate(stream_log(spark, a.feedback, schemas.FEEDBACK, a.format), cfg))
+        queries = [latest.writeStream.format("parquet").option("path", a.out).option("checkpointLocation", a.checkpoint)
+                   .trigger(availableNow=True).start()]
+    else:
+        updates = stream_log(spark, a.updates, schemas.CHAIN_UPDATES, a.format)
+        queries = [chain_table.stream_chain_upsert(updates, a.out, a.checkpoint, cfg=cfg)]
+    for q in queries:
+        q.awaitTermination()
+    if a.job == "stream-chains" and a.compact:
+        chain_table.compact(spark, a.out)
 
 
 if __name__ == "__main__":

@@ -99,8 +99,3 @@ def redact_value(c: Column, dt: T.DataType) -> Column:
         return redact_text(F.when(c == F.floor(c), c.cast("bigint").cast("string"))
                            .otherwise(c.cast("string")))
     return redact_text(c.cast("string"))
-
-
-def redact_column(df, name: str) -> Column:
-    """R2 on a named column of `df`, using its schema."""
-    return redact_value(F.col(name), df.schema[name].dataType).alias(name)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from callscope.operators.events import Config
 from callscope.operators.ordering import rank_within
+from callscope.session import stored
 
 # Statuses whose failure log is limited to one per second,
 # and the range of statuses that are logged at all.
@@ -77,7 +78,8 @@ def event_feedback(events: DataFrame, feedback: DataFrame) -> DataFrame:
     (the event is kept; `is_deleted` marks it)."""
     fb = feedback_by_key(feedback).withColumnRenamed("feedback_key", "_fb_key")
     # rows without a key (run errors) match nothing; their call ids spread them over the join's tasks
-    key = F.coalesce(F.col("feedback_key"), F.concat(F.lit("none-"), F.col("call_id")))
+    apart = F.col("call_id") if "call_id" in events.columns else F.lit("")
+    key = F.coalesce(F.col("feedback_key"), F.concat(F.lit("none-"), apart))
     j = events.withColumn("_key", key).join(
         fb, (F.col("_key") == F.col("_fb_key")) & F.col("feedback_key").isNotNull(), "left").drop("_key", "_fb_key")
     return j.withColumns({
@@ -94,8 +96,9 @@ def live_events(events_with_feedback: DataFrame) -> DataFrame:
 
 def sessions(events: DataFrame) -> DataFrame:
     """Events of a chat id in order: position in the chat (by start
-    time, then call id), computed without one task per chat."""
-    e = events.where(F.col("chat_id").isNotNull())
+    time, then call id), computed without one task per chat. The events are
+    built and stored once; cuts, counts and positions read the stored rows."""
+    e = stored(events.where(F.col("chat_id").isNotNull()), "session-events")
     return rank_within(e, "chat_id", ["started_at", "call_id"], "session_seq")
 
 

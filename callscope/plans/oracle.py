@@ -8,7 +8,21 @@ joins instead of a copy-and-group, `unnest(generate_series)` instead of
 
 from __future__ import annotations
 
-from callscope.functions.redact import RULES
+# Classes and patterns of personal data, from the survey's rule
+# table, in its order; written here again, so that the operator's table is
+# checked against it. `\\1` is RE2's first group.
+REDACTION = [
+    (r'(?i)\bhttps?://[^\s<>"]*[^\s<>".,;:!?)]', "URL"),
+    (r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", "EMAIL_ADDRESS"),
+    (r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b|\b(?:[0-9A-Fa-f]{1,4}:){5,8}[0-9A-Fa-f]{1,4}\b", "IP_ADDRESS"),
+    (r"\b(?:[0-9]{4}[ -]?){3}[0-9]{4}\b|\b[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}\b", "CREDIT_CARD_NUMBER"),
+    (r"\b[0-9]{3}[ .-][0-9]{2}[ .-][0-9]{4}\b", "US_SOCIAL_SECURITY_NUMBER"),
+    (r"(?:\(?\+[0-9]{1,3}\)?[ .-]?|\b[0-9][ .-])?(?:\([0-9]{3}\)|\b[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}\b", "PHONE_NUMBER"),
+    (r"(?i)\b[0-9]{1,5}(?: [A-Za-z]+){1,3} (?:st|street|ave|avenue|rd|road|blvd|ln|lane|dr|drive)\b\.?(?: (?:apt|suite|unit) [0-9A-Za-z]+)?",
+     "STREET_ADDRESS"),
+    (r"\b[0-9]{5}(?:-[0-9]{4})?\b", "ZIPCODE"),
+    (r"\b(Hi|Hello|Hey|Dear) [A-Z][a-z]+\b", r"\1 PERSON_NAME"),
+]
 
 
 def sql_uuid(expr: str) -> str:
@@ -22,12 +36,10 @@ TOOL_T = 'STRUCT("index" INTEGER, id VARCHAR, type VARCHAR, name VARCHAR, argume
 
 
 def sql_redact(expr: str) -> str:
-    """R1 as a DuckDB `regexp_replace` chain (RE2; `$1` becomes `\\1`)."""
+    """R1 as a DuckDB `regexp_replace` chain (RE2)."""
     out = expr
-    for _name, pattern, repl in RULES:
-        p = pattern.replace("'", "''")
-        r = repl.replace("$1", "\\1")
-        out = f"regexp_replace({out}, '{p}', '{r}', 'g')"
+    for pattern, token in REDACTION:
+        out = f"regexp_replace({out}, '{pattern}', '{token}', 'g')"
     return out
 
 

@@ -103,6 +103,9 @@ MESSAGES = T.StructType([
     T.StructField("content", T.ArrayType(CONTENT_PART)),
 ])
 
+# as they arrive on a stream: with the time of the message
+MESSAGE_LOG = T.StructType([*MESSAGES, T.StructField("ts", T.TimestampType())])
+
 CURSORS = T.StructType([
     T.StructField("thread_id", T.StringType()),
     T.StructField("last_msg_id", T.StringType()),

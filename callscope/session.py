@@ -58,6 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or current
 
 
+def stored(df, name: str):
+    """`df` written under the shared checkpoint folder and read back: what is
+    read several times is built once, and outlives lost executors."""
+    path = scratch_path(df.sparkSession, "stored", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, kind: str, name: str) -> str:
     """A fresh folder under the shared checkpoint dir, one per run."""
     base = ensure_checkpoint_dir(spark)

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callscope.operators.events import Config
 from callscope.operators.feedback import chain_gate, chain_state, merge_chain_state
 
 BUCKETS = 64
@@ -35,10 +36,10 @@ def _write(state: DataFrame, path: str, buckets: int) -> None:
     state.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
-def stream_chain_upsert(updates: DataFrame, table: str, checkpoint: str, buckets: int = BUCKETS):
+def stream_chain_upsert(updates: DataFrame, table: str, checkpoint: str, buckets: int = BUCKETS, cfg: Config = Config()):
     """Start the job that adds a stream of chain updates to `table`."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(chain_state(chain_gate(batch)), f"{table}/delta/upto={batch_id}", buckets)
+        _write(chain_state(chain_gate(batch, cfg)), f"{table}/delta/upto={batch_id}", buckets)
 
     return (updates.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

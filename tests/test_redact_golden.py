@@ -22,7 +22,17 @@ GOLDEN = [
     ("ring 212-555-0147 after six", "ring PHONE_NUMBER after six"),
     ("fax 303.555.0199 works", "fax PHONE_NUMBER works"),
     ("room 12 of 40", "room 12 of 40"),
+    ("node fe80:0:0:0:21b:77ff:fe0a:1 answers", "node IP_ADDRESS answers"),
+    ("card 3782 822463 10005 expired", "card CREDIT_CARD_NUMBER expired"),
+    ("card 4000-0566-5566-5556 expired", "card CREDIT_CARD_NUMBER expired"),
+    ("id 457.55.5462 on file", "id US_SOCIAL_SECURITY_NUMBER on file"),
+    ("call +44 212 555 0147 now", "call PHONE_NUMBER now"),
+    ("call (415) 555-0132 now", "call PHONE_NUMBER now"),
+    ("call 4155550132 now", "call PHONE_NUMBER now"),
+    ("both 10.0.0.7 and ops@example.net", "both IP_ADDRESS and EMAIL_ADDRESS"),
     # places and names
+    ("at 9 Old Mill Road apt 4b, rear", "at STREET_ADDRESS, rear"),
+    ("zip 60614-1234 too", "zip ZIPCODE too"),
     ("ship to 77 Maple St please", "ship to STREET_ADDRESS please"),
     ("code 60614 is Chicago", "code ZIPCODE is Chicago"),
     ("Hello Maria", "Hello PERSON_NAME"),
