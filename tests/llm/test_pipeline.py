@@ -77,4 +77,4 @@ def test_odd_and_empty_tables(spark):
 def test_run_is_registered(spark):
     assert E.queries()["pipeline"] is cp.run and "pipeline" not in E.oracle_sql()
     ops = {q.split("_")[0] for q in E.queries() if q.startswith("op")}
-    assert ops == {f"op{n}" for n in range(1, 11)}
+    assert ops == {f"op{n}" for n in range(1, 14)}
