@@ -16,6 +16,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from callscope.llm.common import materialize
+
+
+def group_blocks(rows: DataFrame, group: str, weight: Column, limit: int) -> DataFrame:
+    """group, blocks of the groups heavier than `limit`: how many blocks they
+    are dealt to. Written first, so that Spark knows the table's size when it
+    chooses how to join it: broadcast where it is small, else by a shuffle."""
+    sizes = rows.groupBy(group).agg(F.sum(weight).alias("blocks")).filter(F.col("blocks") > limit)
+    return materialize(sizes.select(group, F.ceil(F.col("blocks") / F.lit(limit)).cast("int").alias("blocks")), "block-sizes")
+
+
+def own_blocks(rows: DataFrame, sizes: DataFrame, group: str, row_id: str) -> DataFrame:
+    """`rows` with block, bi and bj, all the block that a row is dealt to:
+    every block is compared with itself only, and no row is copied."""
+    dealt = rows.join(sizes, group, "left").withColumn("block", F.pmod(
+        F.xxhash64(F.lit("block"), F.col(row_id)), F.coalesce("blocks", F.lit(1))).cast("int"))
+    return dealt.select(*rows.columns, "block", F.col("block").alias("bi"), F.col("block").alias("bj"))
+
 
 def deal_blocks(rows: DataFrame, group: str, row_id: str, weight: Column, limit: int) -> DataFrame:
     """`rows` with block, bi and bj (bi <= bj, block is one of them), a copy
@@ -92,3 +110,18 @@ def forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
         label = new
     moved = label != ids
     return ids[moved], label[moved]
+
+
+def stars(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (id, hub of its tree) that connect what the links a[i] - b[i]
+    connect; the hub is the row of most links (then the smallest id)."""
+    x, y = forest(ids, a, b)
+    order = np.argsort(ids, kind="stable")
+    label = np.arange(len(ids))
+    label[order[np.searchsorted(ids[order], x)]] = order[np.searchsorted(ids[order], y)]
+    degree = np.bincount(np.r_[a, b], minlength=len(ids))
+    rows = np.lexsort((ids, -degree, label))
+    first = np.r_[True, label[rows][1:] != label[rows][:-1]][: len(rows)]
+    hub = rows[first][np.cumsum(first) - 1]
+    moved = hub != rows
+    return ids[rows[moved]], ids[hub[moved]]

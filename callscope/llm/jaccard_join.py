@@ -17,6 +17,13 @@ merged where they have the same members, then compared block by block: first
 by size and a 1024-bit parity sketch of the whole set, then, in groups that
 hang together by that, exactly. Blocks return spanning forests; components
 follow from them. Nothing is capped or sampled, and no pairs are emitted.
+
+A large group is not sent from every block to every other with its shingles.
+It is taken apart by sketches of a bit per shingle first. What is left is dealt
+to blocks, which are compared with themselves first, then one set of each linked
+part with those of the other blocks. What hangs together by then needs no more
+links. Sets that may, by size and sketch, be linked with one of another part
+are looked for by sketch alone, and only those are compared block by block.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callscope.llm.blocks import deal_blocks, forest, units
+from callscope.llm.blocks import deal_blocks, forest, group_blocks, own_blocks, stars, units
 from callscope.llm.common import materialize, unused, worker_tool
 from callscope.llm.components import connected_components
 
@@ -113,13 +120,20 @@ def band_keys(shingles: np.ndarray, permille: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, U)
 
 
-def parity_sketch(shingles: np.ndarray) -> bytes:
-    """The set's parity in 64 * SKETCH_WORDS bits."""
-    at = mix(shingles ^ U(0xA5A5A5A5A5A5A5A5)) >> U(54)
-    odd = np.bincount(at.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+def parity_sketch(shingles: np.ndarray, bits: int = 64 * SKETCH_WORDS) -> bytes:
+    """The set's parity in `bits` (a power of two) bits. The XOR of its
+    halves is the sketch of half as many bits."""
+    at = mix(shingles ^ U(0xA5A5A5A5A5A5A5A5)) & U(bits - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    """A parity sketch of at least one bit per shingle: one of fixed size
+    fills up in sets of many more shingles and tells nothing about them."""
+    return parity_sketch(shingles, max(64 * SKETCH_WORDS, 1 << (len(shingles) - 1).bit_length()))
+
+
 def _first_seen(n: int, emit, schema: pa.Schema):
     """`mapInArrow` body over (doc_id, text): `emit(doc_ids, sets, ids, new)`
     for every slice of a batch, where `new` marks a task's first sight of a set."""
@@ -168,8 +182,8 @@ EDGES = "a long, b long"
 EDGE_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _edges(ids: np.ndarray, a: list, b: list):
-    x, y = forest(ids, np.concatenate(a) if a else np.empty(0, int), np.concatenate(b) if b else np.empty(0, int))
+def _edges(ids: np.ndarray, a: list, b: list, tree=forest):
+    x, y = tree(ids, np.concatenate(a) if a else np.empty(0, int), np.concatenate(b) if b else np.empty(0, int))
     if len(x):
         yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], schema=EDGE_SCHEMA)
 
@@ -179,26 +193,61 @@ def _stack(a: pa.Table, b: pa.Table | None) -> tuple[pa.Table, int]:
     return (a, 0) if b is None else (pa.concat_tables([a, b]), a.num_rows)
 
 
+def _sketch_pairs(t: pa.Table, second: int, permille: int):
+    """For every row of the first block: its place, and those of the rows
+    behind it (of the other block) whose sizes and sketches allow a link.
+    Sketches of different lengths are compared at the shorter one."""
+    n = t.column("n").to_numpy().astype(np.int64)
+    whole = [np.frombuffer(x, U) for x in t.column("sketch").to_pylist()]
+    words = np.array([len(x) for x in whole], np.int64)
+    at, folded = {}, {}  # by length: the rows of at least that length (place in the matrix), and their sketches folded to it
+    for w in np.unique(words).tolist():
+        rows = np.flatnonzero(words >= w)
+        at[w] = np.cumsum(words >= w) - 1
+        folded[w] = np.stack([np.bitwise_xor.reduce(whole[r].reshape(-1, w), axis=0) for r in rows])
+    for i in range(second or len(n) - 1):
+        j = np.arange(second or i + 1, len(n))
+        lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+        j = j[lo * 1000 >= hi * permille]
+        shorter = np.minimum(words[i], words[j])
+        far = np.empty(len(j), np.int64)
+        for w in np.unique(shorter).tolist():
+            of = shorter == w
+            far[of] = np.bitwise_count(folded[w][at[w][j[of]]] ^ folded[w][at[w][i]]).sum(1, dtype=np.int64)
+        yield i, j[far * (1000 + permille) <= (1000 - permille) * (n[i] + n[j])]
+
+
 def _by_sketch(permille: int):
     """Candidates: pairs whose sizes and sketches allow a link."""
     def body(a, b):
         t, second = _stack(a, b)
-        ids, n = t.column("sid").to_numpy(), t.column("n").to_numpy().astype(np.int64)
-        s = np.frombuffer(b"".join(t.column("sketch").to_pylist()), U).reshape(len(ids), SKETCH_WORDS)
         left, right = [], []
-        for i in range(second or len(ids) - 1):
-            j = np.arange(second or i + 1, len(ids))
-            lo, hi = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-            j = j[lo * 1000 >= hi * permille]
-            far = np.bitwise_count(s[j] ^ s[i]).sum(1, dtype=np.int64)
-            j = j[far * (1000 + permille) <= (1000 - permille) * (n[i] + n[j])]
+        for i, j in _sketch_pairs(t, second, permille):
             left.append(np.full(len(j), i))
             right.append(j)
-        yield from _edges(ids, left, right)
+        yield from _edges(t.column("sid").to_numpy(), left, right)
     return body
 
 
-def _exactly(permille: int):
+APART = pa.schema([("sid", pa.int64())])
+
+
+def _apart(permille: int):
+    """Sets that sizes and sketches allow a link with a set of another part."""
+    def body(a, b):
+        t, second = _stack(a, b)
+        part = t.column("part").to_numpy()
+        open_ = np.zeros(len(part), bool)
+        for i, j in _sketch_pairs(t, second, permille):
+            j = j[part[j] != part[i]]
+            open_[j] = True
+            open_[i] |= len(j) > 0
+        if open_.any():
+            yield pa.RecordBatch.from_arrays([pa.array(t.column("sid").to_numpy()[open_])], schema=APART)
+    return body
+
+
+def _exactly(permille: int, tree=forest):
     """Links: 1000 * intersection >= permille * union, counted on the sets."""
     def body(a, b):
         t, second = _stack(a, b)
@@ -228,10 +277,57 @@ def _exactly(permille: int):
             j = j[1000 * both >= permille * (n[i] + n[j] - both)]
             left.append(np.full(len(j), i))
             right.append(j)
-        yield from _edges(ids, left, right)
+        yield from _edges(ids, left, right, tree)
     return body
 
 
+def _sketch_weight():
+    """A sketch's share of a block, in sketches of the fixed size."""
+    return F.expr(f"length(sketch) div {8 * SKETCH_WORDS}")
+
+
+def _links(sets: DataFrame, permille: int) -> DataFrame:
+    """Edges (a, b) that connect what the links among the sets (sid,
+    component, n, sketch, shingles) of each component connect."""
+    weight, shown = F.col("n") + 1_000, ("component", "sid", "n", "shingles")
+
+    def compare(rows):
+        return units(deal_blocks(rows.select(*shown), "component", "sid", weight, BLOCK_SHINGLES), "component", "sid",
+                     _exactly(permille), EDGES, EDGE_SCHEMA)
+
+    sizes = group_blocks(sets, "component", weight, BLOCK_SHINGLES)
+    if not sizes.isEmpty():
+        # large groups, taken apart by sketches that are as long as their sets are large
+        large = sets.join(sizes.select("component"), "component", "left_semi")
+        near = connected_components(units(deal_blocks(large.select("component", "sid", "n", "sketch"), "component", "sid",
+                                                      _sketch_weight(), BLOCK_ROWS), "component", "sid", _by_sketch(permille),
+                                          EDGES, EDGE_SCHEMA)).withColumnsRenamed({"id": "sid", "component": "finer"})
+        sets = (sets.join(sizes.select("component", F.lit(True).alias("large")), "component", "left").join(near, "sid", "left")
+                .filter("large is null or finer is not null").withColumn("component", F.coalesce("finer", "component"))
+                .select(*shown, "sketch"))
+        sizes = group_blocks(sets, "component", weight, BLOCK_SHINGLES)
+    own = units(own_blocks(sets.select(*shown), sizes, "component", "sid"), "component", "sid",
+                _exactly(permille, stars), EDGES, EDGE_SCHEMA)
+    if sizes.isEmpty():
+        return own  # every group is one block
+
+    # groups of several blocks: the hubs of their parts, and the sets without a link
+    own = materialize(own, "jaccard-own")
+    large = sets.join(sizes.select("component"), "component", "left_semi")
+    hubs = large.join(own.select(F.col("a").alias("sid")), "sid", "left_anti")
+    joined = connected_components(own.unionByName(compare(hubs)))
+
+    # sets that a link may join to another part of their group
+    parts = (large.select("component", "sid", "n", "sketch").join(joined.select(F.col("id").alias("sid"), F.col("component").alias("part")),
+                                                               "sid", "left").withColumn("part", F.coalesce("part", "sid")))
+    several = parts.groupBy("component").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi")
+    parts = materialize(parts.join(several.select("component"), "component", "left_semi"), "jaccard-parts")
+    apart = units(deal_blocks(parts, "component", "sid", _sketch_weight(), BLOCK_ROWS), "component", "sid", _apart(permille),
+                  "sid long", APART)
+    rest = materialize(large.join(apart.distinct(), "sid", "left_semi").select(*shown), "jaccard-apart")
+    return joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(compare(rest))
+
+
 def set_id(shingles: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63) if len(shingles) else None
 
@@ -273,7 +369,7 @@ def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, D
     groups = materialize(connected_components(near), "jaccard-candidates")
 
     # exact comparison within the groups; the first document of each set stands for it
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("shingles", pa.binary())])
 
     def sets(batches):
         shingler = Shingler(n)
@@ -281,16 +377,15 @@ def set_components(cols: DataFrame, n: int, permille: int) -> tuple[DataFrame, D
             s = [shingler(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in s], pa.int64()),
                                               pa.array([len(x) for x in s], pa.int64()),
+                                              pa.array([wide_sketch(x) if len(x) else None for x in s], pa.binary()),
                                               pa.array([x.tobytes() for x in s], pa.binary())], schema=schema)
 
     reps = groups.join(first, groups["id"] == first["sid"]).select("first")
     members = groups.withColumnRenamed("id", "sid")
-    exact = (_marked(cols, reps).select("text").mapInArrow(sets, "sid long, n long, shingles binary")
+    exact = (_marked(cols, reps).select("text").mapInArrow(sets, "sid long, n long, sketch binary, shingles binary")
              .join(members, "sid").dropDuplicates(["sid"]))
     exact = materialize(exact, "jaccard-sets")
-    links = units(deal_blocks(exact, "component", "sid", F.col("n") + 1_000, BLOCK_SHINGLES), "component", "sid",
-                  _exactly(permille), EDGES, EDGE_SCHEMA)
-    found = connected_components(links).withColumnsRenamed({"id": "sid", "component": "root"})
+    found = connected_components(_links(exact, permille)).withColumnsRenamed({"id": "sid", "component": "root"})
     per_set = first.join(found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = per_set.groupBy("root").agg(F.min("first").alias("component_id"))
     home = per_set.join(smallest, "root").select("sid", "root", "component_id")

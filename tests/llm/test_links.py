@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from callscope.llm import jaccard_join as jj
-from callscope.llm.blocks import forest
+from callscope.llm.blocks import forest, stars
 from callscope.llm.components import connected_components
 from callscope.llm.embed_dedup import colliding_pairs, near_duplicates, needed_collisions
 
@@ -99,6 +99,22 @@ def test_jaccard_small_blocks_give_the_same(spark, monkeypatch):
     assert got == brute(rows, 4, 850)
 
 
+def test_jaccard_parts_of_a_large_group(spark, monkeypatch):
+    """A chain whose ends are far apart: most links run between blocks, and
+    hubs alone do not join its parts."""
+    rng = random.Random(4)
+    words = [f"c{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 3: i * 3 + 60])) for i in range(100)]
+    rows += [(500 + i, " ".join([*words[:40], *(f"y{rng.randrange(9)}" for _ in range(8))])) for i in range(60)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(jj, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(jj, "BLOCK_SHINGLES", 9_000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n, threshold in ((1, 0.85), (2, 0.8)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df, n, threshold).collect()}
+        assert got == brute(rows, n, round(threshold * 1000))
+
+
 def test_jaccard_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(docs).collect()}
@@ -153,6 +169,37 @@ def test_sketches_bound_the_difference():
                 assert set(jj.band_keys(a, 850).tolist()) & set(jj.band_keys(b, 850).tolist())
 
 
+def test_wide_sketches_fold():
+    rng = np.random.default_rng(6)
+    for size in (1, 1024, 1025, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        s = np.frombuffer(jj.wide_sketch(a), np.uint8)
+        assert 8 * len(s) >= max(1024, len(a))
+        while len(s) > 128:
+            s = s[: len(s) // 2] ^ s[len(s) // 2:]
+        assert s.tobytes() == jj.parity_sketch(a)
+
+
+def test_jaccard_long_texts_with_a_common_passage(spark, monkeypatch):
+    """Sets far larger than the fixed sketch: strangers that share a passage,
+    near copies of some of them, sizes on both sides of a sketch length."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(120)]
+    rows = []
+    for i in range(24):
+        text = passage + [f"z{rng.randrange(10**6)}" for _ in range(rng.choice([1900, 2020, 3900]))]
+        rows.append((i, " ".join(text)))
+        if i % 3 == 0:
+            for _ in range(rng.randint(1, 60)):
+                text[rng.randrange(len(text))] = "edit"
+            rows.append((100 + i, " ".join(text + ["more"] * rng.choice([0, 1]) + [f"t{j}" for j in range(rng.randint(0, 90))])))
+    monkeypatch.setattr(jj, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(jj, "BLOCK_SHINGLES", 12_000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()}
+    assert got == brute(rows, 4, 850)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(5, 40), st.lists(st.tuples(st.integers(0, 39), st.integers(0, 39)), max_size=60))
 def test_forest(n, links):
@@ -163,6 +210,10 @@ def test_forest(n, links):
         u.join(int(ids[a]), int(ids[b]))
     x, y = forest(ids, np.array([a for a, _ in links], int), np.array([b for _, b in links], int))
     assert dict(zip(x.tolist(), y.tolist())) == {i: u.find(i) for i in ids.tolist() if u.find(i) != i}
+    x, y = stars(ids, np.array([a for a, _ in links], int), np.array([b for _, b in links], int))
+    degree = {i: sum((int(ids[a]) == i) + (int(ids[b]) == i) for a, b in links) for i in u.up}
+    hubs = {root: min((i for i in u.up if u.find(i) == root), key=lambda i: (-degree[i], i)) for root in set(map(u.find, u.up))}
+    assert dict(zip(x.tolist(), y.tolist())) == {i: hubs[u.find(i)] for i in u.up if hubs[u.find(i)] != i}
 
 
 def test_connected_components(spark):
